@@ -7,7 +7,7 @@ that add in different orders.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +39,7 @@ FIXED_THRESHOLD = 9.0
 SENSITIVITY_COSTS = (0.05, 0.1, 0.15, 0.3, 0.6)
 EXTREME_QUANTITY = 49
 SELECTED = "Monetary"
+EARLY_CUTOFF = datetime(1995, 6, 1)
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -445,7 +446,9 @@ def _(w: Workspace):
 
 @query("p36_lost_customers")
 def _(w: Workspace):
-    return profiling.lost_customers(w.raw(description=False), w.clean(), w.cfg)
+    # With a short history some customers have bought nothing but dropped codes.
+    return profiling.lost_customers(
+        w.raw(description=False), w.clean(), w.cfg.with_(cutoff=EARLY_CUTOFF))
 
 
 @query("p37_same_day_repeaters")

@@ -1 +1,5 @@
-ORACLE = {}
+"""SQL for DuckDB that computes the registered queries by other routes than the Spark plans."""
+
+from oracle import decisions, profiles, tables
+
+ORACLE: dict[str, str] = {**tables.SQL, **profiles.SQL, **decisions.SQL}
