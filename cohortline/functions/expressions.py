@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 # Text columns that are trimmed, and the shape of an ordinary product code.
 STRING_COLUMNS = ("invoice", "stock_code", "description", "country")
 CODE_PATTERN = r"^\d{5}\w*$"
+# Every character with the Unicode White_Space property.
+WHITESPACE = (
+    "\u0009\u000a\u000b\u000c\u000d\u0020\u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def named(column: str | Column) -> Column:
@@ -22,8 +28,11 @@ def timestamp(value: datetime) -> Column:
 
 
 def stripped(column: str | Column) -> Column:
-    """Strip every kind of whitespace; SQL ``trim`` alone removes only spaces."""
-    return F.regexp_replace(named(column), r"^\s+|\s+$", "")
+    """Strip every kind of whitespace; plain ``trim`` removes only spaces.
+
+    A set of characters costs a fraction of an anchored regular expression.
+    """
+    return F.trim(named(column), F.lit(WHITESPACE))
 
 
 def whole_days(start: Column, end: Column) -> Column:

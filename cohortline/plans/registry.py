@@ -100,7 +100,7 @@ def _(w: Workspace):
 
 @query("v1_raw_contract")
 def _(w: Workspace):
-    return checks.raw_contract(w.raw(description=False))
+    return checks.raw_contract(w.raw())
 
 
 @query("v2_clean_contract")
@@ -135,7 +135,7 @@ def _(w: Workspace):
 
 @query("v10_price_filter_losses")
 def _(w: Workspace):
-    return audit.price_filter_losses(w.raw(description=False), w.cfg)
+    return audit.price_filter_losses(w.raw(), w.cfg)
 
 
 @query("v11_prediction_alignment")
@@ -145,14 +145,14 @@ def _(w: Workspace):
 
 @query("v12_invoice_kinds_left")
 def _(w: Workspace):
-    return audit.invoice_kinds_left(w.raw(description=False), w.cfg)
+    return audit.invoice_kinds_left(w.raw(), w.cfg)
 
 
 # ---- cleaning ------------------------------------------------------------------------------
 
 @query("c0_clean_transactions")
 def _(w: Workspace):
-    return w.clean()
+    return w.clean_plan()
 
 
 @query("c1_trim_text")
@@ -162,34 +162,34 @@ def _(w: Workspace):
 
 @query("c2_cancellation_flag")
 def _(w: Workspace):
-    return tickets(cleaning.flag_cancellations(w.raw(description=False)), "is_cancellation")
+    return tickets(cleaning.flag_cancellations(w.raw()), "is_cancellation")
 
 
 @query("c3_drop_adjustments")
 def _(w: Workspace):
-    return tickets(w.raw(description=False).filter(cleaning.not_adjustment()))
+    return tickets(w.raw().filter(cleaning.not_adjustment()))
 
 
 @query("c4_drop_non_products")
 def _(w: Workspace):
-    kept = cleaning.trim_text(w.raw(description=False)).filter(cleaning.is_product(w.cfg))
+    kept = cleaning.trim_text(w.raw()).filter(cleaning.is_product(w.cfg))
     return tickets(kept)
 
 
 @query("c5_keep_priced")
 def _(w: Workspace):
-    return tickets(w.raw(description=False).filter(cleaning.is_priced()))
+    return tickets(w.raw().filter(cleaning.is_priced()))
 
 
 @query("c6_sign_backstop")
 def _(w: Workspace):
-    kept = cleaning.normalise(w.raw(description=False)).filter(cleaning.has_valid_sign())
+    kept = cleaning.normalise(w.raw()).filter(cleaning.has_valid_sign())
     return tickets(kept, "is_cancellation")
 
 
 @query("c7_cast_customer")
 def _(w: Workspace):
-    as_text = w.raw(description=False).withColumn(
+    as_text = w.raw().withColumn(
         "customer_id", F.col("customer_id").cast("string"))
     return tickets(as_text.withColumn("customer_id", F.col("customer_id").cast("bigint")),
                    "customer_id")
@@ -197,7 +197,7 @@ def _(w: Workspace):
 
 @query("c8_line_revenue")
 def _(w: Workspace):
-    finished = cleaning.finish(cleaning.normalise(w.raw(description=False)))
+    finished = cleaning.finish(cleaning.normalise(w.raw()))
     return tickets(finished, "line_revenue")
 
 
@@ -208,19 +208,19 @@ def _(w: Workspace):
 
 @query("c10_cleaning_summary")
 def _(w: Workspace):
-    return cleaning.cleaning_summary(w.raw(description=False), w.cfg)
+    return cleaning.cleaning_summary(w.raw(), w.cfg)
 
 
 # ---- audit ---------------------------------------------------------------------------------
 
 @query("a1_filter_audit")
 def _(w: Workspace):
-    return audit.filter_audit(w.raw(description=False), w.cfg)
+    return audit.filter_audit(w.raw(), w.cfg)
 
 
 @query("a2_audit_totals")
 def _(w: Workspace):
-    return audit.audit_totals(w.raw(description=False), w.cfg)
+    return audit.audit_totals(w.raw(), w.cfg)
 
 
 @query("a3_trim_changes")
@@ -235,12 +235,12 @@ def _(w: Workspace):
 
 @query("a4_code_identity")
 def _(w: Workspace):
-    return audit.code_identity(w.raw(description=False))
+    return audit.code_identity(w.raw())
 
 
 @query("a5_drop_list_coverage")
 def _(w: Workspace):
-    return audit.drop_list_coverage(w.raw(description=False), w.cfg)
+    return audit.drop_list_coverage(w.raw(), w.cfg)
 
 
 @query("a6_odd_survivors")
@@ -257,7 +257,7 @@ def _(w: Workspace):
 
 @query("p1_shape_by_part")
 def _(w: Workspace):
-    return profiling.shape_by_part(w.raw(description=False))
+    return profiling.shape_by_part(w.raw())
 
 
 @query("p1_head")
@@ -282,27 +282,27 @@ def _(w: Workspace):
 
 @query("p5_unattributed_share")
 def _(w: Workspace):
-    return profiling.unattributed_share(w.raw(description=False))
+    return profiling.unattributed_share(w.raw())
 
 
 @query("p6_mixed_invoices")
 def _(w: Workspace):
-    return profiling.mixed_invoices(w.raw(description=False))
+    return profiling.mixed_invoices(w.raw())
 
 
 @query("p7_distinct_customers")
 def _(w: Workspace):
-    return profiling.distinct_customers(w.raw(description=False))
+    return profiling.distinct_customers(w.raw())
 
 
 @query("p8_sign_crosstab")
 def _(w: Workspace):
-    return profiling.sign_crosstab(w.raw(description=False))
+    return profiling.sign_crosstab(w.raw())
 
 
 @query("p9_gap_profile")
 def _(w: Workspace):
-    return profiling.gap_profile(w.raw(description=False))
+    return profiling.gap_profile(w.raw())
 
 
 @query("p9_gap_descriptions")
@@ -312,12 +312,12 @@ def _(w: Workspace):
 
 @query("p10_invoice_kinds")
 def _(w: Workspace):
-    return profiling.invoice_kinds(w.raw(description=False))
+    return profiling.invoice_kinds(w.raw())
 
 
 @query("p11_code_shapes")
 def _(w: Workspace):
-    return profiling.code_shapes(w.raw(description=False))
+    return profiling.code_shapes(w.raw())
 
 
 @query("p12_code_taxonomy")
@@ -327,12 +327,12 @@ def _(w: Workspace):
 
 @query("p13_price_anomalies")
 def _(w: Workspace):
-    return profiling.price_anomalies(w.raw(description=False))
+    return profiling.price_anomalies(w.raw())
 
 
 @query("p14_quantity_summary")
 def _(w: Workspace):
-    return profiling.quantity_summary(w.raw(description=False))
+    return profiling.quantity_summary(w.raw())
 
 
 @query("p15_extreme_quantities")
@@ -352,29 +352,29 @@ def _(w: Workspace):
 
 @query("p18_customers_per_country")
 def _(w: Workspace):
-    return profiling.customers_per_country(w.raw(description=False))
+    return profiling.customers_per_country(w.raw())
 
 
 @query("p19_top_country_coverage")
 def _(w: Workspace):
     return profiling.top_country_coverage(
-        profiling.customers_per_country(w.raw(description=False)))
+        profiling.customers_per_country(w.raw()))
 
 
 @query("p20_rare_countries")
 def _(w: Workspace):
     return profiling.rare_countries(
-        profiling.customers_per_country(w.raw(description=False)), w.cfg)
+        profiling.customers_per_country(w.raw()), w.cfg)
 
 
 @query("p21_multi_country_customers")
 def _(w: Workspace):
-    return profiling.multi_country_customers(w.raw(description=False))
+    return profiling.multi_country_customers(w.raw())
 
 
 @query("p22_population_funnel")
 def _(w: Workspace):
-    return profiling.population_funnel(w.raw(description=False), w.cfg)
+    return profiling.population_funnel(w.raw(), w.cfg)
 
 
 @query("p23_base_rate")
@@ -421,22 +421,22 @@ def _(w: Workspace):
 
 @query("p31_cancellation_cohorts")
 def _(w: Workspace):
-    return profiling.cancellation_cohorts(w.raw(description=False), w.rfm_from_raw(), w.cfg)
+    return profiling.cancellation_cohorts(w.raw(), w.rfm_from_raw(), w.cfg)
 
 
 @query("p32_rows_per_weekday")
 def _(w: Workspace):
-    return profiling.rows_per_weekday(w.raw(description=False))
+    return profiling.rows_per_weekday(w.raw())
 
 
 @query("p33_rows_on_day")
 def _(w: Workspace):
-    return profiling.rows_on_day(w.raw(description=False), w.cfg.cutoff - timedelta(days=1))
+    return profiling.rows_on_day(w.raw(), w.cfg.cutoff - timedelta(days=1))
 
 
 @query("p34_anchor_shift")
 def _(w: Workspace):
-    return profiling.anchor_shift(w.raw(description=False), w.cfg)
+    return profiling.anchor_shift(w.raw(), w.cfg)
 
 
 @query("p35_window_sizes")
@@ -448,7 +448,7 @@ def _(w: Workspace):
 def _(w: Workspace):
     # With a short history some customers have bought nothing but dropped codes.
     return profiling.lost_customers(
-        w.raw(description=False), w.clean(), w.cfg.with_(cutoff=EARLY_CUTOFF))
+        w.raw(), w.clean(), w.cfg.with_(cutoff=EARLY_CUTOFF))
 
 
 @query("p37_same_day_repeaters")

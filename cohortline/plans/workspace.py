@@ -1,8 +1,7 @@
 """Stage tables of one run, built on first use and kept in the shared folder.
 
-The log itself stays lazy: profiles, cleaning and features are single plans over the source
-tables. What is read many times (the customer matrix with its split, predictions) is written
-once per session and source folder.
+Raw log, clean log, customer matrix with its split, and predictions are each read many times,
+so each is written once per session and source folder. Everything between them is one lazy plan.
 """
 
 from __future__ import annotations
@@ -39,14 +38,26 @@ class Workspace:
             self._built[name] = build()
         return self._built[name]
 
-    # ---- lazy plans over the source tables
+    # ---- the log and its clean form
 
-    def raw(self, description: bool = True) -> DataFrame:
-        return star_tables.transactions_raw(self.spark, self.folder, description)
+    def raw(self) -> DataFrame:
+        """The raw log, built once.
+
+        Rebalanced before it is written, so that files are even whatever one key does to the
+        joins behind it; everything later starts from these files.
+        """
+        def build() -> DataFrame:
+            return stage(
+                star_tables.transactions_raw(self.spark, self.folder).hint("rebalance"), "raw")
+        return self._once("raw", build)
 
     def clean(self) -> DataFrame:
-        """Clean rows. The description is dropped anyway, so its join is left out."""
-        return clean_transactions(self.raw(description=False), self.cfg)
+        return self._once("clean", lambda: stage(self.clean_plan(), "clean"))
+
+    # ---- lazy plans
+
+    def clean_plan(self) -> DataFrame:
+        return clean_transactions(self.raw(), self.cfg)
 
     def labels(self) -> DataFrame:
         return labels.build_labels(self.clean(), self.cfg)
@@ -59,9 +70,9 @@ class Workspace:
             self.labels(), encoding.encode_features(self.features(), self.cfg), self.cfg)
 
     def rfm_from_raw(self) -> DataFrame:
-        return features.raw_rfm(self.raw(description=False), self.cfg)
+        return features.raw_rfm(self.raw(), self.cfg)
 
-    # ---- stored tables
+    # ---- stored customer tables
 
     def matrix(self) -> DataFrame:
         return self._once("matrix", lambda: stage(self.matrix_plan(), "matrix"))

@@ -20,7 +20,7 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def _log_lines(spark: SparkSession, folder: str, description: bool) -> DataFrame:
+def _log_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = read_table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -33,18 +33,19 @@ def _log_lines(spark: SparkSession, folder: str, description: bool) -> DataFrame
         .join(nations, customers.c_nationkey == nations.n_nationkey)
         .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
     )
-    log = lines.join(placed, lines.l_orderkey == placed.o_orderkey)
-    if description:
-        parts = read_table(spark, folder, "part").select("p_partkey", "p_name")
-        log = log.join(parts, log.l_partkey == parts.p_partkey, "left")
+    parts = read_table(spark, folder, "part").select("p_partkey", "p_name")
+    log = (
+        lines.join(placed, lines.l_orderkey == placed.o_orderkey)
+        .join(parts, lines.l_partkey == parts.p_partkey, "left")
+    )
     # Planted exact duplicates: two copies of some lines, without a second pass over the joins.
     copies = F.when(F.col("l_partkey") % 211 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0)))
     return log.withColumn("copy", F.explode(copies))
 
 
-def source_log(spark: SparkSession, folder: str, description: bool = True) -> DataFrame:
-    """The log under its original headings. Without ``description`` the part join is left out."""
+def source_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The log under its original headings."""
     order, part = F.col("o_orderkey"), F.col("l_partkey")
     cancelled = (order % 7 == 0) & (order % 997 != 0)
     quantity = F.col("l_quantity").cast("bigint")
@@ -64,6 +65,8 @@ def source_log(spark: SparkSession, folder: str, description: bool = True) -> Da
             F.when(order % 997 == 0, "A").when(cancelled, "C").otherwise(""),
             order.cast("string")),
         "StockCode": code,
+        "Description":
+            F.when(part % 97 == 0, None).when(part % 89 == 0, "?").otherwise(F.col("p_name")),
         "Quantity": F.when(cancelled | (part % 106 == 0), -quantity).otherwise(quantity),
         "InvoiceDate": F.col("o_orderdate")
         + F.make_dt_interval(F.lit(0), (order % 24).cast("int")),
@@ -71,11 +74,8 @@ def source_log(spark: SparkSession, folder: str, description: bool = True) -> Da
         "Customer ID": F.when(order % 5 != 0, F.col("o_custkey")),
         "Country": F.when(order % 11 == 0, "NATION_0").otherwise(F.col("n_name")),
     }
-    if description:
-        columns["Description"] = F.when(part % 97 == 0, None).when(part % 89 == 0, "?").otherwise(
-            F.col("p_name"))
-    log = _log_lines(spark, folder, description)
-    return log.select(*[columns[name].alias(name) for name in COLUMN_RENAMES if name in columns])
+    log = _log_lines(spark, folder)
+    return log.select(*[columns[name].alias(name) for name in COLUMN_RENAMES])
 
 
 def source_part(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -91,7 +91,7 @@ def raw_from_parts(spark: SparkSession, folder: str) -> DataFrame:
         [tag_part(rename_columns(source_part(spark, folder, name)), name) for name in PARTS])
 
 
-def transactions_raw(spark: SparkSession, folder: str, description: bool = True) -> DataFrame:
+def transactions_raw(spark: SparkSession, folder: str) -> DataFrame:
     """The same rows as ``raw_from_parts``, tagged in one pass over the tables."""
     part = F.when(F.year("invoice_date") < SECOND_PART_FROM_YEAR, PARTS[0]).otherwise(PARTS[1])
-    return rename_columns(source_log(spark, folder, description)).withColumn("source_sheet", part)
+    return rename_columns(source_log(spark, folder)).withColumn("source_sheet", part)
