@@ -8,7 +8,7 @@ is one counted row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,11 +69,12 @@ def _positions(total: Column, prob: float, nearest: bool) -> tuple[Column, Colum
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), fits: dict[str, Column] | None = None,
-                    nearest: bool = False) -> DataFrame:
+                    nearest: Collection[float] = ()) -> DataFrame:
     """Exact quantiles of several columns, as (by, column, fit, n, quantiles).
 
-    Linear interpolation between neighbours, or the nearest rank. Each entry of ``fits`` names
-    a subset of the rows by a condition; all subsets share one sorted pass. Nulls are ignored.
+    Linear interpolation between neighbours; probabilities in ``nearest`` take the nearest rank
+    instead. Each entry of ``fits`` names a subset of the rows by a condition; all subsets and
+    probabilities share one sorted pass. Nulls are ignored.
     """
     by = list(by)
     fits = fits or {"all": F.lit(True)}
@@ -95,7 +96,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         for name, flag in flags.items()
     ]))).filter("w > 0")
 
-    places = [_positions(F.col("n"), p, nearest) for p in probs]
+    places = [_positions(F.col("n"), p, p in nearest) for p in probs]
     wanted = F.array_distinct(F.array(*[rank for low, high, _ in places for rank in (low, high)]))
     # Only the few values that sit on a wanted rank leave this step.
     hits = per_fit.withColumn(
@@ -115,17 +116,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         *by, "column", "fit", "n", F.array(*[quantile(p) for p in places]).alias("quantiles"))
 
 
-def column_quantiles(df: DataFrame, columns: Sequence[str], prob: float, by: Sequence[str] = (),
-                     nearest: bool = False, suffix: str = "") -> DataFrame:
-    """One quantile per column, as one row per group."""
-    long = exact_quantiles(df, columns, [prob], by=by, nearest=nearest)
-    picked = [
-        F.max(F.when(F.col("column") == c, F.col("quantiles")[0])).alias(f"{c}{suffix}")
-        for c in columns
-    ]
-    return long.groupBy(*by).agg(*picked) if by else long.agg(*picked)
-
-
 def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
             suffix: str = "") -> DataFrame:
-    return column_quantiles(df, columns, 0.5, by=by, suffix=suffix)
+    """Exact median of each column, as one row per group."""
+    long = exact_quantiles(df, columns, [0.5], by=by)
+    return long.groupBy(*by).agg(*[
+        F.max(F.when(F.col("column") == c, F.col("quantiles")[0])).alias(f"{c}{suffix}")
+        for c in columns
+    ])

@@ -24,7 +24,7 @@ from cohortline.functions import (
 )
 from cohortline.operators.checks import null_counts
 from cohortline.operators.labels import real_purchases
-from cohortline.operators.ordered import column_quantiles, exact_quantiles, medians
+from cohortline.operators.ordered import exact_quantiles, medians
 
 # ISO weekday numbers.
 WEEKDAYS = {1: "Monday", 2: "Tuesday", 3: "Wednesday", 4: "Thursday", 5: "Friday",
@@ -170,13 +170,11 @@ def price_anomalies(raw: DataFrame) -> DataFrame:
 
 def quantity_summary(raw: DataFrame) -> DataFrame:
     """Median by interpolation, 99th percentile by nearest rank, and the range."""
-    ranked = medians(raw, ["quantity"], suffix="_median").select(F.col("quantity_median").alias("v"))
-    p99 = column_quantiles(raw, ["quantity"], 0.99, nearest=True, suffix="_p99").select(
-        F.col("quantity_p99").alias("v"))
+    ranked = exact_quantiles(raw, ["quantity"], [0.5, 0.99], nearest=[0.99]).select("quantiles")
     return raw.agg(
         F.min("quantity").alias("min_quantity"), F.max("quantity").alias("max_quantity")
-    ).select(
-        ranked.scalar().alias("median_quantity"), p99.scalar().alias("p99_quantity"),
+    ).withColumn("ranked", ranked.scalar()).select(
+        F.col("ranked")[0].alias("median_quantity"), F.col("ranked")[1].alias("p99_quantity"),
         "min_quantity", "max_quantity")
 
 
