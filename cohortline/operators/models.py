@@ -9,7 +9,10 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -130,21 +133,23 @@ def scored(model: PipelineModel, df: DataFrame, candidate: str, *keep: str) -> D
 
 
 def out_of_fold(train: DataFrame, make: Callable[[int], Pipeline], candidate: str,
-                cfg: RetentionConfig) -> DataFrame:
+                cfg: RetentionConfig, parallelism: int = 5) -> DataFrame:
     """A score for every training row from the model that did not see its fold.
 
-    ``make`` gets the number of rows it will be fitted on.
+    ``make`` gets the number of rows it will be fitted on. The folds are independent, so their
+    fits run as concurrent Spark jobs, as in ``CrossValidator``.
     """
     sizes = {r.fold: r["count"] for r in train.groupBy("fold").count().collect()}
-    parts = []
-    for k in range(cfg.n_folds):
+
+    def score_fold(k: int) -> DataFrame:
         n_rest = sum(n for fold, n in sizes.items() if fold != k)
         model = make(n_rest).fit(train.filter(F.col("fold") != k))
-        parts.append(scored(model, train.filter(F.col("fold") == k), candidate, "fold"))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+        return scored(model, train.filter(F.col("fold") == k), candidate, "fold")
+
+    with ThreadPool(min(parallelism, cfg.n_folds)) as pool:
+        parts = pool.map(inheritable_thread_target(train.sparkSession)(score_fold),
+                         range(cfg.n_folds))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def coefficients(model: PipelineModel, cfg: RetentionConfig,

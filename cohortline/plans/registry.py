@@ -90,12 +90,6 @@ def _(w: Workspace):
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
 
 
-@query("s11_json_record")
-def _(w: Workspace):
-    path = f"{shared_folder(w.spark)}/selection-record"
-    return sinks.write_record(_selection_record(w), path)
-
-
 # ---- contracts -----------------------------------------------------------------------------
 
 @query("v1_raw_contract")
@@ -698,17 +692,6 @@ def _(w: Workspace):
     return metrics.clears_bar(metrics.comparison_table(measured, RULE), w.cfg)
 
 
-@query("m6_selection_table")
-def _(w: Workspace):
-    measured = metrics.ranking_metrics(metrics.score_levels(w.all_test()))
-    return metrics.selection_table(w.cv_spread(), measured, RULE)
-
-
-@query("m7_noise_test")
-def _(w: Workspace):
-    return metrics.noise_test(w.pooled_oof_metrics(), w.cv_spread(), RULE)
-
-
 # ---- decisions -----------------------------------------------------------------------------
 
 def _thresholds(w: Workspace) -> DataFrame:
@@ -747,19 +730,6 @@ def _(w: Workspace):
     return decision.campaign_report(w.plain_test_scores(), _thresholds(w))
 
 
-def _selection_record(w: Workspace) -> DataFrame:
-    best = w.cv_spread().orderBy(F.col("cv_roc_auc").desc(), "candidate").first().candidate
-    thresholds = decision.sweep(w.all_oof(), w.cfg)
-    return decision.selection_record(
-        best, "models/selected", RULE, [RULE, LOGISTIC, LEVEL_WISE, LEAF_WISE],
-        w.pooled_oof_metrics(), thresholds, w.all_test(), w.cfg)
-
-
-@query("x7_selection_record")
-def _(w: Workspace):
-    return _selection_record(w)
-
-
 @query("x8_acceptance")
 def _(w: Workspace):
     by = ("candidate", "fold")
@@ -836,3 +806,35 @@ def _(w: Workspace):
 @query("d9_test_scores")
 def _(w: Workspace):
     return w.model_test()
+
+
+# ---- comparison of fitted models, and the record -------------------------------------------
+
+@query("m6_selection_table")
+def _(w: Workspace):
+    measured = metrics.ranking_metrics(metrics.score_levels(w.all_test()))
+    return metrics.selection_table(w.cv_spread(), measured, RULE)
+
+
+@query("m7_noise_test")
+def _(w: Workspace):
+    return metrics.noise_test(w.pooled_oof_metrics(), w.cv_spread(), RULE)
+
+
+def _selection_record(w: Workspace) -> DataFrame:
+    best = w.cv_spread().orderBy(F.col("cv_roc_auc").desc(), "candidate").first().candidate
+    thresholds = decision.sweep(w.all_oof(), w.cfg)
+    return decision.selection_record(
+        best, "models/selected", RULE, [RULE, LOGISTIC, LEVEL_WISE, LEAF_WISE],
+        w.pooled_oof_metrics(), thresholds, w.all_test(), w.cfg)
+
+
+@query("x7_selection_record")
+def _(w: Workspace):
+    return _selection_record(w)
+
+
+@query("s11_json_record")
+def _(w: Workspace):
+    path = f"{shared_folder(w.spark)}/selection-record"
+    return sinks.write_record(_selection_record(w), path)

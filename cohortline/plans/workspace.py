@@ -23,8 +23,8 @@ LEVEL_WISE = "Boosted trees, level-wise"
 LEAF_WISE = "Boosted trees, leaf-wise"
 
 # Short searches for the registered queries; the defaults in ``models`` are the full ones.
-QUICK_LEVEL_WISE = models.SearchSpace(trees=(6, 10), depth=(2, 3), min_weight_share=(0.0, 0.002))
-QUICK_LEAF_WISE = models.SearchSpace(trees=(6, 10), depth=(3, 4), min_rows=(5, 59))
+QUICK_LEVEL_WISE = models.SearchSpace(trees=(4, 6), depth=(2, 3), min_weight_share=(0.0, 0.002))
+QUICK_LEAF_WISE = models.SearchSpace(trees=(4, 6), depth=(3, 4), min_rows=(5, 59))
 QUICK_SETTINGS = 2
 
 
