@@ -6,6 +6,7 @@ that add in different orders.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -692,11 +693,20 @@ def _(w: Workspace):
     return metrics.clears_bar(metrics.comparison_table(measured, RULE), w.cfg)
 
 
-# ---- decisions -----------------------------------------------------------------------------
+@query("m6_selection_of_plain_scores")
+def _(w: Workspace):
+    measured = metrics.ranking_metrics(metrics.score_levels(w.plain_test_scores()))
+    return metrics.selection_table(
+        w.plain_spread().filter(F.col("candidate") != RULE), measured, RULE)
+
+
+@query("m7_noise_test_of_plain_scores")
+def _(w: Workspace):
+    pooled = metrics.ranking_metrics(metrics.score_levels(w.plain_train_scores()))
+    return metrics.noise_test(pooled, w.plain_spread(), RULE)
 
-def _thresholds(w: Workspace) -> DataFrame:
-    return decision.sweep(w.plain_train_scores(), w.cfg)
 
+# ---- decisions -----------------------------------------------------------------------------
 
 @query("x1_cost_at_threshold")
 def _(w: Workspace):
@@ -712,46 +722,62 @@ def _(w: Workspace):
 
 @query("x3_sweep_candidates")
 def _(w: Workspace):
-    return _thresholds(w)
+    return decision.sweep(w.plain_train_scores(), w.cfg)
 
 
 @query("x4_trivial_policies")
 def _(w: Workspace):
-    return decision.trivial_policies(w.plain_test_scores(), _thresholds(w), RULE, w.cfg)
+    return decision.trivial_policies(w.plain_test_scores(), w.plain_thresholds(), RULE, w.cfg)
 
 
 @query("x5_cost_reduction")
 def _(w: Workspace):
-    return decision.cost_reduction(w.plain_test_scores(), _thresholds(w), SELECTED, RULE, w.cfg)
+    return decision.cost_reduction(w.plain_test_scores(), w.plain_thresholds(), SELECTED, RULE, w.cfg)
 
 
 @query("x6_campaign_report")
 def _(w: Workspace):
-    return decision.campaign_report(w.plain_test_scores(), _thresholds(w))
+    return decision.campaign_report(w.plain_test_scores(), w.plain_thresholds())
+
+
+@query("x7_record_of_plain_scores")
+def _(w: Workspace):
+    """The record's fields, flattened, with a raw feature as the selected candidate."""
+    pooled = metrics.ranking_metrics(metrics.score_levels(w.plain_train_scores()))
+    record = decision.selection_record(
+        SELECTED, "models/selected", RULE, [RULE, "Frequency", SELECTED], pooled,
+        w.plain_thresholds(), w.plain_test_scores(), w.cfg)
+    return record.select(
+        "selected_model", "model_path", "threshold", "decision_parameters.*",
+        F.col("metrics.oof_roc_auc.rfm_heuristic").alias("oof_rule"),
+        F.col("metrics.oof_roc_auc.monetary").alias("oof_selected"),
+        F.col("metrics.test_cost_per_customer.contact_nobody").alias("cost_nobody"),
+        F.col("metrics.test_cost_per_customer.contact_everybody").alias("cost_everybody"),
+        F.col("metrics.test_cost_per_customer.rfm_heuristic").alias("cost_rule"),
+        F.col("metrics.test_cost_per_customer.selected").alias("cost_selected"),
+        "metrics.cost_reduction_vs_best_trivial_policy", "metrics.best_trivial_policy",
+        "metrics.test_offers_sent_pct", "metrics.test_churners_caught_pct",
+        "metrics.test_offer_precision_pct", "meets_cost_reduction_bar", "recommendation")
 
 
 @query("x8_acceptance")
 def _(w: Workspace):
-    by = ("candidate", "fold")
-    scores = w.plain_train_scores()
-    spread = metrics.fold_spread(
-        metrics.ranking_metrics(metrics.score_levels(scores, by=by), by))
-    pooled = metrics.ranking_metrics(metrics.score_levels(scores))
-    noise = metrics.noise_test(pooled, spread, RULE)
+    pooled = metrics.ranking_metrics(metrics.score_levels(w.plain_train_scores()))
+    noise = metrics.noise_test(pooled, w.plain_spread(), RULE)
     reduction = decision.cost_reduction(
-        w.plain_test_scores(), _thresholds(w), SELECTED, RULE, w.cfg)
+        w.plain_test_scores(), w.plain_thresholds(), SELECTED, RULE, w.cfg)
     return decision.acceptance(noise, reduction, w.cfg)
 
 
 @query("x9_campaign_list")
 def _(w: Workspace):
-    return decision.campaign_list(w.plain_test_scores(), _thresholds(w))
+    return decision.campaign_list(w.plain_test_scores(), w.plain_thresholds())
 
 
 @query("x10_f2_on_churners")
 def _(w: Workspace):
     return decision.f2_on_churners(
-        decision.campaign_report(w.plain_test_scores(), _thresholds(w)))
+        decision.campaign_report(w.plain_test_scores(), w.plain_thresholds()))
 
 
 @query("x11_ratio_sensitivity")
@@ -767,6 +793,11 @@ def _(w: Workspace):
     return metrics.constant_baseline(w.train(), w.test())
 
 
+@query("d7_fold_spread_of_plain_scores")
+def _(w: Workspace):
+    return w.plain_spread()
+
+
 @query("d2_logistic_regression")
 def _(w: Workspace):
     return models.scored(w.logistic(), w.test(), LOGISTIC)
@@ -836,5 +867,5 @@ def _(w: Workspace):
 
 @query("s11_json_record")
 def _(w: Workspace):
-    path = f"{shared_folder(w.spark)}/selection-record"
+    path = f"{shared_folder(w.spark)}/selection-record-{uuid.uuid4().hex}"
     return sinks.write_record(_selection_record(w), path)

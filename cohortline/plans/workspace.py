@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.config import STAR_CONFIG, RetentionConfig
-from cohortline.operators import encoding, features, labels, metrics, models, rfm, splits
+from cohortline.operators import decision, encoding, features, labels, metrics, models, rfm, splits
 from cohortline.operators.cleaning import clean_transactions
 from cohortline.session import stage
 from cohortline.sources import star_tables
@@ -127,6 +127,16 @@ class Workspace:
             .unionByName(metrics.as_candidate(self.test(), "Monetary", "monetary_total", *keep))
         )
 
+    def plain_spread(self) -> DataFrame:
+        """Mean and deviation of the plain candidates' scores over the folds."""
+        by = ("candidate", "fold")
+        levels = metrics.score_levels(self.plain_train_scores(), by=by)
+        return metrics.fold_spread(metrics.ranking_metrics(levels, by))
+
+    def plain_thresholds(self) -> DataFrame:
+        return self._once("plain thresholds", lambda: stage(
+            decision.sweep(self.plain_train_scores(), self.cfg), "thresholds"))
+
     # ---- fitted models
 
     def n_train(self) -> int:

@@ -100,6 +100,33 @@ SELECT majority_class, {r('rate', 'constant_score')},
        {r('CAST((SELECT count(*) FROM test WHERE y = majority_class) AS DOUBLE) / (SELECT count(*) FROM test)', 'accuracy')},
        (SELECT count(*) FROM test) AS n_rows FROM learned"""
 
+_SPREAD = f"""per_fold AS ({auc('train_scores', 'candidate, fold')}),
+spread AS (SELECT candidate, avg(roc_auc) AS cv_roc_auc, stddev_pop(roc_auc) AS cv_std
+           FROM per_fold GROUP BY candidate),
+pooled AS ({auc('train_scores', 'candidate')})"""
+_RULE_AUC = "(SELECT roc_auc FROM {t} WHERE candidate = 'RFM heuristic')"
+SQL["d7_fold_spread_of_plain_scores"] = f"""{SCO}, {_SPREAD}
+SELECT candidate, {r('cv_roc_auc', 'cv_roc_auc')}, {r('cv_std', 'cv_std')} FROM spread"""
+SQL["m6_selection_of_plain_scores"] = f"""{SCO}, {_SPREAD},
+fitted AS (SELECT * FROM spread WHERE candidate <> 'RFM heuristic'),
+a AS ({auc('test_scores', 'candidate')}),
+ap AS (SELECT candidate, avg(p) AS pr_auc FROM (
+  SELECT s.candidate, s.customer_id,
+         CAST(count(*) FILTER (WHERE o.y = 1) AS DOUBLE) / count(*) AS p
+  FROM test_scores s JOIN test_scores o ON o.candidate = s.candidate AND o.score >= s.score
+  WHERE s.y = 1 GROUP BY s.candidate, s.customer_id) GROUP BY candidate)
+SELECT candidate, {r('cv_roc_auc', 'cv_roc_auc')}, {r('cv_std', 'cv_std')},
+       {r('roc_auc', 'test_roc_auc')}, {r('pr_auc', 'test_pr_auc')},
+       coalesce(cv_roc_auc - {_RULE_AUC.format(t='a')} > cv_std, FALSE) AS beats_rule_beyond_noise,
+       candidate = (SELECT candidate FROM fitted ORDER BY cv_roc_auc DESC, candidate DESC LIMIT 1)
+         AS best_by_cv
+FROM a JOIN ap USING (candidate) LEFT JOIN fitted USING (candidate)"""
+SQL["m7_noise_test_of_plain_scores"] = f"""{SCO}, {_SPREAD}
+SELECT candidate, {r('roc_auc', 'roc_auc')}, {r('cv_std', 'cv_std')},
+       {r('roc_auc - ' + _RULE_AUC.format(t='pooled'), 'gap')},
+       roc_auc - {_RULE_AUC.format(t='pooled')} > cv_std AS beats_rule
+FROM pooled JOIN spread USING (candidate) WHERE candidate <> 'RFM heuristic'"""
+
 # Decisions
 SQL["x1_cost_at_threshold"] = f"""{RUL}, c AS (
   SELECT count(*) FILTER (WHERE rfm_total >= 9 AND y = 0) AS missed,
@@ -122,6 +149,29 @@ SELECT candidate, {r('threshold', 'threshold')}, n_rows AS customers, offers, ch
        {r('CASE WHEN churners > 0 THEN 100 * CAST(caught AS DOUBLE) / churners END', 'pct_caught')},
        {r('CASE WHEN offers > 0 THEN 100 * CAST(caught AS DOUBLE) / offers END', 'pct_precision')}
 FROM test_costs"""
+SQL["x7_record_of_plain_scores"] = f"""{TST},
+pooled AS ({auc('train_scores', 'candidate')})
+SELECT c.candidate AS selected_model, 'models/selected' AS model_path,
+       {r('c.threshold', 'threshold')}, {r('1.0', 'cost_missed_churner')},
+       {r('0.15', 'cost_wasted_offer')}, {r('0.2', 'min_cost_reduction_required')},
+       {r("(SELECT roc_auc FROM pooled WHERE candidate = 'RFM heuristic')", 'oof_rule')},
+       {r("(SELECT roc_auc FROM pooled WHERE candidate = 'Monetary')", 'oof_selected')},
+       {r("(SELECT cost_per_customer FROM policies WHERE policy = 'Contact nobody')", 'cost_nobody')},
+       {r("(SELECT cost_per_customer FROM policies WHERE policy = 'Contact everybody')", 'cost_everybody')},
+       {r("(SELECT cost_per_customer FROM policies WHERE policy = 'RFM heuristic')", 'cost_rule')},
+       {r('d.cost / c.n_rows', 'cost_selected')},
+       {r('d.cost_reduction', 'cost_reduction_vs_best_trivial_policy')}, d.best_trivial_policy,
+       {r('100 * CAST(offers AS DOUBLE) / n_rows', 'test_offers_sent_pct')},
+       {r('CASE WHEN churners > 0 THEN 100 * CAST(caught AS DOUBLE) / churners END', 'test_churners_caught_pct')},
+       {r('CASE WHEN offers > 0 THEN 100 * CAST(caught AS DOUBLE) / offers END', 'test_offer_precision_pct')},
+       d.cost_reduction >= 0.2 AS meets_cost_reduction_bar,
+       CASE WHEN d.cost_reduction >= 0.2
+            THEN 'Deploy Monetary at threshold ' || printf('%.4f', c.threshold) || '.'
+            ELSE 'Do not deploy a model. Monetary is the best candidate found, but its cost '
+              || 'reduction of ' || printf('%.1f', 100 * d.cost_reduction)
+              || ' percent is below the required 20 percent. Keep using the RFM heuristic.'
+            END AS recommendation
+FROM test_costs c JOIN reduction d ON c.candidate = d.candidate"""
 SQL["x8_acceptance"] = f"""{TST},
 pooled AS ({auc('train_scores', 'candidate')}),
 per_fold AS ({auc('train_scores', 'candidate, fold')}),
