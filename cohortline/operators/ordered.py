@@ -32,11 +32,10 @@ def running_totals(counts: DataFrame, by: Sequence[str], order: str, weights: Se
             **{f"{w}_total": F.sum(w).over(whole) for w in weights},
         })
 
-    n_slices = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Stored, so that the slice numbers read below are those of one partitioning.
+    # Adaptive execution may merge neighbouring ranges, never reorder them, so small inputs get
+    # few slices. Stored, so that the slice numbers read below are those of one partitioning.
     sliced = stage(
-        counts.repartitionByRange(n_slices, *by, order).withColumn(
-            "slice", F.spark_partition_id()),
+        counts.repartitionByRange(*by, order).withColumn("slice", F.spark_partition_id()),
         "slices")
     earlier = Window.partitionBy(*by).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)

@@ -52,16 +52,31 @@ def brute_sweep(pairs, cfg):
 
 # ---- running totals and quantiles
 
-def test_running_totals_spread_equals_plain_window(spark):
+@pytest.fixture(params=["merged slices", "many slices"])
+def slicing(spark, request):
+    """Small inputs end up in one slice; without merging they fill several."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, str(request.param == "merged slices").lower())
+    yield request.param
+    spark.conf.unset(key)
+
+
+def test_running_totals_spread_equals_plain_window(spark, slicing, monkeypatch):
+    stored = []
+    keep = ordered.stage
+    monkeypatch.setattr(
+        ordered, "stage", lambda df, name: stored.append(keep(df, name)) or stored[-1])
     rows = [(g, float(i), random.Random(i).randint(0, 9)) for g in "ab" for i in range(200)]
     counts = spark.createDataFrame(rows, "g string, v double, w long")
     plain = ordered.running_totals(counts, ["g"], "v", ["w"], spread=False)
     spread = ordered.running_totals(counts, ["g"], "v", ["w"], spread=True)
     assert checks.frames_equal(plain, spread.select(plain.columns))
+    slices = stored[0].groupBy("slice").agg(F.count("*").alias("n")).collect()
+    assert (len(slices) > 1) == (slicing == "many slices")
 
 
 @pytest.mark.parametrize("n", [1, 2, 7, 101])
-def test_quantiles_match_numpy(spark, n):
+def test_quantiles_match_numpy(spark, slicing, n):
     draw = random.Random(n)
     values = [float(draw.choice([1, 2, 2, 5, draw.uniform(0, 50)])) for _ in range(n)]
     frame = spark.createDataFrame([(v, i % 2) for i, v in enumerate(values)], "v double, half int")
