@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortline.config import STAR_CONFIG, RetentionConfig
 from cohortline.operators import decision, encoding, features, labels, metrics, models, rfm, splits

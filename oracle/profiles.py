@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.common import CODES, CUTOFF, END, FEAT, LAB, MAT, MIN_COUNTRY_CUSTOMERS, OBS, RAW, RRF, SPL, TX, r
+from oracle.common import CUTOFF, END, FEAT, LAB, MAT, MIN_COUNTRY_CUSTOMERS, OBS, RAW, RRF, SPL, TX, r
 from oracle.tables import KIND
 
 SQL: dict[str, str] = {}

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cohortline.config import RetentionConfig
-from cohortline.operators import checks, decision, metrics, models, ordered, rfm, splits
+from cohortline.operators import checks, decision, metrics, ordered, rfm, splits
 
 CFG = RetentionConfig()
 RULE = "rule"
