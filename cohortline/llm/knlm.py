@@ -18,7 +18,6 @@ unknown and equally likely; rows may repeat.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -315,13 +314,17 @@ def _opened(uri: str) -> list[np.ndarray]:
 
 
 def discounts(often: np.ndarray) -> np.ndarray:
-    """Discounts of counts 0, 1, 2 and 3 or more, from how many grams have counts 1, 2, 3 and 4."""
+    """Discounts of counts 0, 1, 2 and 3 or more, from how many grams have counts 1, 2, 3 and 4.
+
+    Where there are too few grams for an estimate between 0 and the count, it is half the count, so
+    every context leaves something for unseen words.
+    """
     one, two = often[0], often[1]
     share = one / (one + 2 * two) if one else 0.5
     out = [0.0]
     for k in (1, 2, 3):
-        value = k - (k + 1) * share * often[k] / often[k - 1] if often[k - 1] else k * 0.5
-        out.append(min(max(value, 0.0), k - 1e-3) if math.isfinite(value) else k * 0.5)
+        value = k - (k + 1) * share * often[k] / often[k - 1] if often[k - 1] else 0.0
+        out.append(float(value) if 0 < value < k else k / 2)
     return np.array(out)
 
 
