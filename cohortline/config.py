@@ -37,6 +37,7 @@ NUMERIC_FEATURES = (
 
 @dataclass(frozen=True)
 class RetentionConfig:
+    # Dates, shares, seed, costs and bars of the study.
     observation_start: datetime = datetime(2009, 12, 1)
     cutoff: datetime = datetime(2011, 9, 11)
     horizon_days: int = 90

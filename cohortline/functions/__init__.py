@@ -6,6 +6,7 @@ from cohortline.functions.expressions import (
     is_cancelled_invoice,
     is_standard_code,
     line_value,
+    micros_since_epoch,
     named,
     stripped,
     timestamp,
@@ -14,5 +15,5 @@ from cohortline.functions.expressions import (
 
 __all__ = [
     "CODE_PATTERN", "STRING_COLUMNS", "gross_value", "invoice_kind", "is_cancelled_invoice",
-    "is_standard_code", "line_value", "named", "stripped", "timestamp", "whole_days",
+    "is_standard_code", "line_value", "micros_since_epoch", "named", "stripped", "timestamp", "whole_days",
 ]

@@ -36,8 +36,18 @@ def stripped(column: str | Column) -> Column:
 
 
 def whole_days(start: Column, end: Column) -> Column:
-    """Elapsed time truncated to whole days, not a difference of calendar dates."""
-    return F.timestamp_diff("DAY", start, end)
+    """Elapsed time truncated to whole days, not a difference of calendar dates.
+
+    Zone-free times are subtracted as such; ``timestamp_diff`` would read them in the session's
+    zone and lose an hour where clocks change.
+    """
+    return F.extract(F.lit("DAY"), end - start).cast("bigint")
+
+
+def micros_since_epoch(time: Column) -> Column:
+    """A zone-free time as one long."""
+    elapsed = (time - F.expr("TIMESTAMP_NTZ '1970-01-01'")).cast("interval second")
+    return (elapsed.cast("decimal(18,6)") * 1_000_000).cast("bigint")
 
 
 def line_value() -> Column:
@@ -53,6 +63,7 @@ def is_cancelled_invoice() -> Column:
 
 
 def invoice_kind() -> Column:
+    # Names of the kinds.
     return (
         F.when(F.col("invoice").rlike(r"^\d+$"), "numeric")
         .when(is_cancelled_invoice(), "C prefix")

@@ -16,6 +16,7 @@ from cohortline.functions import (
     is_standard_code,
     stripped,
 )
+from cohortline.operators.checks import ContractViolation
 from cohortline.operators.cleaning import keep_rules, normalise
 
 
@@ -157,19 +158,30 @@ def price_filter_losses(raw: DataFrame, cfg: RetentionConfig) -> DataFrame:
     )
 
 
+def validate_filters(raw: DataFrame, cfg: RetentionConfig) -> None:
+    """The price rule loses no real cancellation, and every invoice left has a known kind."""
+    lost = price_filter_losses(raw, cfg).first().cancellations_removed
+    if lost:
+        raise ContractViolation(f"the price rule removes {lost} cancellations")
+    unknown = invoice_kinds_left(raw, cfg).filter("kind = 'UNCLASSIFIED'").first()
+    if unknown:
+        raise ContractViolation(f"{unknown.n_rows} rows with an unknown kind of invoice")
+
+
 def clean_profile(clean: DataFrame) -> DataFrame:
-    """Nulls, distinct keys, revenue range and kept duplicates of the clean table."""
-    columns = clean.columns
-    # Identical rows collapse first; every figure below is then weighted by their number.
-    unique_rows = clean.groupBy(*columns).agg(F.count("*").alias("copies"))
-    return unique_rows.agg(
-        F.sum("copies").alias("n_rows"),
-        F.coalesce(F.sum(F.when(F.col("customer_id").isNull(), F.col("copies"))), F.lit(0))
-        .alias("null_customer_rows"),
-        F.count_distinct("customer_id").alias("distinct_customers"),
-        F.count_distinct("invoice").alias("distinct_invoices"),
+    """Nulls, distinct keys, revenue range and kept duplicates of the clean table.
+
+    Only the duplicates need whole rows; each distinct count reads its own column.
+    """
+    copies = clean.groupBy(*clean.columns).agg(F.count("*").alias("copies"))
+    repeated = copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).scalar()
+    customers, invoices = (
+        clean.select(c).distinct().agg(F.count(c)).scalar() for c in ("customer_id", "invoice"))
+    return clean.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("customer_id").isNull()).alias("null_customer_rows"),
         F.min("line_revenue").alias("min_revenue"),
         F.max("line_revenue").alias("max_revenue"),
-        F.sum(F.col("line_revenue") * F.col("copies")).alias("sum_revenue"),
-        F.sum(F.col("copies") - 1).alias("duplicate_rows"),
-    )
+        F.sum("line_revenue").alias("sum_revenue"),
+    ).withColumns({"distinct_customers": customers, "distinct_invoices": invoices,
+                   "duplicate_rows": repeated})

@@ -87,13 +87,18 @@ def validate_features(features: DataFrame) -> None:
         raise ContractViolation(f"customer features: {broken}")
 
 
-def temporal_guard(tx: DataFrame, cfg: RetentionConfig) -> DataFrame:
-    """Half-open windows: features end before the cutoff, nothing lies past the horizon."""
+def temporal_guard(observed: DataFrame, predicted: DataFrame, cfg: RetentionConfig) -> DataFrame:
+    """Half-open windows of the rows that features and labels are made of.
+
+    Observed rows end before the cutoff, predicted ones lie between it and the horizon.
+    """
     date, cutoff, end = F.col("invoice_date"), timestamp(cfg.cutoff), timestamp(cfg.prediction_end)
-    return tx.agg(
-        F.max(F.when(date < cutoff, date)).alias("last_observation"),
-        F.min(F.when((date >= cutoff) & (date < end), date)).alias("first_prediction"),
-        F.count_if(date >= end).alias("rows_beyond_horizon"),
+    sides = observed.select(date, F.lit(True).alias("past")).unionByName(
+        predicted.select(date, F.lit(False).alias("past")))
+    return sides.agg(
+        F.max(F.when(F.col("past"), date)).alias("last_observation"),
+        F.min(F.when(~F.col("past"), date)).alias("first_prediction"),
+        F.count_if(~F.col("past") & (date >= end)).alias("rows_beyond_horizon"),
     ).withColumn(
         "holds",
         (F.col("last_observation") < cutoff)
@@ -102,8 +107,8 @@ def temporal_guard(tx: DataFrame, cfg: RetentionConfig) -> DataFrame:
     )
 
 
-def validate_windows(tx: DataFrame, cfg: RetentionConfig) -> None:
-    guard = temporal_guard(tx, cfg).first()
+def validate_windows(observed: DataFrame, predicted: DataFrame, cfg: RetentionConfig) -> None:
+    guard = temporal_guard(observed, predicted, cfg).first()
     if not guard.holds:
         raise ContractViolation(f"time windows: {guard.asDict()}")
 

@@ -42,6 +42,7 @@ def normalise(raw: DataFrame) -> DataFrame:
 
 def keep_rules(cfg: RetentionConfig) -> list[tuple[str, Column]]:
     """The filters in the order in which they are applied and audited."""
+    # Names and order of the steps.
     return [
         ("drop A-prefix invoices", not_adjustment()),
         ("drop non-product codes", is_product(cfg)),

@@ -49,8 +49,10 @@ def best_thresholds(curve: DataFrame) -> DataFrame:
         (F.col("best.cost") / F.col("best.n_rows")).alias("cost_per_customer"))
 
 
-def sweep(scores: DataFrame, cfg: RetentionConfig, spread: bool = True) -> DataFrame:
-    return best_thresholds(threshold_curve(score_levels(scores, spread=spread), cfg))
+def sweep(scores: DataFrame, cfg: RetentionConfig, levels: DataFrame | None = None) -> DataFrame:
+    """Best threshold per candidate; ``levels`` of the same scores save slicing them again."""
+    return best_thresholds(threshold_curve(
+        score_levels(scores) if levels is None else levels, cfg))
 
 
 def apply_thresholds(scores: DataFrame, thresholds: DataFrame) -> DataFrame:
@@ -193,11 +195,10 @@ def selection_record(selected: str, model_path: str, rule: str, candidates: Sequ
     report = campaign_report(
         test_scores.filter(F.col("candidate") == selected), thresholds)
     threshold, saving = F.col("threshold"), F.col("cost_reduction")
-    deploy = F.format_string(f"Deploy {selected} at threshold %.4f.", threshold)
+    deploy = F.format_string(f"Use {selected} with offers below a score of %.4f.", threshold)
     keep_rule = F.format_string(
-        f"Do not deploy a model. {selected} is the best candidate found, but its cost reduction "
-        f"of %.1f percent is below the required {100 * cfg.min_cost_reduction:.0f} percent. "
-        f"Keep using the {rule}.", 100 * saving)
+        f"Stay with the {rule}: {selected} saves %.1f percent of the campaign cost, and "
+        f"{100 * cfg.min_cost_reduction:.0f} percent would be needed.", 100 * saving)
     meets = F.coalesce("meets_bar", F.lit(False))
     return (
         report.join(reduction, "candidate")

@@ -2,8 +2,8 @@
 
 The log is reduced twice. ``order_grain`` folds lines into orders, which map-side combining
 makes cheap because an order's lines lie together, and yields every feature but the distinct
-counts. ``product_variety`` takes those from a second, three-column scan. Neither reduction
-sends one customer's lines to one task: both are keyed finer than the customer first.
+counts. ``product_variety`` takes those from narrow scans, one distinct count at a time. No reduction
+sends one customer's lines to one task: all are keyed finer than the customer first.
 """
 
 from __future__ import annotations
@@ -14,7 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.config import NUMERIC_FEATURES, OTHER, RetentionConfig
-from cohortline.functions import is_cancelled_invoice, line_value, timestamp, whole_days
+from cohortline.functions import (
+    is_cancelled_invoice,
+    line_value,
+    micros_since_epoch,
+    timestamp,
+    whole_days,
+)
 from cohortline.operators.labels import real_purchases
 
 # Fixed value: keeps the momentum ratio finite when a year's spend is zero.
@@ -44,8 +50,7 @@ def _dated_country(cfg: RetentionConfig) -> Column:
     """
     names = _country_names(cfg)
     place = F.array_position(F.array(*map(F.lit, names)), mapped_country(cfg)) - 1
-    micros = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01'"), F.col("invoice_date"))
-    return micros * len(names) + place
+    return micros_since_epoch(F.col("invoice_date")) * len(names) + place
 
 
 def _country_of(dated: Column, cfg: RetentionConfig) -> Column:
@@ -100,14 +105,34 @@ def customer_totals(orders: DataFrame, cfg: RetentionConfig) -> DataFrame:
     )
 
 
+def product_counts(tx: DataFrame, cfg: RetentionConfig) -> DataFrame:
+    """Distinct products and (order, product) pairs per customer.
+
+    Lines are reduced to pairs, pairs to products and products to customers, each step on the
+    output of the one before; a row is never multiplied for several distinct counts.
+    """
+    return (
+        real_purchases(tx, None, cfg.cutoff)
+        .groupBy("customer_id", "stock_code", "invoice").agg(F.lit(1).alias("one"))
+        .groupBy("customer_id", "stock_code").agg(F.count("*").alias("orders"))
+        .groupBy("customer_id").agg(
+            F.count("stock_code").alias("distinct_products"),
+            F.sum(F.when(F.col("stock_code").isNotNull(), F.col("orders"))).alias("order_products"))
+    )
+
+
+def active_months(tx: DataFrame, cfg: RetentionConfig) -> DataFrame:
+    """Calendar months with a purchase per customer."""
+    month = F.trunc(F.col("invoice_date").cast("date"), "month").alias("month")
+    return (
+        real_purchases(tx, None, cfg.cutoff).select("customer_id", month).distinct()
+        .groupBy("customer_id").agg(F.count("month").alias("distinct_active_months"))
+    )
+
+
 def product_variety(tx: DataFrame, cfg: RetentionConfig) -> DataFrame:
     """Distinct products, (order, product) pairs and active months per customer."""
-    return real_purchases(tx, None, cfg.cutoff).groupBy("customer_id").agg(
-        F.count_distinct("stock_code").alias("distinct_products"),
-        F.count_distinct("invoice", "stock_code").alias("order_products"),
-        F.count_distinct(F.trunc(F.col("invoice_date").cast("date"), "month"))
-        .alias("distinct_active_months"),
-    )
+    return product_counts(tx, cfg).join(active_months(tx, cfg), "customer_id")
 
 
 def add_lifecycle(totals: DataFrame, cfg: RetentionConfig) -> DataFrame:

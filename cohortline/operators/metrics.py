@@ -12,15 +12,14 @@ from cohortline.config import RetentionConfig
 from cohortline.operators.ordered import running_totals
 
 
-def score_levels(scores: DataFrame, spread: bool = True, by: tuple[str, ...] = ("candidate",)
-                 ) -> DataFrame:
+def score_levels(scores: DataFrame, by: tuple[str, ...] = ("candidate",)) -> DataFrame:
     """Per distinct score: rows of each class, running sums and totals.
 
-    ``spread=False`` is for rules with a handful of levels.
+    Slices ``scores`` at once and stores the slices; metrics and the threshold sweep can share them.
     """
     levels = scores.groupBy(*by, F.col("score").cast("double").alias("score")).agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
-    return running_totals(levels, by, "score", ["pos", "neg"], spread=spread)
+    return running_totals(levels, by, "score", ["pos", "neg"])
 
 
 def _ratio(numerator: Column, denominator: Column) -> Column:
@@ -98,6 +97,11 @@ def fold_spread(fold_metrics: DataFrame) -> DataFrame:
         F.avg("roc_auc").alias("cv_roc_auc"), F.stddev_pop("roc_auc").alias("cv_std"))
 
 
+def best_by_folds(spread: DataFrame) -> str:
+    """The one rule of choice: highest mean fold score, the later name among equals."""
+    return spread.agg(F.max_by("candidate", F.struct("cv_roc_auc", "candidate"))).first()[0]
+
+
 def noise_test(pooled: DataFrame, spread: DataFrame, rule: str) -> DataFrame:
     """Does the out-of-fold gap over the rule exceed the candidate's own fold deviation?"""
     rule_auc = pooled.filter(F.col("candidate") == rule).select("roc_auc").scalar()

@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 
 from cohortline.config import RetentionConfig
 
-# Features that all measure how much a customer buys.
+# Features that all measure how much a customer buys, and how recently.
 VOLUME_COLUMNS = ("frequency", "monetary_total", "spend_last_365d", "distinct_active_months",
                   "total_quantity", "avg_items_per_order")
+RECENCY_COLUMNS = ("recency_days", "avg_days_between_orders", "recency_over_avg_gap")
 
 
 def preprocessing(cfg: RetentionConfig, columns: Sequence[str] | None = None) -> list:
@@ -87,24 +88,40 @@ class SearchSpace:
         ]
 
 
-# Level-wise trees are bounded by depth and weight, leaf-wise ones by the rows a leaf must hold.
-LEVEL_WISE = SearchSpace(min_weight_share=(0.0, 0.002))
-LEAF_WISE = SearchSpace(depth=(3, 6), min_rows=(5, 59))
+# Both grow level by level, as Spark's trees do; one space is bounded by depth and weight, the other
+# by the rows a leaf must hold.
+DEPTH_BOUND = SearchSpace(min_weight_share=(0.0, 0.002))
+LEAF_BOUND = SearchSpace(depth=(3, 6), min_rows=(5, 59))
 
+# One setting inside each space, for fits without a search.
+DEPTH_BOUND_SETTING = {
+    "maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8,
+    "featureSubsetStrategy": "0.8", "minInstancesPerNode": 1, "minWeightFractionPerNode": 0.001}
+LEAF_BOUND_SETTING = {
+    "maxIter": 100, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8,
+    "featureSubsetStrategy": "0.8", "minInstancesPerNode": 20, "minWeightFractionPerNode": 0.0}
 
-def boosted(settings: dict, cfg: RetentionConfig) -> Pipeline:
+
+def boosted(settings: dict, cfg: RetentionConfig, assembled: bool = False) -> Pipeline:
+    """Boosted trees on unscaled columns: trees only compare values of one column."""
     model = GBTClassifier(labelCol="y", seed=cfg.seed, **settings)
-    return Pipeline(stages=[*preprocessing(cfg), model])
+    return Pipeline(stages=[model] if assembled else [_plain_columns(cfg), model])
+
+
+def _plain_columns(cfg: RetentionConfig) -> VectorAssembler:
+    return VectorAssembler(inputCols=feature_names(cfg), outputCol="features")
 
 
 def random_search(train: DataFrame, space: SearchSpace, cfg: RetentionConfig,
                   parallelism: int = 4) -> tuple[dict, DataFrame]:
     """Best setting by mean ROC-AUC over the shared folds, and the table of all settings.
 
-    ``train`` carries its ``fold`` column. Settings and folds run as concurrent Spark jobs.
+    ``train`` carries its ``fold`` column. Settings and folds run as concurrent Spark jobs. Columns are
+    assembled once, before any fit.
     """
     settings = space.sample(cfg.search_settings, cfg.seed)
-    estimator = boosted({}, cfg)
+    train = _plain_columns(cfg).transform(train)
+    estimator = boosted({}, cfg, assembled=True)
     classifier = estimator.getStages()[-1]
     grid = [{classifier.getParam(k): v for k, v in one.items()} for one in settings]
     evaluator = BinaryClassificationEvaluator(

@@ -8,7 +8,9 @@ is one counted row.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+import operator
+from collections.abc import Callable, Collection, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,21 +19,15 @@ from cohortline.session import stage
 
 
 def running_totals(counts: DataFrame, by: Sequence[str], order: str, weights: Sequence[str],
-                   spread: bool = True) -> DataFrame:
+                   wanted: Callable[[str], Column] | None = None) -> DataFrame:
     """Add ``<weight>_upto`` (inclusive running sum) and ``<weight>_total`` within ``by``.
 
-    ``counts`` holds each (by, order) pair once. ``spread=False`` uses one plain window and is
-    for inputs with few distinct values by construction, such as a rule's score levels.
+    ``counts`` holds each (by, order) pair once and is evaluated by this call, not later: its slices
+    are stored in the shared folder. ``wanted`` tells from a weight's totals of a slice
+    (``<weight>_before``, ``<weight>``, ``<weight>_total``) whether the slice is needed for it;
+    slices that no weight needs are not read again.
     """
     by = list(by)
-    if not spread:
-        upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        whole = Window.partitionBy(*by)
-        return counts.withColumns({
-            **{f"{w}_upto": F.sum(w).over(upto) for w in weights},
-            **{f"{w}_total": F.sum(w).over(whole) for w in weights},
-        })
-
     # Adaptive execution may merge neighbouring ranges, never reorder them, so small inputs get
     # few slices. Stored, so that the slice numbers read below are those of one partitioning.
     sliced = stage(
@@ -43,17 +39,23 @@ def running_totals(counts: DataFrame, by: Sequence[str], order: str, weights: Se
     offsets = (
         sliced.groupBy(*by, "slice").agg(*[F.sum(w).alias(w) for w in weights])
         .select(
-            *by, "slice",
+            *by, "slice", *weights,
             *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"{w}_before") for w in weights],
             *[F.sum(w).over(whole).alias(f"{w}_total") for w in weights],
         )
     )
+    if wanted:
+        offsets = offsets.filter(reduce(operator.or_, [wanted(w) for w in weights]))
+    # Null-safe: rows without a group are a group of their own.
+    keys = [*by, "slice"]
+    offsets = offsets.drop(*weights).withColumnsRenamed({k: f"of_{k}" for k in keys})
+    same = reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys])
     inside = Window.partitionBy(*by, "slice").orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0)
     return (
-        sliced.join(offsets, [*by, "slice"])
+        sliced.join(offsets, same)
         .withColumns({f"{w}_upto": F.sum(w).over(inside) + F.col(f"{w}_before") for w in weights})
-        .drop("slice", *[f"{w}_before" for w in weights])
+        .drop("slice", *[f"of_{k}" for k in keys], *[f"{w}_before" for w in weights])
     )
 
 
@@ -86,7 +88,14 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     )
     counts = long.groupBy(*by, "column", "value").agg(
         *[F.count_if(flag).alias(flag) for flag in flags.values()])
-    totals = running_totals(counts, [*by, "column"], "value", list(flags.values()))
+    def on_a_rank(flag: str) -> Column:
+        """Does the slice hold a value at one of the ranks?"""
+        low, n = F.col(f"{flag}_before"), F.col(flag)
+        ranks = [r for p in probs for r in _positions(F.col(f"{flag}_total"), p, p in nearest)[:2]]
+        return reduce(operator.or_, [(r >= low) & (r < low + n) for r in ranks])
+
+    totals = running_totals(
+        counts, [*by, "column"], "value", list(flags.values()), wanted=on_a_rank)
 
     per_fit = totals.select(*by, "column", "value", F.inline(F.array(*[
         F.struct(

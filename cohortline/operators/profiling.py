@@ -68,6 +68,8 @@ def blank_counts(raw: DataFrame) -> DataFrame:
     ).unpivot([], columns, "column", "n_blank")
 
 
+# The defaults of the operators below are the figures reported for the log.
+
 def short_descriptions(raw: DataFrame, longest: int = 3) -> DataFrame:
     """Notes typed in place of a product name."""
     return raw.filter(F.length(stripped("description")) <= longest).groupBy("description").agg(
@@ -75,14 +77,18 @@ def short_descriptions(raw: DataFrame, longest: int = 3) -> DataFrame:
 
 
 def unattributed_share(raw: DataFrame) -> DataFrame:
+    """Rows, revenue and invoices without a customer; invoices are reduced to one row first."""
     missing = F.expr(IS_UNATTRIBUTED)
-    return raw.agg(
-        F.count_if(missing).alias("null_rows"),
-        _pct(F.count_if(missing), F.count("*")).alias("pct_rows"),
-        _pct(F.coalesce(F.sum(F.when(missing, line_value())), F.lit(0.0)), F.sum(line_value()))
-        .alias("pct_revenue"),
-        F.count_distinct(F.when(missing, F.col("invoice"))).alias("null_invoices"),
-        F.count_distinct("invoice").alias("all_invoices"),
+    per_invoice = raw.groupBy("invoice").agg(
+        F.count_if(missing).alias("n_null"), _rows(), F.sum(line_value()).alias("revenue"),
+        F.sum(F.when(missing, line_value())).alias("null_revenue"))
+    known = F.col("invoice").isNotNull()
+    return per_invoice.agg(
+        F.sum("n_null").alias("null_rows"),
+        _pct(F.sum("n_null"), F.sum("n_rows")).alias("pct_rows"),
+        _pct(F.coalesce(F.sum("null_revenue"), F.lit(0.0)), F.sum("revenue")).alias("pct_revenue"),
+        F.count_if(known & (F.col("n_null") > 0)).alias("null_invoices"),
+        F.count_if(known).alias("all_invoices"),
     )
 
 
@@ -210,13 +216,16 @@ def customers_per_country(raw: DataFrame) -> DataFrame:
 def top_country_coverage(per_country: DataFrame, sizes=(1, 5, 10, 15)) -> DataFrame:
     """Share of customers in the N largest countries, for several N.
 
-    The input is one row per country, so one ordered window over it is small.
+    Only the largest N rows are ranked; the total is a scalar of its own.
     """
-    place = Window.partitionBy(F.lit(0)).orderBy(F.col("customers").desc(), "country")
-    ranked = per_country.withColumn("place", F.row_number().over(place))
+    total = per_country.agg(F.sum("customers")).scalar()
+    order = [F.col("customers").desc(), F.col("country")]
+    largest = per_country.orderBy(*order).limit(max(sizes))
+    ranked = largest.withColumn(
+        "place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
     shares = ranked.agg(
-        F.sum("customers").alias("total"),
-        *[F.sum(F.when(F.col("place") <= n, F.col("customers"))).alias(f"top_{n}") for n in sizes])
+        *[F.sum(F.when(F.col("place") <= n, F.col("customers"))).alias(f"top_{n}") for n in sizes]
+    ).withColumn("total", total)
     return shares.select(F.inline(F.array(*[
         F.struct(F.lit(n).alias("top_n"), _pct(F.col(f"top_{n}"), F.col("total")).alias("pct"))
         for n in sizes
@@ -343,8 +352,10 @@ def cancellation_cohorts(raw: DataFrame, rfm: DataFrame, cfg: RetentionConfig) -
     ).select("customer_id").distinct().withColumn("cancelled", F.lit(True))
     flagged = rfm.join(cancels, "customer_id", "left").withColumn(
         "has_cancelled", F.coalesce("cancelled", F.lit(False)))
+    total = rfm.agg(F.count("*")).scalar()
     rates = flagged.groupBy("has_cancelled").agg(
-        F.count("*").alias("customers"), F.avg("y").alias("repeat_rate"))
+        F.count("*").alias("customers"), F.avg("y").alias("repeat_rate")
+    ).withColumn("pct", _pct(F.col("customers"), total))
     middle = medians(flagged, ["frequency"], by=["has_cancelled"], suffix="_median")
     return rates.join(middle, "has_cancelled")
 
@@ -385,13 +396,20 @@ def window_sizes(tx: DataFrame, cfg: RetentionConfig) -> DataFrame:
 # ---- from raw to clean ---------------------------------------------------------------------
 
 def lost_customers(raw: DataFrame, tx: DataFrame, cfg: RetentionConfig) -> DataFrame:
-    """What customers bought who are buyers on raw rows but not on clean ones."""
+    """What customers bought who are buyers on raw rows but not on clean ones.
+
+    Every row also has the number of such customers and of all their rows.
+    """
     attributed = raw.filter(
         ~F.expr(IS_UNATTRIBUTED) & (F.col("invoice_date") < timestamp(cfg.cutoff)))
     raw_buyers = attributed.filter(~is_cancelled_invoice()).select("customer_id").distinct()
     clean_buyers = real_purchases(tx, None, cfg.cutoff).select("customer_id").distinct()
     lost = raw_buyers.join(clean_buyers, "customer_id", "left_anti")
-    return attributed.join(lost, "customer_id", "left_semi").groupBy("stock_code").agg(_rows())
+    bought = attributed.join(lost, "customer_id", "left_semi")
+    return bought.groupBy("stock_code").agg(_rows()).withColumns({
+        "lost_customers": lost.agg(F.count("*")).scalar(),
+        "lost_rows": bought.agg(F.count("*")).scalar(),
+    })
 
 
 def same_day_repeaters(tx: DataFrame, cfg: RetentionConfig) -> DataFrame:

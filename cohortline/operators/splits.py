@@ -29,7 +29,10 @@ def ranked_within_class(keys: DataFrame, seed: int) -> DataFrame:
     offsets = drawn.groupBy("y", "bucket").agg(F.count("*").alias("n")).select(
         "y", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     inside = Window.partitionBy("y", "bucket").orderBy("draw", "customer_id")
-    return drawn.join(offsets, ["y", "bucket"]).select(
+    # Null-safe: rows without a class are a class of their own.
+    offsets = offsets.withColumnsRenamed({"y": "of_class", "bucket": "of_bucket"})
+    same = F.col("y").eqNullSafe(F.col("of_class")) & (F.col("bucket") == F.col("of_bucket"))
+    return drawn.join(offsets, same).select(
         "customer_id", "y", (F.col("before") + F.row_number().over(inside)).alias("rank"))
 
 
@@ -54,7 +57,9 @@ def test_quotas(keys: DataFrame, cfg: RetentionConfig) -> DataFrame:
 def assign_split(keys: DataFrame, cfg: RetentionConfig) -> DataFrame:
     """(customer_id, y, split) with exact class shares."""
     # Quotas hold one row per class, so sending them to every task is safe.
-    ranked = ranked_within_class(keys, cfg.seed).join(F.broadcast(test_quotas(keys, cfg)), "y")
+    quotas = test_quotas(keys, cfg).withColumnRenamed("y", "of_class")
+    ranked = ranked_within_class(keys, cfg.seed).join(
+        F.broadcast(quotas), F.col("y").eqNullSafe(F.col("of_class")))
     split = F.when(F.col("rank") <= F.col("quota"), "test").otherwise("train")
     return ranked.select("customer_id", "y", split.alias("split"))
 

@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.config import RetentionConfig
-from cohortline.operators import checks, decision, encoding, features, labels, metrics, models, rfm, splits
+from cohortline.operators import audit, checks, decision, encoding, features, labels, metrics, models, rfm, splits
 from cohortline.operators.cleaning import clean_transactions
-from cohortline.plans.workspace import LEAF_WISE, LEVEL_WISE, LOGISTIC, RULE
+from cohortline.plans.workspace import LEAF_BOUND, DEPTH_BOUND, LOGISTIC, RULE
 from cohortline.session import stage
 from cohortline.sources import ingest, sinks
 
-SLUGS = {LOGISTIC: "logistic", LEVEL_WISE: "level_wise", LEAF_WISE: "leaf_wise"}
+SLUGS = {LOGISTIC: "logistic", DEPTH_BOUND: "depth_bound", LEAF_BOUND: "leaf_bound"}
 
 
 @dataclass(frozen=True)
@@ -67,10 +67,11 @@ def ingest_job(spark: SparkSession, parts: dict[str, str], out: Layout, fmt: str
 
 
 def cleaning_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> DataFrame:
-    """Clean the raw table; the contract is checked on the written rows."""
-    clean_transactions(spark.read.parquet(out.raw), cfg).write.mode(
-        "overwrite").parquet(out.clean)
-    clean = spark.read.parquet(out.clean)
+    """Clean the raw table; filters, reload and the contract of the written rows are checked."""
+    raw = spark.read.parquet(out.raw)
+    audit.validate_filters(raw, cfg)
+    clean = sinks.write_checked(
+        stage(ingest.clustered(clean_transactions(raw, cfg)), "clean"), out.clean)
     checks.validate_clean(clean)
     return clean
 
@@ -78,7 +79,9 @@ def cleaning_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> Data
 def features_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> DataFrame:
     """The labelled matrix in customer order, with its contracts and its reload checked."""
     clean = spark.read.parquet(out.clean)
-    checks.validate_windows(clean, cfg)
+    checks.validate_windows(
+        labels.real_purchases(clean, None, cfg.cutoff),
+        labels.real_purchases(clean, cfg.cutoff, cfg.prediction_end), cfg)
     built = stage(features.build_customer_features(clean, cfg), "features")
     checks.validate_features(built)
     labelled = stage(labels.build_labels(clean, cfg), "labels")
@@ -86,7 +89,7 @@ def features_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> Data
     if not counts.left_rows == counts.right_rows == counts.joined_rows:
         raise checks.ContractViolation(f"labels and features do not line up: {counts.asDict()}")
     matrix = encoding.labelled_matrix(labelled, encoding.encode_features(built, cfg), cfg)
-    return sinks.write_checked(matrix.orderBy("customer_id"), out.matrix)
+    return sinks.write_checked(stage(matrix.orderBy("customer_id"), "matrix"), out.matrix)
 
 
 def split_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> None:
@@ -94,41 +97,45 @@ def split_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> None:
     matrix = spark.read.parquet(out.matrix)
     assigned = stage(splits.assign_split(matrix, cfg), "split")
     folds = splits.assign_folds(assigned.filter("split = 'train'"), cfg)
-    matrix.join(folds.select("customer_id", "fold"), "customer_id").write.mode(
-        "overwrite").parquet(out.train)
-    matrix.join(assigned.filter("split = 'test'").select("customer_id"), "customer_id").write.mode(
-        "overwrite").parquet(out.test)
+    train = matrix.join(folds.select("customer_id", "fold"), "customer_id")
+    test = matrix.join(assigned.filter("split = 'test'").select("customer_id"), "customer_id")
     overlap = checks.key_overlap(
-        spark.read.parquet(out.train), spark.read.parquet(out.test)).first()
+        sinks.write_checked(stage(train, "train"), out.train),
+        sinks.write_checked(stage(test, "test"), out.test)).first()
     if overlap.shared_keys:
         raise checks.ContractViolation(f"{overlap.shared_keys} customers in both splits")
 
 
 def training_job(spark: SparkSession, cfg: RetentionConfig, out: Layout,
-                 level_wise: models.SearchSpace = models.LEVEL_WISE,
-                 leaf_wise: models.SearchSpace = models.LEAF_WISE, parallelism: int = 4) -> None:
+                 depth_bound: models.SearchSpace = models.DEPTH_BOUND,
+                 leaf_bound: models.SearchSpace = models.LEAF_BOUND, parallelism: int = 4) -> None:
     """Fit every candidate, save it with its out-of-fold probabilities."""
     train = spark.read.parquet(out.train)
     n_train = train.count()
     best = {name: models.random_search(train, space, cfg, parallelism)[0]
-            for name, space in ((LEVEL_WISE, level_wise), (LEAF_WISE, leaf_wise))}
+            for name, space in ((DEPTH_BOUND, depth_bound), (LEAF_BOUND, leaf_bound))}
     makers = {
         LOGISTIC: lambda n: models.logistic(n, cfg),
-        LEVEL_WISE: lambda n: models.boosted(best[LEVEL_WISE], cfg),
-        LEAF_WISE: lambda n: models.boosted(best[LEAF_WISE], cfg),
+        DEPTH_BOUND: lambda n: models.boosted(best[DEPTH_BOUND], cfg),
+        LEAF_BOUND: lambda n: models.boosted(best[LEAF_BOUND], cfg),
     }
     for name, make in makers.items():
-        sinks.save_model(make(n_train).fit(train), out.model(name))
+        model = make(n_train).fit(train)
+        reloaded = sinks.save_model(model, out.model(name))
+        if not checks.frames_equal(
+                models.scored(model, train, name), models.scored(reloaded, train, name)):
+            raise checks.ContractViolation(f"{name}: predictions changed on reload")
         sinks.write_predictions(
             models.out_of_fold(train, make, name, cfg), out.predictions(name))
 
 
 def decision_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> DataFrame:
-    """Compare candidates out of fold, cost the best one on test once, and write the record."""
+    """Choose a candidate by its mean fold score, cost it on test once, and write the record."""
     train, test = spark.read.parquet(out.train), spark.read.parquet(out.test)
     edges = stage(rfm.fit_edges(train, cfg), "edges")
     oof = metrics.as_candidate(
-        rfm.score_out_of_fold(train, edges), RULE, "rfm_total", "customer_id")
+        rfm.score_out_of_fold(train, edges), RULE, "rfm_total", "customer_id", "fold")
+    folds = train.select("customer_id", "fold")
     on_test = metrics.as_candidate(
         rfm.score_with_train_edges(test, edges), RULE, "rfm_total", "customer_id")
     for name in SLUGS:
@@ -136,13 +143,17 @@ def decision_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> Data
         lined_up = checks.unmatched_keys(saved, train).first()
         if lined_up.unmatched_rows:
             raise checks.ContractViolation(f"{name}: {lined_up.unmatched_rows} unmatched rows")
-        oof = oof.unionByName(metrics.as_candidate(saved, name, "oof_proba", "customer_id"))
+        oof = oof.unionByName(metrics.as_candidate(
+            saved.join(folds, "customer_id"), name, "oof_proba", "customer_id", "fold"))
         on_test = on_test.unionByName(
             models.scored(PipelineModel.load(out.model(name)), test, name))
-    pooled = stage(metrics.ranking_metrics(metrics.score_levels(oof)), "pooled")
-    selected = pooled.filter(F.col("candidate") != RULE).orderBy(
-        F.col("roc_auc").desc(), "candidate").first().candidate
-    thresholds = stage(decision.sweep(oof, cfg), "thresholds")
+    oof = stage(oof, "oof")
+    by = ("candidate", "fold")
+    spread = metrics.fold_spread(metrics.ranking_metrics(metrics.score_levels(oof, by), by))
+    selected = metrics.best_by_folds(spread.filter(F.col("candidate") != RULE))
+    levels = stage(metrics.score_levels(oof), "levels")
+    pooled = stage(metrics.ranking_metrics(levels), "pooled")
+    thresholds = stage(decision.sweep(oof, cfg, levels), "thresholds")
     record = decision.selection_record(
         selected, out.model(selected), RULE, [RULE, *SLUGS], pooled, thresholds,
         stage(on_test, "test-scores"), cfg)

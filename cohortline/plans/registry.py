@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import timedelta
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +29,16 @@ from cohortline.operators import (
     rfm,
     splits,
 )
-from cohortline.plans.workspace import LEAF_WISE, LEVEL_WISE, LOGISTIC, RULE, Workspace, workspace
-from cohortline.session import shared_folder
+from cohortline.plans import jobs
+from cohortline.plans.workspace import (
+    DEPTH_BOUND,
+    LEAF_BOUND,
+    LOGISTIC,
+    RULE,
+    Workspace,
+    workspace,
+)
+from cohortline.session import shared_folder, stage
 from cohortline.sources import ingest, sinks, star_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,8 +48,7 @@ DRILL_DOWN_CUSTOMER = 37
 FIXED_THRESHOLD = 9.0
 SENSITIVITY_COSTS = (0.05, 0.1, 0.15, 0.3, 0.6)
 EXTREME_QUANTITY = 49
-SELECTED = "Monetary"
-EARLY_CUTOFF = datetime(1995, 6, 1)
+SELECTED = "Recency"
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -70,25 +78,82 @@ def tickets(df: DataFrame, *columns: str) -> DataFrame:
 
 @query("s3_rename_columns")
 def _(w: Workspace):
-    return ingest.rename_columns(star_tables.source_log(w.spark, w.folder))
+    return ingest.rename_columns(w.source())
 
 
 @query("s4_tag_part")
 def _(w: Workspace):
-    name = star_tables.PARTS[0]
-    part = ingest.rename_columns(star_tables.source_part(w.spark, w.folder, name))
-    return ingest.tag_part(part, name)
+    first, second = (
+        ingest.tag_part(ingest.rename_columns(star_tables.source_part(w.source(), name)), name)
+        for name in star_tables.PARTS)
+    return first.unionByName(second)
 
 
 @query("s5_concat_parts")
 def _(w: Workspace):
-    return star_tables.raw_from_parts(w.spark, w.folder)
+    return star_tables.raw_from_parts(w.source())
+
+
+def _path(w: Workspace, name: str) -> str:
+    return f"{shared_folder(w.spark)}/cohortline/{name}-{uuid.uuid4().hex}"
+
+
+def _csv_parts(w: Workspace) -> dict[str, str]:
+    """The parts of the log as CSV folders with headings."""
+    def write(name: str) -> str:
+        path = _path(w, "csv")
+        star_tables.source_part(w.source(), name).write.option("header", True).option(
+            "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+        return path
+    return w._once("csv parts", lambda: {name: write(name) for name in star_tables.PARTS})
+
+
+@query("s1_read_parts")
+def _(w: Workspace):
+    first, second = (ingest.tag_part(ingest.rename_columns(
+        ingest.read_part(w.spark, path, name)), name) for name, path in _csv_parts(w).items())
+    return first.unionByName(second)
+
+
+@query("s2_required_columns")
+def _(w: Workspace):
+    return ingest.load_raw(w.spark, _csv_parts(w))
+
+
+@query("s6_build_raw_parquet")
+def _(w: Workspace):
+    target = _path(w, "raw-built")
+    ingest.build_raw_parquet(w.spark, _csv_parts(w), target)
+    return ingest.build_raw_parquet(w.spark, {}, target)
 
 
 @query("s7_parquet_scan")
 def _(w: Workspace):
-    return star_tables.read_table(w.spark, w.folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    return star_tables.read_table(w.spark, w.folder, "lineitem")
+
+
+@query("s8_checked_sink")
+def _(w: Workspace):
+    return sinks.write_checked(w.matrix(), _path(w, "checked"))
+
+
+@query("s9_prediction_sink")
+def _(w: Workspace):
+    scores = w.plain_train_scores().filter(F.col("candidate") == SELECTED)
+    return sinks.write_predictions(scores, _path(w, "predictions"))
+
+
+@query("s10_reloaded_model")
+def _(w: Workspace):
+    """Rows per split, and how many of them score differently after saving and loading."""
+    both = w.train().withColumn("split", F.lit("train")).unionByName(
+        w.test().withColumn("split", F.lit("test")), allowMissingColumns=True)
+    one, two = (
+        models.scored(m, both, LOGISTIC, "split") for m in (w.fitted(LOGISTIC), w.reloaded(LOGISTIC)))
+    pairs = one.join(two.select("customer_id", F.col("score").alias("again")), "customer_id")
+    return pairs.groupBy("split").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(~F.col("score").eqNullSafe(F.col("again"))).alias("changed"))
 
 
 # ---- contracts -----------------------------------------------------------------------------
@@ -115,7 +180,32 @@ def _(w: Workspace):
 
 @query("v5_temporal_guard")
 def _(w: Workspace):
-    return checks.temporal_guard(w.clean(), w.cfg)
+    return checks.temporal_guard(
+        labels.real_purchases(w.clean(), None, w.cfg.cutoff),
+        labels.real_purchases(w.clean(), w.cfg.cutoff, w.cfg.prediction_end), w.cfg)
+
+
+@query("v6_frame_difference")
+def _(w: Workspace):
+    """The labelled matrix against itself without some customers and with others doubled."""
+    labelled = w.labels().withColumn("y", F.col("y").cast("int"))
+    changed = labelled.filter("customer_id % 10 <> 3").unionByName(
+        labelled.filter("customer_id % 10 = 4"))
+    return checks.frame_difference(labelled, changed)
+
+
+@query("v7_single_rows_encode_alike")
+def _(w: Workspace):
+    """Every customer encoded with all others and within one of many small batches."""
+    features_ = w.features()
+    batch = encoding.encode_features(features_, w.cfg)
+    parts = [encoding.encode_features(features_.filter(
+        F.pmod("customer_id", F.lit(4)) == k), w.cfg) for k in range(4)]
+    small = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    both = batch.withColumn("side", F.lit(1)).unionByName(small.withColumn("side", F.lit(-1)))
+    left = both.groupBy(*batch.columns).agg(F.sum("side").alias("surplus"))
+    return left.agg(
+        F.count("*").alias("customers"), F.count_if(F.col("surplus") != 0).alias("different"))
 
 
 @query("v8_key_overlap")
@@ -184,10 +274,8 @@ def _(w: Workspace):
 
 @query("c7_cast_customer")
 def _(w: Workspace):
-    as_text = w.raw().withColumn(
-        "customer_id", F.col("customer_id").cast("string"))
-    return tickets(as_text.withColumn("customer_id", F.col("customer_id").cast("bigint")),
-                   "customer_id")
+    as_text = w.raw().withColumn("customer_id", F.col("customer_id").cast("string"))
+    return tickets(cleaning.finish(as_text), "customer_id")
 
 
 @query("c8_line_revenue")
@@ -201,6 +289,13 @@ def _(w: Workspace):
     return w.raw().drop("description", "source_sheet", "never_there")
 
 
+@query("c11_cleaning_job")
+def _(w: Workspace):
+    out = jobs.Layout(_path(w, "job"))
+    w.raw().write.parquet(out.raw)
+    return jobs.cleaning_job(w.spark, w.cfg, out)
+
+
 @query("c10_cleaning_summary")
 def _(w: Workspace):
     return cleaning.cleaning_summary(w.raw(), w.cfg)
@@ -240,7 +335,7 @@ def _(w: Workspace):
 
 @query("a6_odd_survivors")
 def _(w: Workspace):
-    return audit.odd_survivors(w.raw(), w.cfg.with_(non_product_codes=("POST",)))
+    return audit.odd_survivors(w.raw(), w.cfg)
 
 
 @query("a7_clean_profile")
@@ -392,6 +487,11 @@ def _(w: Workspace):
     return profiling.correlation_matrix(w.train(), list(models.VOLUME_COLUMNS))
 
 
+@query("p26_recency_correlations")
+def _(w: Workspace):
+    return profiling.correlation_matrix(w.train(), list(models.RECENCY_COLUMNS))
+
+
 @query("p27_skewness")
 def _(w: Workspace):
     return profiling.skewness_table(w.rfm_from_raw())
@@ -441,9 +541,7 @@ def _(w: Workspace):
 
 @query("p36_lost_customers")
 def _(w: Workspace):
-    # With a short history some customers have bought nothing but dropped codes.
-    return profiling.lost_customers(
-        w.raw(), w.clean(), w.cfg.with_(cutoff=EARLY_CUTOFF))
+    return profiling.lost_customers(w.raw(), w.clean(), w.cfg)
 
 
 @query("p37_same_day_repeaters")
@@ -498,17 +596,20 @@ FROM_ORDERS = {
     "f20_spend_momentum": ["spend_momentum"],
     "f21_latest_country": ["country"],
 }
-FROM_VARIETY = {
-    "f10_distinct_products": ["distinct_products"],
-    "f13_distinct_active_months": ["distinct_active_months"],
-}
 
 for _key, _columns in FROM_ORDERS.items():
     query(_key)(lambda w, columns=_columns: features.order_features(
         w.clean(), w.cfg).select("customer_id", *columns))
-for _key, _columns in FROM_VARIETY.items():
-    query(_key)(lambda w, columns=_columns: features.product_variety(
-        w.clean(), w.cfg).select("customer_id", *columns))
+
+
+@query("f10_distinct_products")
+def _(w: Workspace):
+    return features.product_counts(w.clean(), w.cfg).select("customer_id", "distinct_products")
+
+
+@query("f13_distinct_active_months")
+def _(w: Workspace):
+    return features.active_months(w.clean(), w.cfg)
 
 
 @query("f14_avg_distinct_products_per_order")
@@ -560,6 +661,13 @@ def _(w: Workspace):
     return encoding.standardise(w.test(), w.train(), list(w.cfg.continuous_columns))
 
 
+@query("e5_standardise_subset")
+def _(w: Workspace):
+    """Only the given columns, scaled by the statistics of the training rows."""
+    scaled = encoding.standardise(w.test(), w.train(), list(models.VOLUME_COLUMNS))
+    return scaled.select("customer_id", "y", *models.VOLUME_COLUMNS)
+
+
 # ---- splits --------------------------------------------------------------------------------
 
 @query("k1_stratified_split")
@@ -646,7 +754,7 @@ def _(w: Workspace):
     in_sample = metrics.as_candidate(
         w.rule_train().withColumn("fold", F.lit(-1)), RULE, "rfm_total", "fold")
     aucs = metrics.ranking_metrics(
-        metrics.score_levels(in_fold.unionByName(in_sample), spread=False, by=by), by)
+        metrics.score_levels(in_fold.unionByName(in_sample), by), by)
     # Fold -1 is the fit on, and score of, all training rows.
     return aucs.join(
         groups.withColumn("fold", F.coalesce("fold", F.lit(-1))), "fold"
@@ -689,7 +797,7 @@ def _constant_scores(w: Workspace) -> DataFrame:
 def _(w: Workspace):
     rule = metrics.as_candidate(w.rule_test(), RULE, "rfm_total")
     scores = rule.unionByName(_constant_scores(w))
-    measured = metrics.ranking_metrics(metrics.score_levels(scores, spread=False))
+    measured = metrics.ranking_metrics(metrics.score_levels(scores))
     return metrics.clears_bar(metrics.comparison_table(measured, RULE), w.cfg)
 
 
@@ -702,7 +810,7 @@ def _(w: Workspace):
 
 @query("m7_noise_test_of_plain_scores")
 def _(w: Workspace):
-    pooled = metrics.ranking_metrics(metrics.score_levels(w.plain_train_scores()))
+    pooled = w.plain_pooled()
     return metrics.noise_test(pooled, w.plain_spread(), RULE)
 
 
@@ -717,7 +825,7 @@ def _(w: Workspace):
 @query("x2_sweep_rule")
 def _(w: Workspace):
     scores = metrics.as_candidate(w.rule_oof(), RULE, "rfm_total")
-    return decision.sweep(scores, w.cfg, spread=False)
+    return decision.sweep(scores, w.cfg)
 
 
 @query("x3_sweep_candidates")
@@ -743,14 +851,27 @@ def _(w: Workspace):
 @query("x7_record_of_plain_scores")
 def _(w: Workspace):
     """The record's fields, flattened, with a raw feature as the selected candidate."""
-    pooled = metrics.ranking_metrics(metrics.score_levels(w.plain_train_scores()))
+    pooled = w.plain_pooled()
+    record = decision.selection_record(
+        SELECTED, "models/selected", RULE, [RULE, "Frequency", "Monetary", SELECTED], pooled,
+        w.plain_thresholds(), stage(w.plain_test_scores(), "plain-test"), w.cfg)
+    return flat_record(record)
+
+
+@query("s11_json_record_of_plain_scores")
+def _(w: Workspace):
+    """The same record, written as JSON and read back."""
     record = decision.selection_record(
-        SELECTED, "models/selected", RULE, [RULE, "Frequency", SELECTED], pooled,
-        w.plain_thresholds(), w.plain_test_scores(), w.cfg)
+        SELECTED, "models/selected", RULE, [RULE, "Frequency", "Monetary", SELECTED],
+        w.plain_pooled(), w.plain_thresholds(), stage(w.plain_test_scores(), "plain-test"), w.cfg)
+    return flat_record(sinks.write_record(record, _path(w, "record")))
+
+
+def flat_record(record: DataFrame) -> DataFrame:
     return record.select(
         "selected_model", "model_path", "threshold", "decision_parameters.*",
         F.col("metrics.oof_roc_auc.rfm_heuristic").alias("oof_rule"),
-        F.col("metrics.oof_roc_auc.monetary").alias("oof_selected"),
+        F.col("metrics.oof_roc_auc.recency").alias("oof_selected"),
         F.col("metrics.test_cost_per_customer.contact_nobody").alias("cost_nobody"),
         F.col("metrics.test_cost_per_customer.contact_everybody").alias("cost_everybody"),
         F.col("metrics.test_cost_per_customer.rfm_heuristic").alias("cost_rule"),
@@ -762,7 +883,7 @@ def _(w: Workspace):
 
 @query("x8_acceptance")
 def _(w: Workspace):
-    pooled = metrics.ranking_metrics(metrics.score_levels(w.plain_train_scores()))
+    pooled = w.plain_pooled()
     noise = metrics.noise_test(pooled, w.plain_spread(), RULE)
     reduction = decision.cost_reduction(
         w.plain_test_scores(), w.plain_thresholds(), SELECTED, RULE, w.cfg)
@@ -782,7 +903,7 @@ def _(w: Workspace):
 
 @query("x11_ratio_sensitivity")
 def _(w: Workspace):
-    curve = decision.threshold_curve(metrics.score_levels(w.plain_train_scores()), w.cfg)
+    curve = decision.threshold_curve(w.plain_levels(), w.cfg)
     return decision.ratio_sensitivity(curve, SENSITIVITY_COSTS, w.cfg)
 
 
@@ -814,14 +935,50 @@ def _(w: Workspace):
     return models.coefficients(subset, w.cfg, models.VOLUME_COLUMNS)
 
 
-@query("d5_boosted_level_wise")
+def _zero_gradient(w: Workspace, model, columns=None) -> DataFrame:
+    """Per feature the slope of the penalised loss at the fitted point, which must vanish.
+
+    Taken from the scored training rows: sum of (probability - y) * x, plus the coefficient.
+    """
+    names = models.feature_names(w.cfg, columns)
+    rows = model.transform(w.train()).select(
+        (vector_to_array("probability")[1] - F.col("y")).alias("miss"),
+        vector_to_array("features").alias("x"))
+    slopes = rows.agg(*[F.sum(F.col("miss") * F.col("x")[i]).alias(n) for i, n in enumerate(names)])
+    values = model.stages[-1].coefficients.toArray().tolist()
+    return slopes.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("feature"),
+                 (F.abs(F.col(f"`{n}`") + F.lit(float(v))) < 0.01).alias("vanishes"))
+        for n, v in zip(names, values)])))
+
+
+@query("d2_optimum")
+def _(w: Workspace):
+    return _zero_gradient(w, w.logistic())
+
+
+@query("d4_optimum")
+def _(w: Workspace):
+    subset = models.logistic(w.n_train(), w.cfg, models.VOLUME_COLUMNS).fit(w.train())
+    return _zero_gradient(w, subset, models.VOLUME_COLUMNS)
+
+
+def _coverage(scores: DataFrame, *by: str) -> DataFrame:
+    """Rows, customers and scores that are no probability."""
+    per_customer = scores.groupBy("candidate", *by, "customer_id").agg(
+        F.count("*").alias("n"), F.count_if(~F.col("score").between(0, 1)).alias("odd"))
+    return per_customer.groupBy("candidate", *by).agg(
+        F.sum("n").alias("n_rows"), F.count("*").alias("customers"), F.sum("odd").alias("outside"))
+
+
+@query("d8_out_of_fold_coverage")
 def _(w: Workspace):
-    return w.search(LEVEL_WISE)[1]
+    return _coverage(w.model_oof(), "fold")
 
 
-@query("d6_boosted_leaf_wise")
+@query("d9_test_coverage")
 def _(w: Workspace):
-    return w.search(LEAF_WISE)[1]
+    return _coverage(w.model_test())
 
 
 @query("d7_cross_validated_scores")
@@ -853,11 +1010,11 @@ def _(w: Workspace):
 
 
 def _selection_record(w: Workspace) -> DataFrame:
-    best = w.cv_spread().orderBy(F.col("cv_roc_auc").desc(), "candidate").first().candidate
-    thresholds = decision.sweep(w.all_oof(), w.cfg)
+    best = metrics.best_by_folds(w.cv_spread())
+    thresholds = stage(decision.sweep(w.all_oof(), w.cfg, w.oof_levels()), "thresholds")
     return decision.selection_record(
-        best, "models/selected", RULE, [RULE, LOGISTIC, LEVEL_WISE, LEAF_WISE],
-        w.pooled_oof_metrics(), thresholds, w.all_test(), w.cfg)
+        best, "models/selected", RULE, [RULE, LOGISTIC, DEPTH_BOUND, LEAF_BOUND],
+        w.pooled_oof_metrics(), thresholds, stage(w.all_test(), "all-test"), w.cfg)
 
 
 @query("x7_selection_record")
@@ -867,5 +1024,4 @@ def _(w: Workspace):
 
 @query("s11_json_record")
 def _(w: Workspace):
-    path = f"{shared_folder(w.spark)}/selection-record-{uuid.uuid4().hex}"
-    return sinks.write_record(_selection_record(w), path)
+    return sinks.write_record(_selection_record(w), _path(w, "selection-record"))

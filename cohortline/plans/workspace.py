@@ -6,51 +6,55 @@ so each is written once per session and source folder. Everything between them i
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortline.config import STAR_CONFIG, RetentionConfig
 from cohortline.operators import decision, encoding, features, labels, metrics, models, rfm, splits
 from cohortline.operators.cleaning import clean_transactions
-from cohortline.session import stage
-from cohortline.sources import star_tables
+from cohortline.session import shared_folder, stage
+from cohortline.sources import ingest, sinks, star_tables
 
 RULE = "RFM heuristic"
 LOGISTIC = "Logistic Regression"
-LEVEL_WISE = "Boosted trees, level-wise"
-LEAF_WISE = "Boosted trees, leaf-wise"
-
-# Short searches for the registered queries; the defaults in ``models`` are the full ones.
-QUICK_LEVEL_WISE = models.SearchSpace(trees=(4, 6), depth=(2, 3), min_weight_share=(0.0, 0.002))
-QUICK_LEAF_WISE = models.SearchSpace(trees=(4, 6), depth=(3, 4), min_rows=(5, 59))
-QUICK_SETTINGS = 2
+DEPTH_BOUND = "Boosted trees, depth-bound"
+LEAF_BOUND = "Boosted trees, leaf-bound"
 
 
 class Workspace:
     def __init__(self, spark: SparkSession, folder: str, cfg: RetentionConfig = STAR_CONFIG):
         self.spark, self.folder, self.cfg = spark, folder, cfg
         self._built: dict[str, object] = {}
+        self._lock = RLock()
 
     def _once(self, name: str, build: Callable):
-        if name not in self._built:
-            self._built[name] = build()
-        return self._built[name]
+        """Built by the first caller; others wait for it."""
+        with self._lock:
+            if name not in self._built:
+                self._built[name] = build()
+            return self._built[name]
 
     # ---- the log and its clean form
 
     def raw(self) -> DataFrame:
-        """The raw log, built once.
-
-        Rebalanced before it is written, so that files are even whatever one key does to the
-        joins behind it; everything later starts from these files.
-        """
+        """The raw log, built once and clustered by time; everything later starts from its files."""
         def build() -> DataFrame:
-            return stage(
-                star_tables.transactions_raw(self.spark, self.folder).hint("rebalance"), "raw")
+            log = star_tables.source_log(self.spark, self.folder)
+            return stage(ingest.clustered(star_tables.transactions_raw(log)), "raw")
         return self._once("raw", build)
 
+    def source(self) -> DataFrame:
+        """The log under its original headings, as the parts of a raw table are cut from it."""
+        return self._once("source", lambda: stage(
+            star_tables.source_log(self.spark, self.folder)
+            .repartitionByRange("InvoiceDate", "Invoice", "StockCode"), "source"))
+
     def clean(self) -> DataFrame:
+        """The clean log. The raw files it is made of lie in order of time, and so do its own."""
         return self._once("clean", lambda: stage(self.clean_plan(), "clean"))
 
     # ---- lazy plans
@@ -69,7 +73,9 @@ class Workspace:
             self.labels(), encoding.encode_features(self.features(), self.cfg), self.cfg)
 
     def rfm_from_raw(self) -> DataFrame:
-        return features.raw_rfm(self.raw(), self.cfg)
+        """One row per customer, read by every profile of the label."""
+        return self._once("raw rfm", lambda: stage(
+            features.raw_rfm(self.raw(), self.cfg), "raw-rfm"))
 
     # ---- stored customer tables
 
@@ -110,12 +116,13 @@ class Workspace:
     # ---- candidates without a fitted model, for checks against SQL
 
     def plain_train_scores(self) -> DataFrame:
-        """Out-of-fold rule score and two raw features as scores of the training rows."""
+        """Out-of-fold rule score and three raw features as scores of the training rows."""
         keep = ("customer_id", "fold")
         return (
             metrics.as_candidate(self.rule_oof(), RULE, "rfm_total", *keep)
             .unionByName(metrics.as_candidate(self.train(), "Frequency", "frequency", *keep))
             .unionByName(metrics.as_candidate(self.train(), "Monetary", "monetary_total", *keep))
+            .unionByName(metrics.as_candidate(self.train(), "Recency", -F.col("recency_days"), *keep))
         )
 
     def plain_test_scores(self) -> DataFrame:
@@ -124,6 +131,7 @@ class Workspace:
             metrics.as_candidate(self.rule_test(), RULE, "rfm_total", *keep)
             .unionByName(metrics.as_candidate(self.test(), "Frequency", "frequency", *keep))
             .unionByName(metrics.as_candidate(self.test(), "Monetary", "monetary_total", *keep))
+            .unionByName(metrics.as_candidate(self.test(), "Recency", -F.col("recency_days"), *keep))
         )
 
     def plain_spread(self) -> DataFrame:
@@ -132,9 +140,18 @@ class Workspace:
         levels = metrics.score_levels(self.plain_train_scores(), by=by)
         return metrics.fold_spread(metrics.ranking_metrics(levels, by))
 
+    def plain_levels(self) -> DataFrame:
+        """Sliced once for the pooled metrics and the sweep."""
+        return self._once("plain levels", lambda: stage(
+            metrics.score_levels(self.plain_train_scores()), "levels"))
+
+    def plain_pooled(self) -> DataFrame:
+        return self._once("plain pooled", lambda: stage(
+            metrics.ranking_metrics(self.plain_levels()), "plain-pooled"))
+
     def plain_thresholds(self) -> DataFrame:
-        return self._once("plain thresholds", lambda: stage(
-            decision.sweep(self.plain_train_scores(), self.cfg), "thresholds"))
+        return self._once("plain thresholds", lambda: stage(decision.sweep(
+            self.plain_train_scores(), self.cfg, self.plain_levels()), "thresholds"))
 
     # ---- fitted models
 
@@ -145,25 +162,27 @@ class Workspace:
         return self._once(
             "logistic", lambda: models.logistic(self.n_train(), self.cfg).fit(self.train()))
 
-    def search(self, candidate: str):
-        space = {LEVEL_WISE: QUICK_LEVEL_WISE, LEAF_WISE: QUICK_LEAF_WISE}[candidate]
-        return self._once(
-            f"search {candidate}",
-            lambda: models.random_search(
-                self.train(), space, self.cfg.with_(search_settings=QUICK_SETTINGS)))
-
-    def boosted(self, candidate: str):
-        return self._once(
-            f"model {candidate}",
-            lambda: models.boosted(self.search(candidate)[0], self.cfg).fit(self.train()))
-
     def _makers(self) -> dict[str, Callable[[int], object]]:
+        """Every candidate at one full-size setting; the search belongs to ``jobs.training_job``."""
         return {
             LOGISTIC: lambda n: models.logistic(n, self.cfg),
-            LEVEL_WISE: lambda n: models.boosted(self.search(LEVEL_WISE)[0], self.cfg),
-            LEAF_WISE: lambda n: models.boosted(self.search(LEAF_WISE)[0], self.cfg),
+            DEPTH_BOUND: lambda n: models.boosted(models.DEPTH_BOUND_SETTING, self.cfg),
+            LEAF_BOUND: lambda n: models.boosted(models.LEAF_BOUND_SETTING, self.cfg),
         }
 
+    def fitted(self, candidate: str):
+        if candidate == LOGISTIC:
+            return self.logistic()
+        return self._once(
+            f"model {candidate}",
+            lambda: self._makers()[candidate](self.n_train()).fit(self.train()))
+
+    def reloaded(self, candidate: str):
+        """The fitted model, saved and loaded again."""
+        path = f"{shared_folder(self.spark)}/cohortline/model-{uuid.uuid4().hex}"
+        return self._once(
+            f"reloaded {candidate}", lambda: sinks.save_model(self.fitted(candidate), path))
+
     def model_oof(self) -> DataFrame:
         def build() -> DataFrame:
             parts = [models.out_of_fold(self.train(), make, name, self.cfg)
@@ -177,9 +196,8 @@ class Workspace:
 
     def model_test(self) -> DataFrame:
         def build() -> DataFrame:
-            fitted = {LOGISTIC: self.logistic(), LEVEL_WISE: self.boosted(LEVEL_WISE),
-                      LEAF_WISE: self.boosted(LEAF_WISE)}
-            parts = [models.scored(m, self.test(), name) for name, m in fitted.items()]
+            parts = [models.scored(self.fitted(name), self.test(), name)
+                     for name in self._makers()]
             return stage(parts[0].unionByName(parts[1]).unionByName(parts[2]), "test-scores")
         return self._once("test scores", build)
 
@@ -195,9 +213,13 @@ class Workspace:
             return stage(metrics.fold_spread(metrics.ranking_metrics(levels, by)), "cv")
         return self._once("cv spread", build)
 
+    def oof_levels(self) -> DataFrame:
+        return self._once("oof levels", lambda: stage(
+            metrics.score_levels(self.all_oof()), "oof-levels"))
+
     def pooled_oof_metrics(self) -> DataFrame:
         return self._once("pooled", lambda: stage(
-            metrics.ranking_metrics(metrics.score_levels(self.all_oof())), "pooled"))
+            metrics.ranking_metrics(self.oof_levels()), "pooled"))
 
 
 _open: dict[tuple[str, str], Workspace] = {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -43,8 +44,10 @@ def require_columns(columns: list[str], part: str) -> None:
 def read_part(spark: SparkSession, path: str, part: str, fmt: str = "csv") -> DataFrame:
     """Read one part with the pinned schema; a value of the wrong type fails the read.
 
-    The part's own headings are checked first, since a read with a given schema would turn a
-    missing column into nulls.
+    Every file's own columns count, since a read with a given schema would turn a missing column
+    into nulls and take values by position. CSV files of one part must share one heading: the
+    reader compares each file's heading with the first one's and fails where they differ. Of other
+    formats every file's own schema is looked up.
     """
     if fmt == "csv":
         headings = spark.read.option("header", True).csv(path).columns
@@ -54,10 +57,15 @@ def read_part(spark: SparkSession, path: str, part: str, fmt: str = "csv") -> Da
             [pinned.get(name, T.StructField(name, T.StringType())) for name in headings])
         frame = (
             spark.read.schema(in_file_order).option("header", True).option("mode", "FAILFAST")
-            .csv(path)
+            .option("enforceSchema", False).csv(path)
         )
     else:
-        require_columns(spark.read.format(fmt).load(path).columns, part)
+        files = spark.read.format(fmt).load(path).inputFiles()
+        # Metadata only, a few files at a time.
+        with ThreadPool(16) as pool:
+            for columns in pool.imap_unordered(
+                    lambda f: spark.read.format(fmt).load(f).columns, files):
+                require_columns(columns, part)
         frame = spark.read.schema(SOURCE_SCHEMA).format(fmt).load(path)
     return frame.select(*[F.col(f"`{name}`") for name in COLUMN_RENAMES])
 
@@ -84,6 +92,15 @@ def load_raw(spark: SparkSession, parts: dict[str, str], fmt: str = "csv") -> Da
     return raw
 
 
+def clustered(log: DataFrame) -> DataFrame:
+    """Rows in ranges of time, so that date filters prune files and row groups.
+
+    The further keys let a single day that holds many rows spread over several files.
+    """
+    keys = ("invoice_date", "invoice", "stock_code", "quantity")
+    return log.repartitionByRange(*keys).sortWithinPartitions("invoice_date")
+
+
 def build_raw_parquet(spark: SparkSession, parts: dict[str, str], target: str,
                       fmt: str = "csv", force: bool = False) -> DataFrame:
     """Materialise the raw table once; later calls read it unless ``force`` rebuilds it."""
@@ -93,5 +110,5 @@ def build_raw_parquet(spark: SparkSession, parts: dict[str, str], target: str,
         except AnalysisException as missing:
             if "PATH_NOT_FOUND" not in str(missing):
                 raise
-    load_raw(spark, parts, fmt).write.mode("overwrite").parquet(target)
+    clustered(load_raw(spark, parts, fmt)).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)

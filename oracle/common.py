@@ -41,25 +41,44 @@ def day_gap(start: str, end: str) -> str:
     return f"date_sub('day', {start}, {end})"
 
 
-SOURCE = """
+_CANCELLED = "((o_orderkey % 7 = 0 OR o_custkey % 89 = 0) AND o_orderkey % 997 <> 0)"
+SOURCE = f"""
 source AS (
-  SELECT CASE WHEN o_orderkey % 997 = 0 THEN 'A' WHEN o_orderkey % 7 = 0 THEN 'C' ELSE '' END
+  SELECT CASE WHEN o_orderkey % 997 = 0 THEN 'A' WHEN {_CANCELLED} THEN 'C' ELSE '' END
            || CAST(o_orderkey AS VARCHAR) AS invoice,
          CASE WHEN l_partkey % 101 = 0 THEN 'POST'
               WHEN l_partkey % 103 = 0 THEN 'gift_0001_10'
+              WHEN l_partkey % 107 = 0 THEN 'DCGS0001'
               ELSE repeat('0', greatest(0, 5 - length(CAST(l_partkey AS VARCHAR))))
                    || CAST(l_partkey AS VARCHAR)
-                   || CASE WHEN l_partkey % 67 = 0 THEN ' ' ELSE '' END END AS stock_code,
+                   || CASE WHEN l_partkey % 67 = 0 AND o_orderkey % 2 = 0 THEN ' ' ELSE '' END
+              END AS stock_code,
          CASE WHEN l_partkey % 97 = 0 THEN NULL WHEN l_partkey % 89 = 0 THEN '?'
-              ELSE p_name END AS description,
-         CASE WHEN (o_orderkey % 7 = 0 AND o_orderkey % 997 <> 0) OR l_partkey % 106 = 0
+              WHEN l_partkey % 79 = 0 THEN '   '
+              WHEN l_partkey % 83 = 0 THEN '  ' || p_name ELSE p_name END AS description,
+         CASE WHEN CASE WHEN {_CANCELLED} THEN l_partkey % 101 <> 0
+                        ELSE l_partkey % 106 = 0 OR l_partkey % 109 = 0 END
               THEN -CAST(l_quantity AS BIGINT) ELSE CAST(l_quantity AS BIGINT) END AS quantity,
-         o_orderdate + to_hours(o_orderkey % 24) AS invoice_date,
-         CASE WHEN l_partkey % 53 = 0 AND o_orderkey % 7 <> 0 THEN CAST(0 AS DOUBLE)
+         CASE WHEN o_custkey % 97 = 0 THEN TIMESTAMP '1997-03-03 00:00:00'
+              WHEN o_custkey % 2 = 1 AND o_orderdate >= TIMESTAMP '1999-12-21 00:00:00'
+              THEN o_orderdate - to_days(900)
+              WHEN o_custkey % 2 = 0 AND o_orderkey % 2 = 0
+               AND o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate < {CUTOFF}
+              THEN {CUTOFF} + to_days(CAST(o_orderkey % 80 AS INTEGER))
+              WHEN o_custkey % 2 = 0 AND o_orderkey % 4 = 1
+               AND o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate < {CUTOFF}
+              THEN {CUTOFF} - to_days(CAST(o_orderkey % 90 AS INTEGER) + 1)
+              ELSE o_orderdate END + to_hours(o_orderkey % 24) AS invoice_date,
+         CASE WHEN (l_partkey % 53 = 0 OR o_custkey % 61 = 0) AND NOT {_CANCELLED}
+              THEN CAST(0 AS DOUBLE)
+              WHEN l_partkey % 59 = 0 AND o_orderkey % 3 = 0 AND NOT {_CANCELLED}
+              THEN CAST(-1.25 AS DOUBLE)
               ELSE floor(l_extendedprice / l_quantity)
                    + CAST(l_partkey % 4 AS DOUBLE) / CAST(4 AS DOUBLE) END AS price,
-         CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS customer_id,
-         CASE WHEN o_orderkey % 11 = 0 THEN 'NATION_0' ELSE n_name END AS country,
+         CASE WHEN o_orderkey % 5 <> 0 AND NOT (o_orderkey % 41 = 0 AND l_partkey % 2 = 0)
+              THEN o_custkey END AS customer_id,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'NATION_0'
+              WHEN o_orderkey % 13 = 0 THEN n_name || ' ' ELSE n_name END AS country,
          l_partkey
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
@@ -283,11 +302,13 @@ train_scores AS (
   SELECT 'RFM heuristic' AS candidate, customer_id, fold, y, CAST(rfm_total AS DOUBLE) AS score FROM rule_oof
   UNION ALL SELECT 'Frequency', customer_id, fold, y, CAST(frequency AS DOUBLE) FROM train
   UNION ALL SELECT 'Monetary', customer_id, fold, y, monetary_total FROM train
+  UNION ALL SELECT 'Recency', customer_id, fold, y, -CAST(recency_days AS DOUBLE) FROM train
 ),
 test_scores AS (
   SELECT 'RFM heuristic' AS candidate, customer_id, y, CAST(rfm_total AS DOUBLE) AS score FROM rule_test
   UNION ALL SELECT 'Frequency', customer_id, y, CAST(frequency AS DOUBLE) FROM test
   UNION ALL SELECT 'Monetary', customer_id, y, monetary_total FROM test
+  UNION ALL SELECT 'Recency', customer_id, y, -CAST(recency_days AS DOUBLE) FROM test
 )"""
 
 RAW = "WITH" + SOURCE
@@ -370,6 +391,6 @@ reduction AS (
          p.policy AS best_trivial_policy, p.cost AS best_trivial_cost,
          1 - (CAST(1.0 AS DOUBLE) * missed + CAST(0.15 AS DOUBLE) * wasted) / p.cost
            AS cost_reduction
-  FROM test_costs c JOIN policies p ON p.is_best WHERE c.candidate = 'Monetary'
+  FROM test_costs c JOIN policies p ON p.is_best WHERE c.candidate = 'Recency'
 )"""
 TST = THR + "," + ON_TEST

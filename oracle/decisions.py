@@ -155,7 +155,7 @@ SELECT c.candidate AS selected_model, 'models/selected' AS model_path,
        {r('c.threshold', 'threshold')}, {r('1.0', 'cost_missed_churner')},
        {r('0.15', 'cost_wasted_offer')}, {r('0.2', 'min_cost_reduction_required')},
        {r("(SELECT roc_auc FROM pooled WHERE candidate = 'RFM heuristic')", 'oof_rule')},
-       {r("(SELECT roc_auc FROM pooled WHERE candidate = 'Monetary')", 'oof_selected')},
+       {r("(SELECT roc_auc FROM pooled WHERE candidate = 'Recency')", 'oof_selected')},
        {r("(SELECT cost_per_customer FROM policies WHERE policy = 'Contact nobody')", 'cost_nobody')},
        {r("(SELECT cost_per_customer FROM policies WHERE policy = 'Contact everybody')", 'cost_everybody')},
        {r("(SELECT cost_per_customer FROM policies WHERE policy = 'RFM heuristic')", 'cost_rule')},
@@ -166,10 +166,9 @@ SELECT c.candidate AS selected_model, 'models/selected' AS model_path,
        {r('CASE WHEN offers > 0 THEN 100 * CAST(caught AS DOUBLE) / offers END', 'test_offer_precision_pct')},
        d.cost_reduction >= 0.2 AS meets_cost_reduction_bar,
        CASE WHEN d.cost_reduction >= 0.2
-            THEN 'Deploy Monetary at threshold ' || printf('%.4f', c.threshold) || '.'
-            ELSE 'Do not deploy a model. Monetary is the best candidate found, but its cost '
-              || 'reduction of ' || printf('%.1f', 100 * d.cost_reduction)
-              || ' percent is below the required 20 percent. Keep using the RFM heuristic.'
+            THEN 'Use Recency with offers below a score of ' || printf('%.4f', c.threshold) || '.'
+            ELSE 'Stay with the RFM heuristic: Recency saves ' || printf('%.1f', 100 * d.cost_reduction)
+              || ' percent of the campaign cost, and 20 percent would be needed.'
             END AS recommendation
 FROM test_costs c JOIN reduction d ON c.candidate = d.candidate"""
 SQL["x8_acceptance"] = f"""{TST},
@@ -196,3 +195,4 @@ SQL["x11_ratio_sensitivity"] = SCO + ",\ncurves AS (" + "\nUNION ALL ".join(
     for w in _COSTS) + "),\nb AS (" + best("curves", "candidate, wasted_cost") + f""")
 SELECT candidate, {r('wasted_cost', 'wasted_cost')}, {r('threshold', 'threshold')},
        {r('cost', 'cost')} FROM b"""
+SQL["s11_json_record_of_plain_scores"] = SQL["x7_record_of_plain_scores"]

@@ -7,7 +7,6 @@ from oracle.tables import KIND
 
 SQL: dict[str, str] = {}
 
-EARLY = "TIMESTAMP '1995-06-01 00:00:00'"
 _ALL = ("invoice", "stock_code", "description", "quantity", "invoice_date", "price",
         "customer_id", "country", "source_sheet")
 _TEXT = ("invoice", "stock_code", "description", "country")
@@ -123,6 +122,10 @@ _VOLUME = ("frequency", "monetary_total", "spend_last_365d", "distinct_active_mo
 SQL["p26_correlation_matrix"] = SPL + "\n" + "\nUNION ALL ".join(
     f"SELECT '{a}' AS feature, {', '.join(r(f'corr({a}, {b})', b) for b in _VOLUME)} FROM train"
     for a in _VOLUME)
+_LIFECYCLE = ("recency_days", "avg_days_between_orders", "recency_over_avg_gap")
+SQL["p26_recency_correlations"] = SPL + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{a}' AS feature, {', '.join(r(f'corr({a}, {b})', b) for b in _LIFECYCLE)} FROM train"
+    for a in _LIFECYCLE)
 SQL["p27_skewness"] = RRF + "\n" + "\nUNION ALL ".join(
     f"SELECT '{c}' AS feature, "
     + r(f"avg(pow({c} - m, 3)) / pow(avg(pow({c} - m, 2)), CAST(1.5 AS DOUBLE))", "skewness")
@@ -152,6 +155,7 @@ SQL["p31_cancellation_cohorts"] = f"""{RRF}
 SELECT customer_id IN (SELECT customer_id FROM raw WHERE customer_id IS NOT NULL
          AND invoice LIKE 'C%' AND invoice_date < {CUTOFF}) AS has_cancelled,
        count(*) AS customers, {r('avg(y)', 'repeat_rate')},
+       {r('100 * CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM raw_rfm)', 'pct')},
        {r('median(frequency)', 'frequency_median')} FROM raw_rfm GROUP BY 1"""
 SQL["p32_rows_per_weekday"] = f"""{RAW}
 SELECT CAST(isodow(invoice_date) AS INTEGER) AS weekday_no, dayname(invoice_date) AS weekday,
@@ -167,13 +171,14 @@ SELECT CASE WHEN invoice_date < {CUTOFF} THEN 'observation' WHEN invoice_date <
        {r('100 * CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM clean)', 'pct')}
 FROM clean GROUP BY 1"""
 SQL["p36_lost_customers"] = f"""{TX}, seen AS (
-  SELECT * FROM raw WHERE customer_id IS NOT NULL AND invoice_date < {EARLY}),
+  SELECT * FROM raw WHERE customer_id IS NOT NULL AND invoice_date < {CUTOFF}),
 lost AS (
   SELECT customer_id FROM seen WHERE invoice NOT LIKE 'C%'
   EXCEPT SELECT customer_id FROM clean
-         WHERE customer_id IS NOT NULL AND NOT is_cancellation AND invoice_date < {EARLY})
-SELECT stock_code, count(*) AS n_rows FROM seen
-WHERE customer_id IN (SELECT customer_id FROM lost) GROUP BY stock_code"""
+         WHERE customer_id IS NOT NULL AND NOT is_cancellation AND invoice_date < {CUTOFF}),
+theirs AS (SELECT * FROM seen WHERE customer_id IN (SELECT customer_id FROM lost))
+SELECT stock_code, count(*) AS n_rows, (SELECT count(*) FROM lost) AS lost_customers,
+       (SELECT count(*) FROM theirs) AS lost_rows FROM theirs GROUP BY stock_code"""
 SQL["p37_same_day_repeaters"] = f"""{OBS}
 SELECT count(*) FILTER (WHERE span = 0 AND n > 1) AS same_day_repeaters, count(*) AS customers
 FROM (SELECT customer_id, date_sub('day', min(invoice_date), max(invoice_date)) AS span,

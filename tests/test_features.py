@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from cohortline.functions import micros_since_epoch, whole_days
 from cohortline.operators import checks, encoding, features, labels, profiling
 from cohortline.operators.cleaning import clean_transactions
 
@@ -22,11 +23,30 @@ def test_windows_are_half_open(log, cfg):
     tx = clean_transactions(log.frame(), cfg)
     assert {(r.customer_id, r.y) for r in labels.build_labels(tx, cfg).collect()} == {(1, 1), (3, 0)}
     assert {r.customer_id for r in labels.build_population(tx, cfg).collect()} == {1, 3}
-    guard = checks.temporal_guard(tx, cfg).first()
+    past, future = labels.real_purchases(tx, None, CUTOFF), labels.real_purchases(tx, CUTOFF, END)
+    guard = checks.temporal_guard(past, future, cfg).first()
     assert guard.last_observation == CUTOFF - second and guard.first_prediction == CUTOFF
-    assert guard.rows_beyond_horizon == 1 and not guard.holds
-    with pytest.raises(checks.ContractViolation):
-        checks.validate_windows(tx, cfg)
+    assert guard.rows_beyond_horizon == 0 and guard.holds
+    # Each side may break its window.
+    for wrong in ((tx, future), (past, tx), (future, past),
+                  (past, labels.real_purchases(tx, CUTOFF, None))):
+        assert not checks.temporal_guard(*wrong, cfg).first().holds
+        with pytest.raises(checks.ContractViolation):
+            checks.validate_windows(*wrong, cfg)
+
+
+def test_whole_days_do_not_depend_on_the_zone(spark, log, cfg):
+    log.add(1, datetime(2021, 3, 14, 2, 30), "1").add(1, datetime(2021, 3, 15, 2, 45), "2")
+    ends = log.frame().agg(F.min("invoice_date").alias("a"), F.max("invoice_date").alias("b"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            row = ends.select(whole_days(F.col("a"), F.col("b")).alias("days"),
+                              micros_since_epoch(F.col("a")).alias("at")).first()
+            assert row.days == 1 and row.at == 1_615_689_000_000_000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_gaps_truncate_to_whole_days(log, cfg):

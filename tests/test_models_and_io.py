@@ -1,5 +1,7 @@
 import json
 import os
+from multiprocessing.pool import ThreadPool
+from time import sleep
 from datetime import datetime
 
 import numpy as np
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortline.config import STAR_CONFIG
 from cohortline.operators import checks, models
 from cohortline.plans import jobs
-from cohortline.plans.workspace import LEAF_WISE, LEVEL_WISE, LOGISTIC, RULE, workspace
+from cohortline.plans.workspace import LEAF_BOUND, DEPTH_BOUND, LOGISTIC, RULE, workspace
 from cohortline.session import shared_folder, stage
 from cohortline.sources import ingest, sinks, star_tables
 
@@ -67,10 +69,10 @@ def test_out_of_fold_covers_every_training_row_once(space):
 
 
 def test_search_samples_the_space_and_marks_the_best(space):
-    samples = models.LEVEL_WISE.sample(40, 42)
-    assert len(samples) == 40 and samples == models.LEVEL_WISE.sample(40, 42)
+    samples = models.DEPTH_BOUND.sample(40, 42)
+    assert len(samples) == 40 and samples == models.DEPTH_BOUND.sample(40, 42)
     assert all(50 <= s["maxIter"] <= 399 and 2 <= s["maxDepth"] <= 6 for s in samples)
-    assert all(s["minInstancesPerNode"] >= 5 for s in models.LEAF_WISE.sample(40, 42))
+    assert all(s["minInstancesPerNode"] >= 5 for s in models.LEAF_BOUND.sample(40, 42))
     best, table = models.random_search(
         space.train(), TINY, STAR_CONFIG.with_(search_settings=2))
     rows = table.collect()
@@ -108,6 +110,26 @@ def test_csv_parts_keep_prefixed_invoices(spark, tmp_path):
     assert dict(raw.dtypes)["invoice_date"] == "timestamp_ntz"
 
 
+def test_files_of_one_part_must_share_a_heading(spark, tmp_path):
+    folder = tmp_path / "part"
+    folder.mkdir()
+    write_csv(folder / "a.csv", ["489434,85048,LIGHTS,12,2009-12-01 07:45:00,6.95,13085,France\n"])
+    write_csv(folder / "b.csv", ["85048,489435,LIGHTS,12,2009-12-01 07:45:00,6.95,13085,France\n"],
+              "StockCode,Invoice,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n")
+    with pytest.raises(Exception, match="header|heading|schema"):
+        ingest.read_part(spark, str(folder), "part").collect()
+
+
+def test_every_parquet_file_must_have_all_columns(spark, tmp_path):
+    whole = star_tables.source_log(spark, FOLDER).limit(5)
+    path = str(tmp_path / "part")
+    whole.write.parquet(path)
+    assert ingest.read_part(spark, path, "part", "parquet").count() == 5
+    whole.drop("Country").write.mode("append").parquet(path)
+    with pytest.raises(ValueError, match="Country"):
+        ingest.read_part(spark, path, "part", "parquet")
+
+
 def test_missing_column_and_bad_value_raise(spark, tmp_path):
     short = write_csv(tmp_path / "short.csv", ["1,2\n"], "Invoice,StockCode\n")
     with pytest.raises(ValueError, match="Customer ID"):
@@ -143,25 +165,50 @@ def test_stage_writes_to_the_shared_folder(spark):
     assert all(shared_folder(spark) in f for f in frame.inputFiles())
 
 
+def test_cleaning_job_stops_on_a_lost_cancellation_or_an_unknown_invoice(spark, tmp_path, log, cfg):
+    day = datetime(2020, 5, 1)
+    for name, bad in (("lost", dict(invoice="C9", price=0.0, qty=-1)), ("odd", dict(invoice="X9"))):
+        log.rows.clear()
+        log.add(1, day, "1").add(1, day, "C2", qty=-1).add(1, day, **bad)
+        out = jobs.Layout(str(tmp_path / name))
+        log.frame().write.parquet(out.raw)
+        with pytest.raises(checks.ContractViolation, match="cancellations|unknown kind"):
+            jobs.cleaning_job(spark, cfg, out)
+    log.rows.clear()
+    log.add(1, day, "1").add(1, day, "C2", qty=-1)
+    out = jobs.Layout(str(tmp_path / "good"))
+    log.frame().write.parquet(out.raw)
+    assert jobs.cleaning_job(spark, cfg, out).count() == 2
+
+
+def test_stages_are_built_once_by_many_threads(spark):
+    built = []
+    space = workspace(spark, FOLDER)
+    with ThreadPool(8) as pool:
+        pool.map(lambda _: space._once("threads", lambda: built.append(1) or sleep(0.05)), range(8))
+    assert built == [1]
+
+
 # ---- from source files to the record
 
 def test_all_jobs_from_csv_to_record(spark, tmp_path):
     parts = {}
     for i, name in enumerate(star_tables.PARTS):
         parts[name] = str(tmp_path / f"part{i}")
-        star_tables.source_part(spark, FOLDER, name).write.option("header", True).option(
-            "ignoreTrailingWhiteSpace", False).csv(parts[name])
+        star_tables.source_part(star_tables.source_log(spark, FOLDER), name).write.options(
+            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(parts[name])
     quick = STAR_CONFIG.with_(search_settings=1)
     record = jobs.run_all(spark, parts, quick, str(tmp_path / "out"),
-                          level_wise=TINY, leaf_wise=TINY).first()
+                          depth_bound=TINY, leaf_bound=TINY).first()
     out = jobs.Layout(str(tmp_path / "out"))
     assert checks.frames_equal(spark.read.parquet(out.raw),
-                               star_tables.transactions_raw(spark, FOLDER))
+                               star_tables.transactions_raw(star_tables.source_log(spark, FOLDER)))
     matrix = spark.read.parquet(out.matrix)
-    assert matrix.count() == 150 and len(matrix.columns) == 2 + len(STAR_CONFIG.feature_columns)
-    assert spark.read.parquet(out.train).count() == 120
+    n = matrix.count()
+    assert n > 100 and len(matrix.columns) == 2 + len(STAR_CONFIG.feature_columns)
+    assert spark.read.parquet(out.train).count() == n - -(-n // 5)
     assert spark.read.parquet(out.predictions(LOGISTIC)).columns == ["customer_id", "y", "oof_proba"]
-    assert record.selected_model in (LOGISTIC, LEVEL_WISE, LEAF_WISE)
+    assert record.selected_model in (LOGISTIC, DEPTH_BOUND, LEAF_BOUND)
     assert record.model_path == out.model(record.selected_model)
     files = [f for f in os.listdir(out.record) if f.endswith(".json")]
     assert len(files) == 1

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortline.config import RetentionConfig
@@ -61,20 +62,36 @@ def slicing(spark, request):
     spark.conf.unset(key)
 
 
-def test_running_totals_spread_equals_plain_window(spark, slicing, monkeypatch):
+def test_running_totals_equal_a_plain_window(spark, slicing, monkeypatch):
     stored = []
     keep = ordered.stage
     monkeypatch.setattr(
         ordered, "stage", lambda df, name: stored.append(keep(df, name)) or stored[-1])
-    rows = [(g, float(i), random.Random(i).randint(0, 9)) for g in "ab" for i in range(200)]
+    # Rows without a group are a group of their own.
+    rows = [(g, float(i), random.Random(i).randint(0, 9)) for g in ("a", "b", None) for i in range(200)]
     counts = spark.createDataFrame(rows, "g string, v double, w long")
-    plain = ordered.running_totals(counts, ["g"], "v", ["w"], spread=False)
-    spread = ordered.running_totals(counts, ["g"], "v", ["w"], spread=True)
-    assert checks.frames_equal(plain, spread.select(plain.columns))
+    plain = counts.withColumns({
+        "w_upto": F.sum("w").over(Window.partitionBy("g").orderBy("v")),
+        "w_total": F.sum("w").over(Window.partitionBy("g"))})
+    sliced = ordered.running_totals(counts, ["g"], "v", ["w"])
+    assert checks.frames_equal(plain, sliced.select(plain.columns))
     slices = stored[0].groupBy("slice").agg(F.count("*").alias("n")).collect()
     assert (len(slices) > 1) == (slicing == "many slices")
 
 
+def test_medians_of_rows_without_a_group(spark, slicing):
+    frame = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 5.0), (None, 9.0)], "g string, v double")
+    got = {r.g: r.v for r in ordered.medians(frame, ["v"], by=["g"]).collect()}
+    assert got == {"a": 1.5, None: 7.0}
+
+
+def test_ranks_of_rows_without_a_class(spark):
+    keys = spark.createDataFrame([(i, None if i % 3 else 1) for i in range(30)], "customer_id long, y int")
+    ranks = splits.ranked_within_class(keys, 1).collect()
+    assert sorted(r["rank"] for r in ranks if r.y is None) == list(range(1, 21))
+    assert splits.assign_split(keys, CFG).filter("split = 'test'").count() == 6
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 101])
 def test_quantiles_match_numpy(spark, slicing, n):
     draw = random.Random(n)
@@ -315,7 +332,7 @@ def test_record_words_follow_the_bar(spark):
             "model", "models/model", RULE, [RULE, "model"], pooled, cuts, test, CFG).first()
 
     good, bad = record(.7), record(.1)
-    assert good.meets_cost_reduction_bar and good.recommendation == "Deploy model at threshold 0.7000."
-    assert not bad.meets_cost_reduction_bar and bad.recommendation.startswith("Do not deploy")
+    assert good.meets_cost_reduction_bar and good.recommendation == "Use model with offers below a score of 0.7000."
+    assert not bad.meets_cost_reduction_bar and bad.recommendation.startswith("Stay with the rule")
     assert good.metrics.oof_roc_auc.model == .9
     assert good.metrics.test_cost_per_customer.contact_nobody == .5
