@@ -43,8 +43,10 @@ def mark_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     maybe = seen.filter("maybe").select("doc_id", "key", "row")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    groups = maybe.groupBy("key").agg(
-        F.min(order).alias("least"), F.count("*").alias("group_size"))
+    # Stored, so that the join below meets two plain sides: a small one is broadcast by its size, and
+    # of a large one the hot key is split.
+    groups = stage(maybe.groupBy("key").agg(
+        F.min(order).alias("least"), F.count("*").alias("group_size")), "groups")
     together = maybe.join(groups, "key").select(
         "doc_id", F.col("least.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("least.row")).alias("kept"), sha)
