@@ -2,7 +2,9 @@
 
 Every round hangs each node's neighbours on the smallest one, first those above the node, then
 those at or below it, until nothing changes. Links stay in tables: a round reduces the smallest
-neighbour before its shuffle and writes its links to the shared folder.
+neighbour before its shuffle and writes its links to the shared folder. The smallest neighbours are
+stored before they meet the links, so that join has two plain sides, of which a small one is broadcast
+by its size and a hot node of a large one is split.
 """
 
 from __future__ import annotations
@@ -33,12 +35,12 @@ def connect(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select("v", "u"))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
+    least = stage(least.select("u", F.least("u", "m").alias("m")), "least")
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    least = stage(links.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = links.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v")))
 
