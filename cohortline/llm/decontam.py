@@ -11,8 +11,8 @@ hash of the whole window and then by its bytes.
 The benchmark is read in slices of about ``SLICE_BYTES`` of text; the index of one slice is what is
 broadcast, and the slices follow one another over each batch of documents without a shuffle.
 
-Defined cases: null has no words; an item without words has no window; equal windows of several
-items count for each of them; equal item ids count once.
+Defined cases: null has no words; an item without words or without id has no window; equal windows of
+several items count for each of them; equal item ids count once.
 """
 
 from __future__ import annotations
