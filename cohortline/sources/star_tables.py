@@ -66,7 +66,7 @@ def _order_date():
         .when(active & (order % 2 == 0),
               timestamp(RETURNS_FROM) + days((order % 80).cast("int"), zero))
         .when(active & (order % 4 == 1),
-              timestamp(RETURNS_FROM) - days((order % 90).cast("int") + 1, zero))
+              timestamp(RETURNS_FROM) - days((order % 89).cast("int") + 1, zero))
         .otherwise(date)
     )
 

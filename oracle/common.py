@@ -67,7 +67,7 @@ source AS (
               THEN {CUTOFF} + to_days(CAST(o_orderkey % 80 AS INTEGER))
               WHEN o_custkey % 2 = 0 AND o_orderkey % 4 = 1
                AND o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate < {CUTOFF}
-              THEN {CUTOFF} - to_days(CAST(o_orderkey % 90 AS INTEGER) + 1)
+              THEN {CUTOFF} - to_days(CAST(o_orderkey % 89 AS INTEGER) + 1)
               ELSE o_orderdate END + to_hours(o_orderkey % 24) AS invoice_date,
          CASE WHEN (l_partkey % 53 = 0 OR o_custkey % 61 = 0) AND NOT {_CANCELLED}
               THEN CAST(0 AS DOUBLE)
