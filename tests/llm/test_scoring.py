@@ -303,7 +303,7 @@ def test_pipeline(frame, folder, spark, clash):
     docs = clash(frame(rows))
     root = folder(documents=docs, benchmark=spark.createDataFrame(items, "item_id bigint, text string"))
     packed = corpus_pipeline.run(spark, root).collect()
-    from test_dedup import groups_by_hand, print_by_hand
+    from llm.test_dedup import groups_by_hand, print_by_hand
     left = [r for r in rows if r[0] not in (10, 20, 50, 51)]
     want = {left[k][0] for k in set(groups_by_hand([print_by_hand(t) for _, t, _ in left]))} - {40}
     assert {r.doc_id for r in packed} == want
