@@ -250,6 +250,7 @@ def leaking():
     vocab = ["a", "b", "the", "of", "Été", "x9"] + [f"v{i}" for i in range(60)]
     draw = lambda n: [rng.choice(vocab) for _ in range(n)]
     items = [(i, draw(rng.choice([1, 2, 3, 5, 9, 10, 11, 40]))) for i in range(30)]
+    items += [(0, items[0][1]), (0, items[0][1])]
     items += [(100, items[3][1]), (101, items[4][1][:20]), (102, ["the"] * 12)]
     rows = []
     for i in range(120):
