@@ -8,12 +8,15 @@ unset; only that one probes, which halves the ball.
 
 A segment value may be shared by very many fingerprints. Such a group is not compared pair by pair:
 each probe enumerates the ball that is left to the other segment and looks it up, so the work is
-linear in the group. A bucket returns a spanning forest of its links, never all pairs, and
-components follow from those forests by tables in Spark.
+linear in the group. A group of more than ``CROWDED`` is also spread over buckets by three pieces of
+the other segment, since two segments that differ in at most two bits agree in one of them. A bucket
+returns a spanning forest of its links, never all pairs, and components follow from those forests by
+tables in Spark.
 
 Defined cases: a text without words has fingerprint zero and is linked like any other; null counts
 as empty; fewer words than a shingle make one shingle; equal fingerprints are one node; rows that
-repeat an id are one document.
+repeat id and text are one document. Of rows with one id, or without any, that with the smallest hash
+of its text comes first.
 """
 
 from __future__ import annotations
@@ -35,6 +38,10 @@ SHINGLE = 3
 SEED = 42
 _U64 = np.uint64
 _FEW = 512
+CROWDED = 1 << 16
+_MOST_CROWDED = 1 << 16
+#: (shift, mask) of the pieces that a segment is cut into.
+_PIECES = [(0, 0x7FF), (11, 0x7FF), (22, 0x3FF)]
 
 
 def simhash(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -93,11 +100,15 @@ def _masks(radius: int) -> np.ndarray:
         [sum(c) for r in range(radius + 1) for c in itertools.combinations(bits, r)], _U64)
 
 
+_NONE = np.zeros(0, _U64)
 _BALLS = {2: _masks(2), 1: _masks(1)}
 
 
-def _entries(prints: np.ndarray, n: int) -> pa.RecordBatch:
-    """Table rows and probes of fingerprints, as (segment key, fingerprint) records by bucket."""
+def _entries(prints: np.ndarray, n: int, crowded: np.ndarray = _NONE) -> pa.RecordBatch:
+    """Table rows and probes of fingerprints, as (segment key, fingerprint) records by bucket.
+
+    Records of ``crowded`` keys (ascending) go to one bucket for each piece of the other segment.
+    """
     keys, whose = [], []
     for half in (0, 1):
         value = (prints >> _U64(32)) if half else (prints & _U64(0xFFFFFFFF))
@@ -108,7 +119,26 @@ def _entries(prints: np.ndarray, n: int) -> pa.RecordBatch:
             keys.append(near[use] | _U64(half << 32))
             whose.append(prints[use])
     key, who = np.concatenate(keys), np.concatenate(whose)
-    return buckets.packed_batch(buckets.bucket_of(text.mix(key), n), key, who)
+    place = text.mix(key)
+    if len(crowded):
+        hot = crowded[np.minimum(np.searchsorted(crowded, key), len(crowded) - 1)] == key
+        other = np.where(key >> _U64(32), who, who >> _U64(32))[hot]
+        pieces = [(other >> _U64(shift)) & _U64(mask) | _U64((k + 1) << 16)
+                  for k, (shift, mask) in enumerate(_PIECES)]
+        place = np.concatenate([place[~hot], *[text.mix(place[hot] ^ text.mix(p)) for p in pieces]])
+        key, who = (np.concatenate([x[~hot], *[x[hot]] * len(pieces)]) for x in (key, who))
+    return buckets.packed_batch(buckets.bucket_of(place, n), key, who)
+
+
+def _crowded(prints: DataFrame, n_prints: int) -> np.ndarray:
+    """Segment keys of very many fingerprints, ascending; at most ``_MOST_CROWDED``."""
+    low = F.col("fingerprint").bitwiseAND(F.lit(0xFFFFFFFF))
+    high = F.shiftrightunsigned("fingerprint", 32).bitwiseOR(F.lit(1 << 32))
+    counts = prints.select(F.explode(F.array(low, high)).alias("key")).groupBy("key").count()
+    # Fewer than 2 * n_prints / least keys can have more than ``least`` of the 2 * n_prints entries.
+    least = max(CROWDED, 2 * n_prints // _MOST_CROWDED)
+    rows = counts.filter(F.col("count") > least).select("key").collect()
+    return np.sort(np.array([r[0] for r in rows], np.int64).view(_U64))
 
 
 def _links(key: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,13 +178,15 @@ def near_groups(prints: DataFrame) -> DataFrame:
     ``prints`` has a column ``fingerprint`` of distinct signed 64-bit values.
     """
     # 35 records of 16 bytes for each fingerprint, on average.
-    n = buckets.bucket_count(prints.count() * 35 * 16)
+    n_prints = prints.count()
+    n = buckets.bucket_count(n_prints * 35 * 16)
+    crowded = _crowded(prints, n_prints)
 
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).view(_U64)
             for low in range(0, len(values), 20_000):
-                yield _entries(values[low:low + 20_000], n)
+                yield _entries(values[low:low + 20_000], n, crowded)
 
     def match(table: pa.Table) -> pa.Table:
         key, who = buckets.unpack_all(table.column("payload").to_pylist(), "u8", "u8")
@@ -167,40 +199,45 @@ def near_groups(prints: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("fingerprint"), "root")
 
 
+def _prints(docs: DataFrame, id_column: str, column: str, name: str) -> DataFrame:
+    """(doc_id, fingerprint, mark) of documents with fingerprints under ``name``; stored."""
+    return stage(docs.select(
+        F.col(f"`{id_column}`").alias("doc_id"), F.col(name).alias("fingerprint"),
+        F.xxhash64(F.col(f"`{column}`")).alias("mark")), "prints")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
     """(doc_id, fingerprint as signed long, component_id) of every document."""
-    prints = stage(
-        with_fingerprints(
-            docs.select(F.col(id_column).alias("doc_id"), F.col(column).alias("text")))
-        .select("doc_id", "fingerprint"), "prints")
-    return prints.join(component_ids(prints), "fingerprint").select(
-        "doc_id", "fingerprint", "component_id")
+    rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{column}`").alias("text"))
+    prints = _prints(with_fingerprints(rows), "doc_id", "text", "fingerprint")
+    return prints.join(first_documents(prints), "fingerprint").select(
+        "doc_id", "fingerprint", F.col("first.doc_id").alias("component_id"))
 
 
-def component_ids(prints: DataFrame) -> DataFrame:
-    """(fingerprint, component_id) of all fingerprints: the smallest doc_id reachable from it."""
+def first_documents(prints: DataFrame) -> DataFrame:
+    """(fingerprint, first) of all fingerprints: the first document reachable from it.
+
+    ``first`` has fields doc_id and mark; the smallest doc_id comes first, then the smallest mark, and
+    documents without id last.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "mark")
     least = stage(
-        prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct-prints")
+        prints.groupBy("fingerprint").agg(F.min(order).alias("least")), "distinct-prints")
     placed = least.join(stage(near_groups(least), "groups"), "fingerprint", "left").withColumn(
         "root", F.coalesce("root", "fingerprint"))
-    ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return placed.join(ids, "root").select("fingerprint", "component_id")
+    first = placed.groupBy("root").agg(F.min("least").alias("first"))
+    return placed.join(first, "root").select("fingerprint", "first")
 
 
 def near_dedup(docs: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
-    """The documents that stay, one of each component: that with the smallest id.
-
-    All columns are carried along. A document without id stays only if no other of its component
-    has one.
-    """
+    """The documents that stay, the first one of each component, with all their columns."""
     name = "fingerprint"
-    while name in docs.columns or f"{name}_id" in docs.columns:
+    while name in docs.columns or f"{name}_first" in docs.columns:
         name = f"_{name}"
     marked = with_fingerprints(docs, column, name)
-    prints = stage(marked.select(
-        F.col(f"`{id_column}`").alias("doc_id"), F.col(name).alias("fingerprint")), "prints")
-    ids = component_ids(prints).select(
-        F.col("fingerprint").alias(name), F.col("component_id").alias(f"{name}_id"))
-    return marked.join(ids, name).filter(
-        F.col(f"`{id_column}`").eqNullSafe(F.col(f"{name}_id"))).select(
+    first = first_documents(_prints(marked, id_column, column, name)).select(
+        F.col("fingerprint").alias(name), F.col("first").alias(f"{name}_first"))
+    return marked.join(first, name).filter(
+        F.col(f"`{id_column}`").eqNullSafe(F.col(f"{name}_first.doc_id"))
+        & (F.xxhash64(F.col(f"`{column}`")) == F.col(f"{name}_first.mark"))).select(
             *[F.col(f"`{c}`") for c in docs.columns])

@@ -143,6 +143,29 @@ def test_components_of_close_fingerprints(spark, monkeypatch, few):
     assert [roots.get(i, i) for i in range(len(prints))] == groups_by_hand(prints)
 
 
+def test_crowded_segments_lose_no_link(spark, monkeypatch):
+    """Most fingerprints share a segment, low or high; more buckets than pieces of one key."""
+    monkeypatch.setattr(simhash, "CROWDED", 40)
+    rng = random.Random(9)
+    low, high = rng.getrandbits(32), rng.getrandbits(32)
+    prints = set()
+    for shared in (lambda x: x << 32 | low, lambda x: high << 32 | x):
+        for _ in range(60):
+            at = shared(rng.getrandbits(32))
+            prints |= {at, at ^ 1 << rng.randrange(64), at ^ 1 << rng.randrange(32) ^ 1 << 32,
+                       at ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64)}
+    prints = sorted(prints)
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    df = spark.createDataFrame(signed, "fingerprint bigint")
+    crowded = simhash._crowded(df, len(prints))
+    assert {low, high | 1 << 32} <= set(crowded.tolist())
+    monkeypatch.setattr(simhash.buckets, "bucket_count", lambda *_: 500)
+    roots = {r.fingerprint % (1 << 64): r.root for r in simhash.near_groups(df).collect()}
+    groups = groups_by_hand(prints)
+    found = [roots.get(p, p) for p in prints]
+    assert len(set(found)) == len(set(groups)) == len(set(zip(found, groups)))
+
+
 def test_components_of_a_long_chain(spark):
     n = 200
     order = list(range(n))
@@ -189,6 +212,14 @@ def test_near_duplicates_without_id(frame):
     assert sorted(map(str, (r.doc_id for r in found.collect()))) == ["3", "None"]
 
 
+def test_one_document_of_a_group_stays_without_ids_or_with_equal_ones(frame):
+    long = " ".join(f"w{i}" for i in range(400))
+    assert simhash.near_dedup(frame(
+        [(None, long), (None, long.upper()), (None, long.title())])).count() == 1
+    kept = simhash.near_dedup(frame([(5, long), (5, long.upper()), (6, long), (None, long)]))
+    assert [r.doc_id for r in kept.collect()] == [5]
+
+
 def test_near_duplicates_empty(frame):
     assert simhash.near_duplicates(frame([])).count() == 0
     assert simhash.near_dedup(frame([])).count() == 0
