@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from cohortline.llm import bloom, components, exact, registry, simhash, substring, text
+from cohortline.llm import bloom, components, exact, registry, similar, simhash, substring, text
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -231,6 +231,82 @@ def test_registered_fingerprint_is_hex(spark, folder, frame):
         (1, "0" * 16, 1), (2, f"{print_by_hand('x y z'):016x}", 2)}
 
 
+# ---- similar texts -------------------------------------------------------------------------
+
+def set_by_hand(t, size):
+    words = [lowered(w) for w in WORD.findall(t or "")]
+    return {tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))}
+
+
+def similar_by_hand(rows, size, least):
+    """Ids that stay."""
+    sets = [set_by_hand(t, size) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if 10 * len(sets[i] & sets[j]) >= round(10 * least) * len(sets[i] | sets[j]):
+            a, b = sorted((top(i), top(j)))
+            root[b] = a
+    return {rows[i][0] for i in range(len(rows)) if top(i) == i}
+
+
+def similar_rows():
+    rng = random.Random(8)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(300)]
+    common = [rng.choice(vocab) for _ in range(40)]
+    rows = []
+    for i in range(40):
+        words = [rng.choice(vocab) for _ in range(rng.choice([0, 1, 4, 5, 6, 30, 64, 400]))]
+        words = common + words if i % 3 == 0 else words
+        rows.append(" ".join(words))
+        for _ in range(40 if i == 1 else 3):
+            copy = list(words) or ["x"]
+            for _ in range(rng.randint(0, 1 + len(copy) // 40)):
+                copy[rng.randrange(len(copy))] = rng.choice(vocab).upper()
+            rows.append("  ".join(copy[:max(1, len(copy) - rng.randint(0, len(copy) // 10))]))
+    # Each like the base, but few like each other.
+    base = [rng.choice(vocab) for _ in range(64)]
+    for _ in range(40):
+        copy = list(base)
+        copy[rng.randrange(64)] = rng.choice(vocab)
+        rows.append(" ".join(copy))
+    rng.shuffle(rows)
+    return [*enumerate(rows), (900, None), (901, " ")]
+
+
+@pytest.mark.parametrize("size, least, few", [(5, 0.8, 16), (5, 0.8, 2), (3, 0.5, 4), (5, 1.0, 2)])
+def test_similar_documents(frame, clash, monkeypatch, size, least, few):
+    monkeypatch.setattr(similar, "FEW", few)
+    rows = similar_rows()
+    docs = clash(frame(rows))
+    kept = similar.near_dedup(docs, shingle=size, similarity=least)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == similar_by_hand(rows, size, least)
+
+
+def test_the_pipeline_drops_a_copy_five_bits_apart(frame):
+    import corpus_pipeline
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(64)]
+    base = " ".join(words)
+    copies = [" ".join([*words[:-1], f"v{i}"]) for i in range(200)]
+    far = next(t for t in copies if (print_by_hand(t) ^ print_by_hand(base)).bit_count() > 2)
+    kept = corpus_pipeline.near_dedup(None, frame([(1, base), (2, far)]), "")
+    assert [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_similar_empty_or_without_ids(frame):
+    long = " ".join(f"w{i}" for i in range(400))
+    assert similar.near_dedup(frame([])).count() == 0
+    assert similar.near_dedup(frame([(None, long), (None, long.upper()), (None, long)])).count() >= 1
+    kept = similar.near_dedup(frame([(5, long), (5, long.upper()), (6, long), (None, long)]))
+    assert [r.doc_id for r in kept.collect()] == [5]
+
+
 # ---- substring dedup -----------------------------------------------------------------------
 
 def cut_by_hand(rows, window):
