@@ -6,8 +6,8 @@ weighs the encoded passages, and a logistic layer scores their weighted mean. Ev
 learned from document labels alone.
 
 Learning reads a sample of at most ``MOST_LABELLED`` labelled documents, chosen by the hash of their
-id, and of each at most ``MOST_PASSAGES`` passages, evenly spaced; scoring reads every passage of
-every text.
+id, and every passage of each. ``MOST_PASSAGES`` bounds the passages of the whole sample: documents
+are taken whole, in hash order, until it is reached. Scoring reads every passage of every text.
 
 Defined cases: null and texts without words are one empty passage; contradictory labels of one id
 are averaged; with no labels every score is 0.5, with one kind of label the smoothed share.
@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.llm import text
+from cohortline.session import stage
 
 PASSAGE = 100
 MOST_LABELLED = 12_000
-MOST_PASSAGES = 64
+MOST_PASSAGES = 64 * MOST_LABELLED
 HIDDEN = 24
 ATTENTION = 12
 EPOCHS = 40
@@ -177,9 +178,25 @@ def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, batc
     return model
 
 
+def last_place(sizes: list[tuple[int, int]], most: int) -> int:
+    """Last place whose documents still fit into ``most`` passages; ``sizes`` are (place, passages).
+
+    Documents are taken whole in order of place; one that is larger than ``most`` is left out.
+    """
+    total, last = 0, -(1 << 63)
+    for place, n in sorted(tuple(r) for r in sizes):
+        if n > most:
+            continue
+        total += n
+        if total > most:
+            break
+        last = place
+    return last
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_column: str = "doc_id",
         column: str = "text", most: int = MOST_LABELLED) -> Model:
-    """Learn from at most ``most`` labelled documents."""
+    """Learn from at most ``most`` labelled documents, ``MOST_PASSAGES`` passages in all."""
     wanted = labels.select(
         F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{label}`").cast("double").alias("y")
     ).filter("y IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("y").alias("y"))
@@ -187,23 +204,26 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_column: s
     texts = docs.select(
         F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{column}`").alias("text"))
     # Bounded by ``most`` rows of 16 bytes.
-    rows = texts.join(F.broadcast(wanted), "doc_id").select("doc_id", "y", "text")
+    rows = texts.join(F.broadcast(wanted), "doc_id").select(
+        "doc_id", "y", F.xxhash64("doc_id").alias("place"), "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text.parts(batch):
                 x, row = passages(part.column("text"))
                 cuts = np.searchsorted(row, np.arange(part.num_rows + 1))
-                bags = []
-                for i, j in zip(cuts[:-1], cuts[1:]):
-                    use = np.unique(np.linspace(i, j - 1, min(j - i, MOST_PASSAGES)).astype(int))
-                    bags.append(x[use].tobytes())
+                bags = [x[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.string()), part.column("y"),
+                     part.column("place"), pa.array(np.diff(cuts), pa.int64()),
                      pa.array(bags, pa.binary())],
-                    ["doc_id", "y", "bag"])
+                    ["doc_id", "y", "place", "n", "bag"])
 
-    sample = rows.mapInArrow(work, "doc_id string, y double, bag binary").collect()
+    bagged = stage(rows.mapInArrow(
+        work, "doc_id string, y double, place long, n long, bag binary"), "bags")
+    last = last_place(bagged.select("place", "n").collect(), MOST_PASSAGES)
+    sample = bagged.filter((F.col("place") <= last) & (F.col("n") <= MOST_PASSAGES)).select(
+        "doc_id", "y", "bag").collect()
     sample.sort(key=lambda r: (r[0], r[2]))
     bags = [np.frombuffer(r[2], np.float32).reshape(-1, N_FEATURES) for r in sample]
     return train(bags, np.array([r[1] for r in sample])) if bags else Model()

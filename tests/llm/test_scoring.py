@@ -127,6 +127,20 @@ def test_quality(frame, clash, spark):
     assert np.mean([(found[i] >= 0.5) == (q == 1) for i, q in held]) > 0.9
 
 
+def test_learning_sees_every_passage(frame, spark, monkeypatch):
+    rng = random.Random(12)
+    texts = [prose(rng, "en", 100 * n) for n in (70, 3)]
+    seen = {}
+    monkeypatch.setattr(quality, "train", lambda bags, y: seen.update(zip(y.tolist(), bags)))
+    table = spark.createDataFrame([(0, 0), (1, 1)], "doc_id bigint, quality int")
+    quality.fit(frame(list(enumerate(texts))), table)
+    for y, t in enumerate(texts):
+        assert np.array_equal(seen[y], quality.passages(pa.array([t]))[0])
+    # Whole documents go when the budget is spent.
+    assert quality.last_place([(5, 3), (-4, 6), (9, 2)], 9) == 5
+    assert quality.last_place([(1, 20), (2, 6), (3, 4)], 9) == 2
+
+
 def test_quality_without_labels(frame, spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     docs = frame([(1, "a"), (2, None)])
