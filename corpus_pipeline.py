@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortline.llm import decontam, exact, langid, packing, similar
+from cohortline.llm import decontam, exact, langid, packing, simhash
 from cohortline.llm.registry import table
 from cohortline.session import stage
 
@@ -24,8 +24,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group that shares 0.8 or more of its five-word shingles."""
-    return similar.near_dedup(docs)
+    """Keep one document of each group of SimHash fingerprints that are linked within two bits."""
+    return simhash.near_dedup(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL has no naive Bayes model, components of similar texts or optimal buckets; tests use brute force.
+#: SQL has no naive Bayes model, SimHash components or optimal buckets; tests use brute force.
 ORACLE_SQL = None
 
 
