@@ -39,13 +39,13 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or folder
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table.
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` to the shared folder and return the written table; ``options`` go to the writer.
 
     Cuts lineage: later reads survive lost executors, prune columns, push filters and see
     real sizes, and nothing upstream is computed twice.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/cohortline/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
