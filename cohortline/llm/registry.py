@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.llm import (
-    dac, decontam, exact, knlm, langid, packing, quality, simhash, substring, token_scan)
+    dac, decontam, exact, knlm, langid, packing, periodic, quality, simhash, substring, token_scan)
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -94,10 +94,39 @@ def op10_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """The documents as op11 reads them: one in ten, by its id, repeats its words from a point on."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    drawn = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "words", F.when(h % 10 == 0, F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")))
+    parts = drawn.withColumn("n", F.size("words").cast("long")).withColumn("g", F.expr("h div 10"))
+    placed = parts.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))).withColumn(
+        "p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = F.expr(
+        "array_join(transform(words, (w, i) -> if(i < a, w, words[cast(a + (i - a) % p AS int)])), ' ')")
+    return placed.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op11_period_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.collapse_runs(with_planted_periods(table(spark, folder, "documents")))
+    # Least of (-length, start, period): the longest run, ties by start, then period.
+    longest = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-r.length).alias("less"), r.start.alias("start"), r.period.alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "longest.start",
+        (-F.col("longest.less")).alias("length"), "longest.period",
+        F.expr("(-1000 * longest.less) div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias(
+            "runs_sha256"),
+        F.sha2("kept_text", 256).alias("collapsed_sha256"), "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_substring_dedup, op3_token_files, op4_packing, op5_simhash,
-        op6_exact_dedup, op7_quality, op8_decontamination, op9_token_counts, op10_lm_scores)
+        op6_exact_dedup, op7_quality, op8_decontamination, op9_token_counts, op10_lm_scores,
+        op11_period_runs)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
