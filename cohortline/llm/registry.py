@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.llm import (
-    dac, decontam, exact, knlm, langid, packing, periodic, quality, simhash, substring, token_scan)
+    dac, decontam, exact, knlm, langid, packing, periodic, quality, simhash, substring, token_scan,
+    warc)
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -122,11 +123,18 @@ def op11_period_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("kept_text", 256).alias("collapsed_sha256"), "n_words")
 
 
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.read_archives(warc.write_archives(table(spark, folder, "pages")))
+    return found.select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_substring_dedup, op3_token_files, op4_packing, op5_simhash,
         op6_exact_dedup, op7_quality, op8_decontamination, op9_token_counts, op10_lm_scores,
-        op11_period_runs)
+        op11_period_runs, op12_warc)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -186,4 +194,15 @@ SQL: dict[str, str] = {
                coalesce(named.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(hits.n, 0) > 0 AS contaminated
         FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op12_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS body, sha256(coalesce(html, '')) AS digest
+            FROM pages),
+        firsts AS (
+            SELECT *, min(page_id) OVER (PARTITION BY digest) AS lowest,
+                   strlen(body) >= 100 AS large FROM payloads)
+        SELECT page_id, strlen(body) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN large AND page_id > lowest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN large AND page_id > lowest THEN lowest END AS refers_to
+        FROM firsts""",
 }
