@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.llm import (
-    dac, decontam, exact, knlm, langid, packing, periodic, quality, simhash, substring, token_scan,
-    warc)
+    dac, decontam, exact, knlm, langid, packing, periodic, quality, ranked, simhash, substring,
+    token_scan, warc)
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -130,11 +130,15 @@ def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
         "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_substring_dedup, op3_token_files, op4_packing, op5_simhash,
         op6_exact_dedup, op7_quality, op8_decontamination, op9_token_counts, op10_lm_scores,
-        op11_period_runs, op12_warc)
+        op11_period_runs, op12_warc, op13_ranked_search)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -205,4 +209,27 @@ SQL: dict[str, str] = {
                CASE WHEN large AND page_id > lowest THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN large AND page_id > lowest THEN lowest END AS refers_to
         FROM firsts""",
+    "op13_ranked_search": rf"""
+        WITH terms AS (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+                {_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        held AS (SELECT r, unnest(w) AS term FROM terms),
+        postings AS (SELECT r, term, count(*) AS tf FROM held GROUP BY r, term),
+        totals AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM terms),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+            FROM postings, totals GROUP BY term),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                {_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        scores AS (
+            SELECT item_id, doc_id, sum(weight * ((1000000000 * tf)
+                       // (1000 * tf + 8 * (10 + (90 * len(w) * n_docs) // n_terms))))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN terms USING (r), totals
+            GROUP BY item_id, r, doc_id),
+        ranked AS (
+            SELECT item_id, CAST(row_number() OVER (
+                PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+            FROM scores WHERE score > 0)
+        SELECT * FROM ranked WHERE rank <= 10""",
 }
