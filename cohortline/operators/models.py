@@ -1,7 +1,7 @@
 """Classifiers on the encoded matrix, all behind the same preprocessing.
 
-Preprocessing and model form one ML pipeline, so scaling statistics always come from the rows
-a model is fitted on and travel with it when it is saved.
+Preprocessing and the logistic model form one ML pipeline, so scaling statistics always come from the
+rows a model is fitted on and travel with it when it is saved. Boosted trees read the columns as they are.
 """
 
 from __future__ import annotations
@@ -14,15 +14,16 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.config import RetentionConfig
+from cohortline.operators import metrics
+from cohortline.operators.boosting import Ensemble, Fitted, Setting, fit_many
+from cohortline.session import stage
 
 # Features that all measure how much a customer buys, and how recently.
 VOLUME_COLUMNS = ("frequency", "monetary_total", "spend_last_365d", "distinct_active_months",
@@ -62,87 +63,94 @@ def logistic(n_train: int, cfg: RetentionConfig, columns: Sequence[str] | None =
 
 @dataclass(frozen=True)
 class SearchSpace:
-    """Inclusive ranges of a random search over boosted trees."""
+    """Inclusive ranges of a random search over boosted trees, grown by ``depth`` or by ``leaves``."""
 
+    # The ranges that the study searches.
     trees: tuple[int, int] = (50, 399)
-    depth: tuple[int, int] = (2, 6)
     learning_rate: tuple[float, float] = (0.01, 0.30)
     row_share: tuple[float, float] = (0.6, 1.0)
     column_share: tuple[float, float] = (0.6, 1.0)
+    l1: tuple[float, float] = (0.0, 1.0)
+    l2: tuple[float, float] = (0.5, 2.5)
+    depth: tuple[int, int] | None = None
+    leaves: tuple[int, int] | None = None
+    min_curvature: tuple[int, int] = (0, 0)
     min_rows: tuple[int, int] = (1, 1)
-    min_weight_share: tuple[float, float] = (0.0, 0.0)
 
-    def sample(self, n: int, seed: int) -> list[dict]:
+    def sample(self, n: int, seed: int) -> list[Setting]:
         draw = random.Random(seed)
+
+        def whole(bounds: tuple[int, int] | None) -> int | None:
+            return None if bounds is None else draw.randint(*bounds)
+
+        def share(bounds: tuple[float, float]) -> float:
+            return round(draw.uniform(*bounds), 4)
+
         return [
-            {
-                "maxIter": draw.randint(*self.trees),
-                "maxDepth": draw.randint(*self.depth),
-                "stepSize": round(draw.uniform(*self.learning_rate), 4),
-                "subsamplingRate": round(draw.uniform(*self.row_share), 4),
-                "featureSubsetStrategy": f"{draw.uniform(*self.column_share):.4f}",
-                "minInstancesPerNode": draw.randint(*self.min_rows),
-                "minWeightFractionPerNode": round(draw.uniform(*self.min_weight_share), 5),
-            }
+            Setting(trees=whole(self.trees), learning_rate=share(self.learning_rate),
+                    row_share=share(self.row_share), column_share=share(self.column_share),
+                    l1=share(self.l1), l2=share(self.l2), depth=whole(self.depth),
+                    leaves=whole(self.leaves), min_curvature=float(whole(self.min_curvature)),
+                    min_rows=whole(self.min_rows))
             for _ in range(n)
         ]
 
 
-# Both grow level by level, as Spark's trees do; one space is bounded by depth and weight, the other
-# by the rows a leaf must hold.
-DEPTH_BOUND = SearchSpace(min_weight_share=(0.0, 0.002))
-LEAF_BOUND = SearchSpace(depth=(3, 6), min_rows=(5, 59))
+# What bounds the trees of the two candidates, level by level and leaf by leaf.
+DEPTH_BOUND = SearchSpace(depth=(2, 6), min_curvature=(1, 9))
+LEAF_BOUND = SearchSpace(leaves=(7, 62), min_rows=(5, 59))
 
 # One setting inside each space, for fits without a search.
-DEPTH_BOUND_SETTING = {
-    "maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8,
-    "featureSubsetStrategy": "0.8", "minInstancesPerNode": 1, "minWeightFractionPerNode": 0.001}
-LEAF_BOUND_SETTING = {
-    "maxIter": 100, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8,
-    "featureSubsetStrategy": "0.8", "minInstancesPerNode": 20, "minWeightFractionPerNode": 0.0}
+DEPTH_BOUND_SETTING = Setting(trees=50, learning_rate=0.1, row_share=0.8, column_share=0.8, l1=0.1,
+                              l2=1.0, depth=3, min_curvature=1.0)
+LEAF_BOUND_SETTING = Setting(trees=50, learning_rate=0.1, row_share=0.8, column_share=0.8, l1=0.1,
+                             l2=1.0, leaves=8, min_rows=20)
+#: All rows, with no fold left out.
+ALL = -1
 
 
-def boosted(settings: dict, cfg: RetentionConfig, assembled: bool = False) -> Pipeline:
-    """Boosted trees on unscaled columns: trees only compare values of one column."""
-    model = GBTClassifier(labelCol="y", seed=cfg.seed, **settings)
-    return Pipeline(stages=[model] if assembled else [_plain_columns(cfg), model])
+def boosted(train: DataFrame, jobs: Sequence[tuple[Setting, int]], cfg: RetentionConfig) -> Fitted:
+    """One model for each (setting, fold left out), all grown in the same passes over ``train``.
 
+    Columns are not scaled: trees only compare values of one column.
+    """
+    return fit_many(train, feature_names(cfg), jobs, cfg.seed)
 
-def _plain_columns(cfg: RetentionConfig) -> VectorAssembler:
-    return VectorAssembler(inputCols=feature_names(cfg), outputCol="features")
 
+@dataclass
+class Search:
+    """The best setting, the table of all, and the best one's scores of the folds it did not see."""
 
-def random_search(train: DataFrame, space: SearchSpace, cfg: RetentionConfig,
-                  parallelism: int = 4) -> tuple[dict, DataFrame]:
-    """Best setting by mean ROC-AUC over the shared folds, and the table of all settings.
+    best: Setting
+    table: DataFrame
+    held_out: DataFrame
 
-    ``train`` carries its ``fold`` column. Settings and folds run as concurrent Spark jobs. Columns are
-    assembled once, before any fit.
+
+def random_search(train: DataFrame, space: SearchSpace, cfg: RetentionConfig) -> Search:
+    """Every sampled setting on every fold, in one set of passes; best by mean ROC-AUC over folds.
+
+    ``train`` carries its ``fold`` column. Of settings with equal means the earlier one wins.
     """
-    settings = space.sample(cfg.search_settings, cfg.seed)
-    train = _plain_columns(cfg).transform(train)
-    estimator = boosted({}, cfg, assembled=True)
-    classifier = estimator.getStages()[-1]
-    grid = [{classifier.getParam(k): v for k, v in one.items()} for one in settings]
-    evaluator = BinaryClassificationEvaluator(
-        labelCol="y", rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)
-    search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator,
-        numFolds=cfg.n_folds, foldCol="fold", parallelism=parallelism, seed=cfg.seed)
-    fitted = search.fit(train)
-    means, deviations = fitted.avgMetrics, fitted.stdMetrics
-    best = max(range(len(settings)), key=lambda i: means[i])
-    rows = [
-        (i, str(settings[i]), float(means[i]), float(deviations[i]), i == best)
-        for i in range(len(settings))
-    ]
+    settings = list(dict.fromkeys(space.sample(cfg.search_settings, cfg.seed)))
+    fitted = boosted(train, [(s, k) for s in settings for k in range(cfg.n_folds)], cfg)
+    scores = stage(fitted.held_out().withColumnRenamed("setting", "candidate"), "search")
+    by = ("candidate", "fold")
+    spread = metrics.fold_spread(metrics.ranking_metrics(metrics.score_levels(scores, by), by))
+    # One row for each setting.
+    means = {r.candidate: (r.cv_roc_auc, r.cv_std) for r in spread.collect()}
+    best = max(range(len(settings)), key=lambda i: (means[i][0] or 0.0, -i))
     table = train.sparkSession.createDataFrame(
-        rows, "setting int, parameters string, cv_roc_auc double, cv_std double, is_best boolean")
-    return settings[best], table
+        [(i, str(s), *means[i], i == best) for i, s in enumerate(settings)],
+        "setting int, parameters string, cv_roc_auc double, cv_std double, is_best boolean")
+    return Search(settings[best], table, scores.filter(F.col("candidate") == best).drop("candidate"))
 
 
-def scored(model: PipelineModel, df: DataFrame, candidate: str, *keep: str) -> DataFrame:
+def scored(model: PipelineModel | Ensemble, df: DataFrame, candidate: str, *keep: str) -> DataFrame:
     """(customer_id, y, candidate, score) with score the probability of a repeat purchase."""
+    if isinstance(model, Ensemble):
+        return model.scores(df, "customer_id", "y", *keep).select(
+            "customer_id", F.col("y").cast("int").alias("y"), *keep,
+            F.lit(candidate).alias("candidate"), "score")
     return model.transform(df).select(
         "customer_id", F.col("y").cast("int").alias("y"), *keep,
         F.lit(candidate).alias("candidate"),

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from cohortline.config import RetentionConfig
 from cohortline.operators import audit, checks, decision, encoding, features, labels, metrics, models, rfm, splits
+from cohortline.operators.boosting import Ensemble
 from cohortline.operators.cleaning import clean_transactions
-from cohortline.plans.workspace import LEAF_BOUND, DEPTH_BOUND, LOGISTIC, RULE
+from cohortline.plans.workspace import LEAF_BOUND, DEPTH_BOUND, LOGISTIC, RULE, TREES
 from cohortline.session import stage
 from cohortline.sources import ingest, sinks
 
@@ -108,25 +109,25 @@ def split_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> None:
 
 def training_job(spark: SparkSession, cfg: RetentionConfig, out: Layout,
                  depth_bound: models.SearchSpace = models.DEPTH_BOUND,
-                 leaf_bound: models.SearchSpace = models.LEAF_BOUND, parallelism: int = 4) -> None:
-    """Fit every candidate, save it with its out-of-fold probabilities."""
+                 leaf_bound: models.SearchSpace = models.LEAF_BOUND) -> None:
+    """Fit every candidate, save it with its out-of-fold probabilities.
+
+    A search leaves the fold scores of its best setting behind, so only the fit on all rows is to be done.
+    """
     train = spark.read.parquet(out.train)
     n_train = train.count()
-    best = {name: models.random_search(train, space, cfg, parallelism)[0]
-            for name, space in ((DEPTH_BOUND, depth_bound), (LEAF_BOUND, leaf_bound))}
-    makers = {
-        LOGISTIC: lambda n: models.logistic(n, cfg),
-        DEPTH_BOUND: lambda n: models.boosted(best[DEPTH_BOUND], cfg),
-        LEAF_BOUND: lambda n: models.boosted(best[LEAF_BOUND], cfg),
-    }
-    for name, make in makers.items():
-        model = make(n_train).fit(train)
+    found = {name: models.random_search(train, space, cfg)
+             for name, space in ((DEPTH_BOUND, depth_bound), (LEAF_BOUND, leaf_bound))}
+    whole = models.boosted(train, [(found[name].best, models.ALL) for name in found], cfg).models
+    fitted = {LOGISTIC: models.logistic(n_train, cfg).fit(train), **dict(zip(found, whole))}
+    for name, model in fitted.items():
         reloaded = sinks.save_model(model, out.model(name))
         if not checks.frames_equal(
                 models.scored(model, train, name), models.scored(reloaded, train, name)):
             raise checks.ContractViolation(f"{name}: predictions changed on reload")
-        sinks.write_predictions(
-            models.out_of_fold(train, make, name, cfg), out.predictions(name))
+        held_out = found[name].held_out if name in found else models.out_of_fold(
+            train, lambda n: models.logistic(n, cfg), name, cfg)
+        sinks.write_predictions(held_out, out.predictions(name))
 
 
 def decision_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> DataFrame:
@@ -145,8 +146,9 @@ def decision_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> Data
             raise checks.ContractViolation(f"{name}: {lined_up.unmatched_rows} unmatched rows")
         oof = oof.unionByName(metrics.as_candidate(
             saved.join(folds, "customer_id"), name, "oof_proba", "customer_id", "fold"))
-        on_test = on_test.unionByName(
-            models.scored(PipelineModel.load(out.model(name)), test, name))
+        saved = (Ensemble.load(spark, out.model(name)) if name in TREES
+                 else PipelineModel.load(out.model(name)))
+        on_test = on_test.unionByName(models.scored(saved, test, name))
     oof = stage(oof, "oof")
     by = ("candidate", "fold")
     spread = metrics.fold_spread(metrics.ranking_metrics(metrics.score_levels(oof, by), by))

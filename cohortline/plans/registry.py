@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from cohortline.operators import (
     audit,
+    boosting,
     checks,
     cleaning,
     decision,
@@ -963,6 +964,35 @@ def _(w: Workspace):
     return _zero_gradient(w, subset, models.VOLUME_COLUMNS)
 
 
+# The first tree of each kind on all rows and columns, so that SQL can follow every split.
+FIRST_BY_DEPTH = boosting.Setting(trees=1, l1=0.5, l2=1.0, depth=3, min_curvature=1.0)
+FIRST_BY_LEAVES = boosting.Setting(trees=1, l1=0.5, l2=1.0, leaves=7, min_rows=20)
+
+
+def _first_tree(w: Workspace, setting: boosting.Setting) -> DataFrame:
+    """(node, feature, threshold, gain, value, n_rows); node p has the nodes 2p and 2p + 1 below it."""
+    table = models.boosted(w.train(), [(setting, models.ALL)], w.cfg).models[0].table(w.spark)
+    nodes = {r.node: r for r in table.filter("tree = 0").collect()}
+    paths, rows = {0: 1}, []
+    for i in sorted(nodes):
+        r = nodes[i]
+        rows.append((paths[i], r["column"], r.threshold, r.gain, r.value, r["rows"]))
+        if r.left is not None:
+            paths[r.left], paths[r.right] = 2 * paths[i], 2 * paths[i] + 1
+    return w.spark.createDataFrame(
+        rows, "node long, feature string, threshold double, gain double, value double, n_rows long")
+
+
+@query("d5_first_tree")
+def _(w: Workspace):
+    return _first_tree(w, FIRST_BY_DEPTH)
+
+
+@query("d6_first_tree")
+def _(w: Workspace):
+    return _first_tree(w, FIRST_BY_LEAVES)
+
+
 def _coverage(scores: DataFrame, *by: str) -> DataFrame:
     """Rows, customers and scores that are no probability."""
     per_customer = scores.groupBy("candidate", *by, "customer_id").agg(

@@ -23,6 +23,7 @@ RULE = "RFM heuristic"
 LOGISTIC = "Logistic Regression"
 DEPTH_BOUND = "Boosted trees, depth-bound"
 LEAF_BOUND = "Boosted trees, leaf-bound"
+TREES = (DEPTH_BOUND, LEAF_BOUND)
 
 
 class Workspace:
@@ -162,20 +163,21 @@ class Workspace:
         return self._once(
             "logistic", lambda: models.logistic(self.n_train(), self.cfg).fit(self.train()))
 
-    def _makers(self) -> dict[str, Callable[[int], object]]:
-        """Every candidate at one full-size setting; the search belongs to ``jobs.training_job``."""
-        return {
-            LOGISTIC: lambda n: models.logistic(n, self.cfg),
-            DEPTH_BOUND: lambda n: models.boosted(models.DEPTH_BOUND_SETTING, self.cfg),
-            LEAF_BOUND: lambda n: models.boosted(models.LEAF_BOUND_SETTING, self.cfg),
-        }
+    def boosted(self):
+        """Both tree candidates at one full-size setting, on all rows and without each fold.
+
+        All twelve models grow together; the search belongs to ``jobs.training_job``.
+        """
+        folds = [models.ALL, *range(self.cfg.n_folds)]
+        jobs = [(s, k) for s in (models.DEPTH_BOUND_SETTING, models.LEAF_BOUND_SETTING) for k in folds]
+        return self._once("boosted", lambda: models.boosted(self.train(), jobs, self.cfg))
 
     def fitted(self, candidate: str):
         if candidate == LOGISTIC:
             return self.logistic()
-        return self._once(
-            f"model {candidate}",
-            lambda: self._makers()[candidate](self.n_train()).fit(self.train()))
+        whole = [m for m, (_, fold) in zip(self.boosted().models, self.boosted().jobs)
+                 if fold == models.ALL]
+        return whole[TREES.index(candidate)]
 
     def reloaded(self, candidate: str):
         """The fitted model, saved and loaded again."""
@@ -185,9 +187,11 @@ class Workspace:
 
     def model_oof(self) -> DataFrame:
         def build() -> DataFrame:
-            parts = [models.out_of_fold(self.train(), make, name, self.cfg)
-                     for name, make in self._makers().items()]
-            return stage(parts[0].unionByName(parts[1]).unionByName(parts[2]), "oof")
+            logistic = models.out_of_fold(
+                self.train(), lambda n: models.logistic(n, self.cfg), LOGISTIC, self.cfg)
+            names = F.array(*[F.lit(n) for n in TREES])
+            trees = self.boosted().held_out().withColumn("candidate", names[F.col("setting")])
+            return stage(logistic.unionByName(trees.drop("setting")), "oof")
         return self._once("oof", build)
 
     def all_oof(self) -> DataFrame:
@@ -197,7 +201,7 @@ class Workspace:
     def model_test(self) -> DataFrame:
         def build() -> DataFrame:
             parts = [models.scored(self.fitted(name), self.test(), name)
-                     for name in self._makers()]
+                     for name in (LOGISTIC, *TREES)]
             return stage(parts[0].unionByName(parts[1]).unionByName(parts[2]), "test-scores")
         return self._once("test scores", build)
 

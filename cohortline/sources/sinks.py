@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortline.operators.boosting import Ensemble
 from cohortline.operators.checks import ContractViolation, frame_difference
 
 
@@ -30,8 +31,12 @@ def write_predictions(oof: DataFrame, path: str) -> DataFrame:
     return oof.sparkSession.read.parquet(path)
 
 
-def save_model(model: PipelineModel, path: str) -> PipelineModel:
-    """Save a fitted pipeline and return the reloaded one."""
+def save_model(model: PipelineModel | Ensemble, path: str) -> PipelineModel | Ensemble:
+    """Save a fitted model and return the reloaded one."""
+    if isinstance(model, Ensemble):
+        spark = SparkSession.active()
+        model.save(spark, path)
+        return Ensemble.load(spark, path)
     model.write().overwrite().save(path)
     return PipelineModel.load(path)
 

@@ -17,6 +17,7 @@ from cohortline.sources import ingest, sinks, star_tables
 
 FOLDER = "/root/testdata/sf0.001"
 TINY = models.SearchSpace(trees=(2, 3), depth=(2, 2))
+TINY_LEAVES = models.SearchSpace(trees=(2, 3), leaves=(3, 4), min_rows=(5, 5))
 
 
 @pytest.fixture(scope="module")
@@ -71,13 +72,21 @@ def test_out_of_fold_covers_every_training_row_once(space):
 def test_search_samples_the_space_and_marks_the_best(space):
     samples = models.DEPTH_BOUND.sample(40, 42)
     assert len(samples) == 40 and samples == models.DEPTH_BOUND.sample(40, 42)
-    assert all(50 <= s["maxIter"] <= 399 and 2 <= s["maxDepth"] <= 6 for s in samples)
-    assert all(s["minInstancesPerNode"] >= 5 for s in models.LEAF_BOUND.sample(40, 42))
-    best, table = models.random_search(
-        space.train(), TINY, STAR_CONFIG.with_(search_settings=2))
-    rows = table.collect()
+    assert all(50 <= s.trees <= 399 and 2 <= s.depth <= 6 and s.leaves is None for s in samples)
+    assert all(s.min_rows >= 5 and 7 <= s.leaves <= 62 for s in models.LEAF_BOUND.sample(40, 42))
+    found = models.random_search(space.train(), TINY, STAR_CONFIG.with_(search_settings=2))
+    rows = found.table.collect()
     assert [r.is_best for r in rows].count(True) == 1
-    assert max(rows, key=lambda r: r.cv_roc_auc).is_best and "maxIter" in best
+    best = max(rows, key=lambda r: r.cv_roc_auc)
+    assert best.is_best and best.parameters == str(found.best)
+    # The scores left behind are those of the best setting, fitted without the row's fold.
+    model = models.boosted(space.train(), [(found.best, 2)], STAR_CONFIG).models[0]
+    lined_up = checks.unmatched_keys(found.held_out, space.train()).first()
+    assert lined_up.unmatched_rows == 0
+    if found.best == TINY.sample(2, STAR_CONFIG.seed)[0]:
+        want = models.scored(model, space.train().filter("fold = 2"), "x").collect()
+        got = {r.customer_id: r.score for r in found.held_out.filter("fold = 2").collect()}
+        assert got == pytest.approx({r.customer_id: r.score for r in want})
 
 
 def test_saved_model_predicts_the_same(space, tmp_path):
@@ -199,7 +208,7 @@ def test_all_jobs_from_csv_to_record(spark, tmp_path):
             header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(parts[name])
     quick = STAR_CONFIG.with_(search_settings=1)
     record = jobs.run_all(spark, parts, quick, str(tmp_path / "out"),
-                          depth_bound=TINY, leaf_bound=TINY).first()
+                          depth_bound=TINY, leaf_bound=TINY_LEAVES).first()
     out = jobs.Layout(str(tmp_path / "out"))
     assert checks.frames_equal(spark.read.parquet(out.raw),
                                star_tables.transactions_raw(star_tables.source_log(spark, FOLDER)))
