@@ -41,10 +41,11 @@ LEAST_GAIN = 1e-9
 SCALE = 1 << 30
 #: Trees between two stored states; what was grown since is applied again in each pass.
 STORE_EVERY = 16
+#: Nodes whose histograms complete in one call, while few tasks add to each.
+NODES_TOGETHER = 32
 #: Rows of a block, and histogram bytes of one pass; more nodes than that make take several passes.
 BLOCK_ROWS = 16_384
 PASS_BYTES = 128 << 20
-_ROWS_X_MODELS = 100_000
 _U64 = np.uint64
 
 
@@ -233,36 +234,45 @@ def drawn_rows(keys: np.ndarray, share: float, salt: int) -> np.ndarray:
 
 
 def _blocks(train: DataFrame, columns: Sequence[str], edges: list[np.ndarray], starts: np.ndarray,
-            rows: int) -> DataFrame:
-    """Rows in blocks: ids, hash keys, labels, folds, bins, and the log-odds under every model."""
+            rows: int) -> tuple[DataFrame, int, int]:
+    """Rows in blocks: ids, hash keys, labels, folds, bins, and the log-odds under a group of models.
+
+    Few rows under many models make a block for each of several groups, so that all cores have work.
+    Returns beside the blocks the number of groups, and of tasks that share the rows of a group.
+    """
     kind = train.schema["customer_id"].dataType.simpleString()
     names = [f"c{i}" for i in range(len(columns))]
     plain = train.select(
         F.col("customer_id").alias("id"), F.xxhash64("customer_id").alias("key"),
         F.col("y").cast("int").alias("y"), F.col("fold").cast("int").alias("fold"),
         *[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)])
-    size = min(BLOCK_ROWS, max(1, -(-_ROWS_X_MODELS // len(starts))))
-    tasks = max(1, min(4 * train.sparkSession.sparkContext.defaultParallelism, -(-rows // size)))
+    tasks = max(1, -(-rows // BLOCK_ROWS))
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    groups = max(1, min(len(starts), 2 * cores // tasks))
+    cuts = [len(starts) * g // groups for g in range(groups + 1)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for low in range(0, whole.num_rows, BLOCK_ROWS):
-                batch = whole.slice(low, BLOCK_ROWS)
+            for at in range(0, whole.num_rows, BLOCK_ROWS):
+                batch = whole.slice(at, BLOCK_ROWS)
                 ids = pa.concat_arrays([batch.column("id")])
-                block = Block(
-                    batch.column("key").to_numpy().view(np.uint64),
-                    batch.column("y").to_numpy().astype(np.int8), batch.column("fold").to_numpy(),
-                    binned(_doubles(batch, names), edges, len(ids)), np.repeat(starts[:, None], len(ids), 1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                     pa.array([block.packed()], pa.binary())], ["ids", "packed"])
+                keys, fold = batch.column("key").to_numpy().view(np.uint64), batch.column("fold").to_numpy()
+                y = batch.column("y").to_numpy().astype(np.int8)
+                bins = binned(_doubles(batch, names), edges, len(ids))
+                for low, high in zip(cuts, cuts[1:]):
+                    block = Block(low, keys, y, fold, bins, np.repeat(starts[low:high, None], len(ids), 1))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                         pa.array([block.packed()], pa.binary())], ["ids", "packed"])
 
-    return stage(plain.repartition(tasks, "key").mapInArrow(
-        work, f"ids array<{kind}>, packed binary"), "blocks")
+    blocks = plain.repartition(tasks, "key").mapInArrow(work, f"ids array<{kind}>, packed binary")
+    return stage(blocks.repartition(tasks * groups) if groups > 1 else blocks, "blocks"), groups, tasks
 
 
 @dataclass
 class Block:
+    #: The first model of the block's group.
+    first: int
     keys: np.ndarray
     y: np.ndarray
     fold: np.ndarray
@@ -271,20 +281,23 @@ class Block:
     margins: np.ndarray
 
     def packed(self) -> bytes:
-        sizes = np.array([len(self.keys), self.bins.shape[1], len(self.margins)], np.int64)
+        sizes = np.array([self.first, len(self.keys), self.bins.shape[1], len(self.margins)], np.int64)
         return b"".join(x.tobytes() for x in (
             sizes, self.margins, self.keys, self.fold.astype(np.int32), self.y, self.bins))
 
     @classmethod
     def unpacked(cls, raw: pa.Buffer) -> Block:
-        rows, columns, models = np.frombuffer(raw, np.int64, 3).tolist()
-        at, out = 24, []
+        first, rows, columns, models = np.frombuffer(raw, np.int64, 4).tolist()
+        at, out = 32, []
         for kind, n in ((np.float64, rows * models), (np.uint64, rows), (np.int32, rows), (np.int8, rows),
                         (np.uint8, rows * columns)):
             out.append(np.frombuffer(raw, kind, n, at))
             at += out[-1].nbytes
         margins, keys, fold, y, bins = out
-        return cls(keys, y, fold, bins.reshape(rows, columns), margins.reshape(models, rows))
+        return cls(first, keys, y, fold, bins.reshape(rows, columns), margins.reshape(models, rows))
+
+    def has(self, model: int) -> bool:
+        return self.first <= model < self.first + len(self.margins)
 
     @classmethod
     def all(cls, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, pa.RecordBatch]]:
@@ -319,7 +332,7 @@ class Ask:
         place = slot[self.tree.places(mine, 0)]
         asked = place >= 0
         rows, mine, place = rows[asked], mine[asked], place[asked]
-        chance = 1 / (1 + np.exp(-(block.margins[self.model, rows] + self.since.added(mine))))
+        chance = 1 / (1 + np.exp(-(block.margins[self.model - block.first, rows] + self.since.added(mine))))
         gradient = np.rint((chance - block.y[rows]) * SCALE)
         curvature = np.rint(chance * (1 - chance) * SCALE)
         n = len(self.nodes) * bins
@@ -360,48 +373,57 @@ def split_gains(left: np.ndarray, total: np.ndarray, setting: Setting) -> np.nda
     return np.where(allowed, gain, -np.inf)
 
 
-def histograms(blocks: DataFrame, asks: list[Ask], bins: int = BINS) -> DataFrame:
-    """(model, node, sums): partial histograms, one row for each task and node.
+def histograms(blocks: DataFrame, asks: list[Ask], bins: int = BINS, together: int = 1) -> DataFrame:
+    """(bucket, model, node, sums): partial histograms, one row for each task and node.
 
-    ``blocks`` has the one column ``packed``.
+    ``blocks`` has the one column ``packed``; a bucket holds ``together`` nodes.
     """
+    ends = np.cumsum([len(a.nodes) for a in asks])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: list[np.ndarray | None] = [None] * len(asks)
         for block, _ in Block.all(batches):
             for k, ask in enumerate(asks):
-                found = ask.histograms(block, bins)
-                sums[k] = found if sums[k] is None else sums[k] + found
-        for ask, found in zip(asks, sums):
+                if block.has(ask.model):
+                    found = ask.histograms(block, bins)
+                    sums[k] = found if sums[k] is None else sums[k] + found
+        for ask, end, found in zip(asks, ends, sums):
             if found is not None:
+                n = len(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(found), ask.model, np.int32)), pa.array(ask.nodes.astype(np.int32)),
-                     pa.array([x.tobytes() for x in found], pa.binary())], ["model", "node", "sums"])
+                    [pa.array((np.arange(end - n, end) // together).astype(np.int32)),
+                     pa.array(np.full(n, ask.model, np.int32)), pa.array(ask.nodes.astype(np.int32)),
+                     pa.array([x.tobytes() for x in found], pa.binary())], ["bucket", "model", "node", "sums"])
 
-    return blocks.mapInArrow(work, "model int, node int, sums binary")
+    return blocks.mapInArrow(work, "bucket int, model int, node int, sums binary")
 
 
-def _best_splits(blocks: DataFrame, asks: list[Ask], bins: int) -> list:
+def _best_splits(blocks: DataFrame, asks: list[Ask], bins: int, together: int = 1) -> list:
     known = {a.model: (a.columns, a.setting) for a in asks}
+    fields = [f.split() for f in _SPLIT.split(", ")]
+    kinds = {"double": pa.float64(), "int": pa.int32(), "long": pa.int64()}
+    schema = pa.schema([(name, kinds[kind]) for name, kind in fields])
 
     def work(table: pa.Table) -> pa.Table:
-        model, node = table.column("model")[0].as_py(), table.column("node")[0].as_py()
-        columns, setting = known[model]
-        sums = sum(np.frombuffer(x.as_buffer(), np.int64) for x in table.column("sums"))
-        found = best_split(sums.reshape(len(columns), bins, 3), columns, setting)
-        names = [f.split()[0] for f in _SPLIT.split(", ")]
-        kinds = {"double": pa.float64(), "int": pa.int32(), "long": pa.int64()}
-        return pa.table([pa.array([v], kinds[f.split()[1]]) for f, v in zip(
-            _SPLIT.split(", "), (model, node, *found))], names)
+        whole: dict[tuple[int, int], np.ndarray] = {}
+        for model, node, sums in zip(*[table.column(c).to_pylist() for c in ("model", "node", "sums")]):
+            part = np.frombuffer(sums, np.int64)
+            whole[model, node] = whole[model, node] + part if (model, node) in whole else part
+        found = []
+        for (model, node), sums in whole.items():
+            columns, setting = known[model]
+            found.append((model, node, *best_split(sums.reshape(len(columns), bins, 3), columns, setting)))
+        return pa.table([pa.array(v, t.type) for v, t in zip(zip(*found), schema)], schema=schema)
 
-    return histograms(blocks, asks, bins).groupBy("model", "node").applyInArrow(work, _SPLIT).collect()
+    return histograms(blocks, asks, bins, together).groupBy("bucket").applyInArrow(work, _SPLIT).collect()
 
 
-def _passes(asks: list[Ask], bins: int) -> Iterator[list[Ask]]:
-    """Asks in groups whose histograms fit ``PASS_BYTES``."""
+def _passes(asks: list[Ask], bins: int, groups: int) -> Iterator[list[Ask]]:
+    """Asks in runs whose histograms fit ``PASS_BYTES`` in each task."""
     group, used = [], 0
     for ask in asks:
         size = len(ask.nodes) * len(ask.columns) * bins * 24
-        if group and used + size > PASS_BYTES:
+        if group and used + size > PASS_BYTES * groups:
             yield group
             group, used = [], 0
         group.append(ask)
@@ -508,11 +530,13 @@ class Fitted:
             for block, batch in Block.all(batches):
                 ids = batch.column("ids")[0].values
                 for m, setting, fold in jobs:
+                    if not block.has(m):
+                        continue
                     rows = np.flatnonzero(block.fold == fold)
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(pa.array(rows)), pa.array(block.y[rows].astype(np.int32)),
                          pa.array(block.fold[rows]), pa.array(np.full(len(rows), setting, np.int32)),
-                         pa.array(1 / (1 + np.exp(-block.margins[m, rows])))],
+                         pa.array(1 / (1 + np.exp(-block.margins[m - block.first, rows])))],
                         ["customer_id", "y", "fold", "setting", "score"])
 
         return self.state.mapInArrow(
@@ -533,13 +557,13 @@ def _starts(train: DataFrame, jobs: Sequence[tuple[Setting, int]]) -> tuple[np.n
 
 
 def prepare(train: DataFrame, columns: Sequence[str], jobs: Sequence[tuple[Setting, int]],
-            bins: int = BINS) -> tuple[list[np.ndarray], np.ndarray, DataFrame]:
-    """Edges, starts and the stored blocks of the training rows."""
+            bins: int = BINS) -> tuple[list[np.ndarray], np.ndarray, DataFrame, int, int]:
+    """Edges, starts, and what ``_blocks`` returns for the training rows."""
     if "fold" not in train.columns:
         train = train.withColumn("fold", F.lit(0))
     edges = bin_edges(train, columns, bins)
     starts, rows = _starts(train, jobs)
-    return edges, starts, _blocks(train, columns, edges, starts, rows)
+    return edges, starts, *_blocks(train, columns, edges, starts, rows)
 
 
 def fit_many(train: DataFrame, columns: Sequence[str], jobs: Sequence[tuple[Setting, int]], seed: int,
@@ -549,10 +573,12 @@ def fit_many(train: DataFrame, columns: Sequence[str], jobs: Sequence[tuple[Sett
     ``train`` has customer_id, y and the columns, and fold where folds are left out.
     """
     jobs, columns = list(jobs), list(columns)
-    edges, starts, state = prepare(train, columns, jobs, bins)
+    edges, starts, state, groups, parts = prepare(train, columns, jobs, bins)
     numbers = {s: i for i, s in enumerate(dict.fromkeys(s for s, _ in jobs))}
     grown: list[list[dict]] = [[] for _ in jobs]
     stored, blocks = 0, state.select("packed")
+    # Every task that has rows of a model sends a row for each of its nodes.
+    together = max(1, NODES_TOGETHER // parts)
     for t in range(max((s.trees for s, _ in jobs), default=0)):
         if t - stored == STORE_EVERY:
             state, stored = _advanced(state, [g[stored:t] for g in grown]), t
@@ -565,8 +591,8 @@ def fit_many(train: DataFrame, columns: Sequence[str], jobs: Sequence[tuple[Sett
             asks = [Ask(m, trees[m].setting, jobs[m][1], _salt(seed, numbers[jobs[m][0]], t), since[m],
                         Forest([trees[m].arrays(final=False)]), np.array(nodes), trees[m].columns)
                     for m, nodes in wanted.items()]
-            for group in _passes(asks, bins):
-                for r in _best_splits(blocks, group, bins):
+            for group in _passes(asks, bins, groups):
+                for r in _best_splits(blocks, group, bins, together):
                     node = trees[r.model].nodes[r.node]
                     node.gradient, node.curvature = r.all_gradient / SCALE, r.all_curvature / SCALE
                     node.rows = r.all_rows
@@ -585,7 +611,8 @@ def _advanced(state: DataFrame, trees: list[list[dict]]) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, batch in Block.all(batches):
-            block.margins = block.margins + np.stack([f.added(block.bins) for f in forests])
+            mine = forests[block.first:block.first + len(block.margins)]
+            block.margins = block.margins + np.stack([f.added(block.bins) for f in mine])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("ids"), pa.array([block.packed()], pa.binary())], ["ids", "packed"])
 

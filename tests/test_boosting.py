@@ -140,7 +140,7 @@ def test_bounds_are_obeyed(fitted):
 
 
 def test_trees_do_not_depend_on_how_rows_are_dealt(train, fitted, monkeypatch):
-    monkeypatch.setattr(boosting, "_ROWS_X_MODELS", 50)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 50)
     monkeypatch.setattr(boosting, "STORE_EVERY", 1)
     monkeypatch.setattr(boosting, "PASS_BYTES", 1)
     again = boosting.fit_many(train.repartition(7), NAMES, fitted[1][:2], 11, bins=16)
