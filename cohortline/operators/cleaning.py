@@ -62,7 +62,11 @@ def finish(df: DataFrame) -> DataFrame:
 
 def clean_transactions(raw: DataFrame, cfg: RetentionConfig) -> DataFrame:
     """Rows without a customer are kept: who can be modelled is decided later."""
-    kept = normalise(raw)
+    return clean_normalised(normalise(raw), cfg)
+
+
+def clean_normalised(kept: DataFrame, cfg: RetentionConfig) -> DataFrame:
+    """The filters and what follows them, for rows that are normalised already."""
     for _, keep in keep_rules(cfg):
         kept = kept.filter(keep)
     return finish(kept)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortline.operators.checks import validate_raw
+from cohortline.operators import checks
+from cohortline.sources import published, sinks
 
 # Original headings with their types, and the names used everywhere else.
 SOURCE_SCHEMA = T.StructType([
@@ -84,12 +84,16 @@ def concat_parts(parts: list[DataFrame]) -> DataFrame:
 
 def load_raw(spark: SparkSession, parts: dict[str, str], fmt: str = "csv") -> DataFrame:
     """All parts (name -> path) as one validated raw table."""
-    raw = concat_parts([
+    raw = _parts(spark, parts, fmt)
+    checks.validate_raw(raw)
+    return raw
+
+
+def _parts(spark: SparkSession, parts: dict[str, str], fmt: str) -> DataFrame:
+    return concat_parts([
         tag_part(rename_columns(read_part(spark, path, name, fmt)), name)
         for name, path in parts.items()
     ])
-    validate_raw(raw)
-    return raw
 
 
 def clustered(log: DataFrame) -> DataFrame:
@@ -103,12 +107,16 @@ def clustered(log: DataFrame) -> DataFrame:
 
 def build_raw_parquet(spark: SparkSession, parts: dict[str, str], target: str,
                       fmt: str = "csv", force: bool = False) -> DataFrame:
-    """Materialise the raw table once; later calls read it unless ``force`` rebuilds it."""
-    if not force:
-        try:
-            return spark.read.parquet(target)
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-    clustered(load_raw(spark, parts, fmt)).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    """Materialise the raw table once; later calls read it unless ``force`` rebuilds it.
+
+    Its contract is counted while it is written. A rebuild that fails leaves the old table in place.
+    """
+    if not force and published.exists(spark, target):
+        return published.read(spark, target)
+    raw = _parts(sinks.observing(spark), parts, fmt)
+    checks.require_raw_types(raw)
+    counts = Observation()
+    sinks.write_checked(
+        clustered(raw).observe(counts, *checks.raw_counts()), target,
+        lambda: checks.require_raw(counts.get), once=True)
+    return published.read(spark, target)

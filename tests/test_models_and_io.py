@@ -9,11 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortline.config import STAR_CONFIG
-from cohortline.operators import checks, models
+from cohortline.operators import audit, checks, models
 from cohortline.plans import jobs
 from cohortline.plans.workspace import LEAF_BOUND, DEPTH_BOUND, LOGISTIC, RULE, workspace
 from cohortline.session import shared_folder, stage
-from cohortline.sources import ingest, sinks, star_tables
+from cohortline.sources import ingest, published, sinks, star_tables
 
 FOLDER = "/root/testdata/sf0.001"
 TINY = models.SearchSpace(trees=(2, 3), depth=(2, 2))
@@ -167,6 +167,87 @@ def test_parquet_sink_checks_its_reload(spark, tmp_path):
         sinks.write_checked(unstable, str(tmp_path / "u"))
 
 
+def test_a_frame_that_is_written_once_is_not_evaluated_again(spark, tmp_path):
+    own = sinks.observing(spark).range(50).withColumn("at", F.rand())
+    assert sinks.write_checked(own, str(tmp_path / "t"), once=True).count() == 50
+
+
+@pytest.mark.parametrize("harm", ["lost", "changed", "doubled", "swapped nulls"])
+def test_parquet_sink_finds_every_harm(spark, tmp_path, monkeypatch, harm):
+    """The files are harmed between the write and the reload; the old version stays."""
+    path = str(tmp_path / "t")
+    frame = spark.createDataFrame(
+        [(1, "a", None), (1, "a", None), (2, None, "b"), (3, "c", "d")], "k long, v string, w string")
+    sinks.write_checked(frame.limit(1), path)
+    harmed = {"lost": frame.filter("k < 3"), "changed": frame.withColumn("v", F.lit("a")),
+              "doubled": frame.union(frame.filter("k = 3")),
+              "swapped nulls": frame.withColumns({"v": F.col("w"), "w": F.col("v")})}[harm]
+    own = sinks.observing(spark)
+    reload = checks.fingerprint
+    monkeypatch.setattr(sinks, "fingerprint", lambda df: reload(harmed))
+    whole = own.createDataFrame(frame.collect(), frame.schema)
+    with pytest.raises(checks.ContractViolation, match="rows changed"):
+        sinks.write_checked(whole, path, once=True)
+    assert published.read(spark, path).count() == 1
+
+
+def test_fingerprints_compare_rows_in_any_order(spark):
+    rows = [(1, 0.0, "a"), (1, 0.0, "a"), (None, 2.5, None), (2, None, "a")]
+    one = spark.createDataFrame(rows, "k long, x double, v string")
+    other = spark.createDataFrame([(k, -0.0 if x == 0 else x, v) for k, x, v in rows[::-1]], one.schema)
+    assert checks.frames_match(one, other.repartition(3))
+    assert not checks.frames_match(one, one.distinct())
+    assert not checks.frames_match(one, one.withColumn("k", F.col("k").cast("int")))
+    assert checks.frames_match(one.limit(0), other.limit(0))
+
+
+def test_the_reload_check_shuffles_no_row(spark):
+    plan = checks.fingerprint(spark.range(100).repartition(4)).filter("n_rows > 0")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange SinglePartition") == 1 and "hashpartitioning" not in text
+
+
+def test_a_failed_write_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_checked(spark.range(5), path)
+    held = published.read(spark, path)
+    broken = spark.range(100).repartition(4).select(
+        F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("midway"))).alias("id"))
+    with pytest.raises(Exception, match="midway"):
+        sinks.write_checked(broken, path)
+    assert published.read(spark, path).count() == 5
+    with pytest.raises(checks.ContractViolation, match="no"):
+        sinks.write_checked(spark.range(7), path, lambda: (_ for _ in ()).throw(checks.ContractViolation("no")))
+    assert published.read(spark, path).count() == 5
+    # A reader keeps the version it opened while the next one is published.
+    sinks.write_checked(spark.range(8), path)
+    assert (held.count(), published.read(spark, path).count()) == (5, 8)
+    sinks.write_checked(spark.range(9), path)
+    assert len(published.versions(spark, path)) == 2
+    kept = [d for d in os.listdir(path) if d in published.versions(spark, path)]
+    assert len(kept) == 2 and published.read(spark, path).count() == 9
+
+
+def test_a_rebuild_that_breaks_the_contract_changes_nothing(spark, tmp_path):
+    good = write_csv(tmp_path / "g.csv", ["C1,2,x,-1,2009-12-01 07:45:00,1.0,1,France\n"])
+    bad = write_csv(tmp_path / "b.csv", ["1,2,x,1,2009-12-01 07:45:00,1.0,1,France\n"] * 2)
+    target = str(tmp_path / "raw")
+    ingest.build_raw_parquet(spark, {"p": good}, target)
+    with pytest.raises(checks.ContractViolation, match="cancellation"):
+        ingest.build_raw_parquet(spark, {"p": bad}, target, force=True)
+    assert ingest.build_raw_parquet(spark, {"p": bad}, target).count() == 1
+
+
+def test_cleaning_counts_what_the_filters_do(spark, tmp_path, log, cfg):
+    day = datetime(2020, 5, 1)
+    log.add(1, day, "1").add(1, day, "C2", qty=-1).add(1, day, "A3").add(2, day, "4", price=0.0)
+    out = jobs.Layout(str(tmp_path / "once"))
+    log.frame().write.parquet(out.raw)
+    assert jobs.cleaning_job(spark, cfg, out).count() == 2
+    tracker = audit.normalise(spark.read.parquet(out.raw)).agg(*audit.filter_counts(cfg)).first()
+    assert (tracker.rows_in, tracker.rows_out, tracker.dropped_1, tracker.dropped_3) == (4, 2, 1, 1)
+
+
 def test_stage_writes_to_the_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     frame = stage(spark.range(5), "numbers")
@@ -210,13 +291,13 @@ def test_all_jobs_from_csv_to_record(spark, tmp_path):
     record = jobs.run_all(spark, parts, quick, str(tmp_path / "out"),
                           depth_bound=TINY, leaf_bound=TINY_LEAVES).first()
     out = jobs.Layout(str(tmp_path / "out"))
-    assert checks.frames_equal(spark.read.parquet(out.raw),
+    assert checks.frames_equal(published.read(spark, out.raw),
                                star_tables.transactions_raw(star_tables.source_log(spark, FOLDER)))
-    matrix = spark.read.parquet(out.matrix)
+    matrix = published.read(spark, out.matrix)
     n = matrix.count()
     assert n > 100 and len(matrix.columns) == 2 + len(STAR_CONFIG.feature_columns)
-    assert spark.read.parquet(out.train).count() == n - -(-n // 5)
-    assert spark.read.parquet(out.predictions(LOGISTIC)).columns == ["customer_id", "y", "oof_proba"]
+    assert published.read(spark, out.train).count() == n - -(-n // 5)
+    assert published.read(spark, out.predictions(LOGISTIC)).columns == ["customer_id", "y", "oof_proba"]
     assert record.selected_model in (LOGISTIC, DEPTH_BOUND, LEAF_BOUND)
     assert record.model_path == out.model(record.selected_model)
     files = [f for f in os.listdir(out.record) if f.endswith(".json")]
