@@ -18,6 +18,7 @@ from cohortline.functions import (
 )
 from cohortline.operators.checks import ContractViolation
 from cohortline.operators.cleaning import keep_rules, normalise
+from cohortline.operators.duplicates import surplus_rows
 
 
 def _dropped_by(cfg: RetentionConfig) -> Column:
@@ -192,10 +193,9 @@ def validate_filters(raw: DataFrame, cfg: RetentionConfig) -> None:
 def clean_profile(clean: DataFrame) -> DataFrame:
     """Nulls, distinct keys, revenue range and kept duplicates of the clean table.
 
-    Only the duplicates need whole rows; each distinct count reads its own column.
+    Only duplicates travel as whole rows; each distinct count reads its own column.
     """
-    copies = clean.groupBy(*clean.columns).agg(F.count("*").alias("copies"))
-    repeated = copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).scalar()
+    repeated = surplus_rows(clean)
     customers, invoices = (
         clean.select(c).distinct().agg(F.count(c)).scalar() for c in ("customer_id", "invoice"))
     return clean.agg(

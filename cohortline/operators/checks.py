@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from cohortline.config import RetentionConfig
 from cohortline.functions import is_cancelled_invoice, timestamp
+from cohortline.operators.duplicates import row_hashes
 
 # Columns with a required type in the raw table, and columns of the clean table
 # that may not hold nulls.
@@ -151,14 +152,8 @@ def fingerprint_sums(df: DataFrame) -> list[Column]:
     A null counts by its place, so it cannot be mistaken for an absent value of another column, and
     negative zero equals zero. Sums are wide decimals, which do not overflow.
     """
-    parts = []
-    for f in df.schema.fields:
-        value = F.col(f"`{f.name}`")
-        parts += [value + F.lit(0).cast(f.dataType) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-                  else value, value.isNull()]
-    hashes = (F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts))
     return [F.count(F.lit(1)).alias("n_rows"), *[
-        F.sum(h.cast("decimal(38,0)")).alias(f"hash_sum_{i}") for i, h in enumerate(hashes)]]
+        F.sum(h.cast("decimal(38,0)")).alias(f"hash_sum_{i}") for i, h in enumerate(row_hashes(df))]]
 
 
 def fingerprint(df: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from cohortline.functions import (
     whole_days,
 )
 from cohortline.operators.checks import null_counts
+from cohortline.operators.duplicates import repeated_rows, surplus_rows
 from cohortline.operators.labels import real_purchases
 from cohortline.operators.ordered import exact_quantiles, medians
 
@@ -189,20 +190,16 @@ def extreme_quantities(raw: DataFrame, above: int = 70_000) -> DataFrame:
         "invoice", "stock_code", "description", "quantity", "price", "customer_id", "invoice_date")
 
 
-def _copies(raw: DataFrame) -> DataFrame:
-    return raw.groupBy(*raw.columns).agg(F.count("*").alias("copies"))
-
-
 def duplicate_rows(raw: DataFrame) -> DataFrame:
-    return _copies(raw).agg(
-        F.sum(F.col("copies") - 1).alias("duplicate_rows"), F.sum("copies").alias("n_rows")
-    ).select("duplicate_rows", _pct(F.col("duplicate_rows"), F.col("n_rows")).alias("pct"))
+    counted = raw.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("duplicate_rows", surplus_rows(raw))
+    return counted.select("duplicate_rows", _pct(
+        F.col("duplicate_rows"), F.nullif(F.col("n_rows"), F.lit(0))).alias("pct"))
 
 
 def most_repeated(raw: DataFrame, k: int = 5) -> DataFrame:
     order = [F.col("copies").desc(), "invoice", "stock_code", "quantity", "price",
              F.col("description").asc_nulls_first()]
-    return _copies(raw).filter("copies > 1").orderBy(*order).limit(k).select(
+    return repeated_rows(raw).orderBy(*order).limit(k).select(
         "invoice", "stock_code", "description", "quantity", "price", "copies")
 
 
