@@ -12,14 +12,15 @@ from cohortline.config import RetentionConfig
 from cohortline.operators.ordered import running_totals
 
 
-def score_levels(scores: DataFrame, by: tuple[str, ...] = ("candidate",)) -> DataFrame:
-    """Per distinct score: rows of each class, running sums and totals.
+def score_levels(scores: DataFrame, by: tuple[str, ...] = ("candidate",),
+                 previous: bool = False) -> DataFrame:
+    """Per distinct score: rows of each class, running sums and totals, and the counts one score lower.
 
     Slices ``scores`` at once and stores the slices; metrics and the threshold sweep can share them.
     """
     levels = scores.groupBy(*by, F.col("score").cast("double").alias("score")).agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
-    return running_totals(levels, by, "score", ["pos", "neg"])
+    return running_totals(levels, by, "score", ["pos", "neg"], previous=previous)
 
 
 def _ratio(numerator: Column, denominator: Column) -> Column:
@@ -61,6 +62,17 @@ def roc_points(levels: DataFrame) -> DataFrame:
     return points.unionByName(origin)
 
 
+def roc_corners(levels: DataFrame) -> DataFrame:
+    """The curve without the points inside a run of equal steps, as it is plotted.
+
+    A step is what one score adds to both rates. A point between two equal steps lies on the line through its
+    neighbours and goes; the first and the last point stay. ``levels`` knows the score before each.
+    """
+    highest = (F.col("pos_upto") == F.col("pos_total")) & (F.col("neg_upto") == F.col("neg_total"))
+    turns = (F.col("pos_previous") != F.col("pos")) | (F.col("neg_previous") != F.col("neg"))
+    return roc_points(levels.filter(highest | F.col("pos_previous").isNull() | turns))
+
+
 def as_candidate(df: DataFrame, name: str, score: str | Column, *keep: str) -> DataFrame:
     column = F.col(score) if isinstance(score, str) else score
     return df.select(*keep, F.lit(name).alias("candidate"), F.col("y").cast("int").alias("y"),

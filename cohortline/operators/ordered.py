@@ -19,13 +19,14 @@ from cohortline.session import stage
 
 
 def running_totals(counts: DataFrame, by: Sequence[str], order: str, weights: Sequence[str],
-                   wanted: Callable[[str], Column] | None = None) -> DataFrame:
+                   wanted: Callable[[str], Column] | None = None, previous: bool = False) -> DataFrame:
     """Add ``<weight>_upto`` (inclusive running sum) and ``<weight>_total`` within ``by``.
 
     ``counts`` holds each (by, order) pair once and is evaluated by this call, not later: its slices
     are stored in the shared folder. ``wanted`` tells from a weight's totals of a slice
     (``<weight>_before``, ``<weight>``, ``<weight>_total``) whether the slice is needed for it;
-    slices that no weight needs are not read again.
+    slices that no weight needs are not read again. ``previous`` adds ``<weight>_previous``, the weight
+    of the value before, null at the first one; a slice takes it from the end of the slice before.
     """
     by = list(by)
     # Adaptive execution may merge neighbouring ranges, never reorder them, so small inputs get
@@ -36,10 +37,13 @@ def running_totals(counts: DataFrame, by: Sequence[str], order: str, weights: Se
     earlier = Window.partitionBy(*by).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     # A few rows per slice: small enough for one ordered window.
+    ends = [F.max_by(w, order).alias(f"{w}_end") for w in weights] if previous else []
+    in_order = Window.partitionBy(*by).orderBy("slice")
     offsets = (
-        sliced.groupBy(*by, "slice").agg(*[F.sum(w).alias(w) for w in weights])
+        sliced.groupBy(*by, "slice").agg(*[F.sum(w).alias(w) for w in weights], *ends)
         .select(
             *by, "slice", *weights,
+            *[F.lag(f"{w}_end").over(in_order).alias(f"{w}_tail") for w in weights if previous],
             *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"{w}_before") for w in weights],
             *[F.sum(w).over(whole).alias(f"{w}_total") for w in weights],
         )
@@ -52,10 +56,13 @@ def running_totals(counts: DataFrame, by: Sequence[str], order: str, weights: Se
     same = reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys])
     inside = Window.partitionBy(*by, "slice").orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0)
+    next_to = Window.partitionBy(*by, "slice").orderBy(order)
+    before = {f"{w}_previous": F.coalesce(F.lag(w).over(next_to), F.col(f"{w}_tail"))
+              for w in weights if previous}
     return (
         sliced.join(offsets, same)
-        .withColumns({f"{w}_upto": F.sum(w).over(inside) + F.col(f"{w}_before") for w in weights})
-        .drop("slice", *[f"of_{k}" for k in keys], *[f"{w}_before" for w in weights])
+        .withColumns({f"{w}_upto": F.sum(w).over(inside) + F.col(f"{w}_before") for w in weights} | before)
+        .drop("slice", *[f"of_{k}" for k in keys], *[f"{w}_{x}" for w in weights for x in ("before", "tail")])
     )
 
 

@@ -781,6 +781,11 @@ def _(w: Workspace):
     return metrics.roc_points(metrics.score_levels(w.plain_test_scores()))
 
 
+@query("m3_roc_corners")
+def _(w: Workspace):
+    return metrics.roc_corners(metrics.score_levels(w.plain_test_scores(), previous=True))
+
+
 @query("m4_univariate_auc")
 def _(w: Workspace):
     train = w.train()

@@ -76,6 +76,19 @@ FROM (SELECT DISTINCT candidate, score AS threshold FROM test_scores
       UNION ALL SELECT DISTINCT candidate, NULL FROM test_scores) t
 JOIN test_scores s ON s.candidate = t.candidate
 GROUP BY t.candidate, t.threshold"""
+SQL["m3_roc_corners"] = f"""{SCO}, levels AS (
+  SELECT candidate, score, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg
+  FROM test_scores GROUP BY candidate, score),
+points AS (
+  SELECT candidate, score, pos, neg, row_number() OVER falling AS place,
+         lead(pos) OVER falling AS pos_next, lead(neg) OVER falling AS neg_next,
+         sum(pos) OVER falling AS tp, sum(neg) OVER falling AS fp,
+         sum(pos) OVER (PARTITION BY candidate) AS all_pos, sum(neg) OVER (PARTITION BY candidate) AS all_neg
+  FROM levels WINDOW falling AS (PARTITION BY candidate ORDER BY score DESC))
+SELECT candidate, {r('score', 'threshold')}, {r('CAST(fp AS DOUBLE) / all_neg', 'fpr')},
+       {r('CAST(tp AS DOUBLE) / all_pos', 'tpr')}
+FROM points WHERE place = 1 OR pos_next IS NULL OR pos_next <> pos OR neg_next <> neg
+UNION ALL SELECT DISTINCT candidate, CAST(NULL AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM levels"""
 SQL["m4_univariate_auc"] = f"""{SPL}, s AS (
   SELECT 'frequency' AS candidate, y, CAST(frequency AS DOUBLE) AS score FROM train
   UNION ALL SELECT 'monetary_total', y, monetary_total FROM train), a AS ({auc('s', 'candidate')})

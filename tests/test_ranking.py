@@ -336,3 +336,43 @@ def test_record_words_follow_the_bar(spark):
     assert not bad.meets_cost_reduction_bar and bad.recommendation.startswith("Stay with the rule")
     assert good.metrics.oof_roc_auc.model == .9
     assert good.metrics.test_cost_per_customer.contact_nobody == .5
+
+
+# ---- corners of the curve ------------------------------------------------------------------
+
+def corners_by_hand(rows):
+    """Second differences of the counts, as the plotted curve is thinned."""
+    out = []
+    for name in {c for c, _, _ in rows}:
+        mine = [(s, y) for c, y, s in rows if c == name]
+        levels = sorted({s for s, _ in mine}, reverse=True)
+        fp = np.array([sum(1 for s, y in mine if s >= t and y == 0) for t in levels])
+        tp = np.array([sum(1 for s, y in mine if s >= t and y == 1) for t in levels])
+        keep = np.ones(len(levels), bool)
+        if len(levels) > 2:
+            keep[1:-1] = (np.diff(fp, 2) != 0) | (np.diff(tp, 2) != 0)
+        out += [(name, levels[i], fp[i], tp[i]) for i in np.flatnonzero(keep)] + [(name, None, 0, 0)]
+    return sorted(map(repr, ((n, t, float(f), float(p)) for n, t, f, p in out)))
+
+
+@pytest.mark.parametrize("slices", [1, 5])
+def test_corners_follow_from_slices(spark, slices):
+    rng = np.random.default_rng(3)
+    rows = [(c, int(y), float(s)) for c in "ab" for y, s in zip(
+        rng.integers(0, 2, 60), rng.integers(0, 40, 60) if c == "a" else np.arange(60) // 2)]
+    rows += [("one", 1, 3.0), ("one", 0, 3.0)] + [("line", 0, float(i)) for i in range(20)] + [("line", 1, 99.0)]
+    scores = spark.createDataFrame(rows, "candidate string, y int, score double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", slices)
+    try:
+        levels = metrics.score_levels(scores, previous=True)
+        got = metrics.roc_corners(levels).join(
+            levels.groupBy("candidate").agg(F.max("pos_total").alias("p"), F.max("neg_total").alias("n")),
+            "candidate").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(repr((r.candidate, r.threshold, float(round(r.fpr * r.n)), float(round(r.tpr * r.p))))
+                  for r in got) == corners_by_hand(rows)
+    assert metrics.roc_points(levels).count() > len(got)
