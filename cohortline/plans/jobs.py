@@ -82,7 +82,8 @@ def cleaning_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> Data
         audit.require_filters(filters.get)
         checks.require_clean(contract.get)
 
-    sinks.write_checked(clean, out.clean, require, once=True)
+    sinks.write_checked(
+        clean, out.clean, require, once=True, options=ingest.lookup_filters("customer_id"))
     return published.read(spark, out.clean)
 
 

@@ -44,8 +44,8 @@ class Workspace:
     def raw(self) -> DataFrame:
         """The raw log, built once and clustered by time; everything later starts from its files."""
         def build() -> DataFrame:
-            log = star_tables.source_log(self.spark, self.folder)
-            return stage(ingest.clustered(star_tables.transactions_raw(log)), "raw")
+            return stage(ingest.clustered(star_tables.transactions_raw(self.source())), "raw",
+                         **ingest.lookup_filters("customer_id"))
         return self._once("raw", build)
 
     def source(self) -> DataFrame:
@@ -56,7 +56,8 @@ class Workspace:
 
     def clean(self) -> DataFrame:
         """The clean log. The raw files it is made of lie in order of time, and so do its own."""
-        return self._once("clean", lambda: stage(self.clean_plan(), "clean"))
+        return self._once("clean", lambda: stage(
+            self.clean_plan(), "clean", **ingest.lookup_filters("customer_id")))
 
     # ---- lazy plans
 

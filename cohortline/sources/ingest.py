@@ -105,6 +105,17 @@ def clustered(log: DataFrame) -> DataFrame:
     return log.repartitionByRange(*keys).sortWithinPartitions("invoice_date")
 
 
+def lookup_filters(*columns: str) -> dict[str, str]:
+    """Writer options for a Bloom filter of each column in every row group.
+
+    The log lies in order of time, so the rows of one customer are spread over all of it and the bounds of a
+    row group say nothing of customers. The filters let a lookup skip the row groups without that customer.
+    Their size follows the values that a row group holds.
+    """
+    return {"parquet.bloom.filter.adaptive.enabled": "true",
+            **{f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}}
+
+
 def build_raw_parquet(spark: SparkSession, parts: dict[str, str], target: str,
                       fmt: str = "csv", force: bool = False) -> DataFrame:
     """Materialise the raw table once; later calls read it unless ``force`` rebuilds it.
@@ -118,5 +129,5 @@ def build_raw_parquet(spark: SparkSession, parts: dict[str, str], target: str,
     counts = Observation()
     sinks.write_checked(
         clustered(raw).observe(counts, *checks.raw_counts()), target,
-        lambda: checks.require_raw(counts.get), once=True)
+        lambda: checks.require_raw(counts.get), once=True, options=lookup_filters("customer_id"))
     return published.read(spark, target)

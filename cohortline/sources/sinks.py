@@ -14,7 +14,7 @@ from cohortline.sources import published
 
 
 def write_checked(df: DataFrame, path: str, require: Callable[[], None] | None = None,
-                  once: bool = False) -> DataFrame:
+                  once: bool = False, options: dict[str, str] | None = None) -> DataFrame:
     """Write Parquet, read it back, compare fingerprints, and only then publish it under ``path``.
 
     No row is shuffled. The comparison evaluates ``df`` a second time, or, with ``once``, takes its
@@ -28,10 +28,10 @@ def write_checked(df: DataFrame, path: str, require: Callable[[], None] | None =
     version = published.new_version(path)
     if once:
         written = Observation()
-        df.observe(written, *fingerprint_sums(df)).write.parquet(version)
+        df.observe(written, *fingerprint_sums(df)).write.options(**options or {}).parquet(version)
         expected = written.get
     else:
-        df.write.parquet(version)
+        df.write.options(**options or {}).parquet(version)
         expected = fingerprint(df).first().asDict()
     reloaded = spark.read.parquet(version)
     if reloaded.dtypes != df.dtypes:

@@ -248,6 +248,32 @@ def test_cleaning_counts_what_the_filters_do(spark, tmp_path, log, cfg):
     assert (tracker.rows_in, tracker.rows_out, tracker.dropped_1, tracker.dropped_3) == (4, 2, 1, 1)
 
 
+def _rows_scanned(df):
+    """Rows that the scan itself gave out, after whole row groups were skipped."""
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.select(*df.columns)
+        plan._jdf.collect()
+        leaf = plan._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return leaf.metrics().apply("numOutputRows").value()
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_lookup_skips_row_groups_without_the_customer(spark, tmp_path):
+    # Customers alternate between eight files, so every file spans nearly all ids.
+    rows = spark.range(0, 8000, 1, 1).select(
+        F.col("id").alias("customer_id"), (F.col("id") % 8).alias("part"))
+    paths = {}
+    for name, options in (("plain", {}), ("filtered", ingest.lookup_filters("customer_id"))):
+        paths[name] = str(tmp_path / name)
+        rows.repartitionByRange(8, "part").drop("part").write.options(**options).parquet(paths[name])
+    one = {n: spark.read.parquet(p).filter("customer_id = 4003") for n, p in paths.items()}
+    assert [df.count() for df in one.values()] == [1, 1]
+    assert _rows_scanned(one["plain"]) >= 7000
+    assert _rows_scanned(one["filtered"]) <= 2000
+
+
 def test_stage_writes_to_the_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     frame = stage(spark.range(5), "numbers")
