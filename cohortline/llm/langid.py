@@ -45,8 +45,9 @@ def _folding() -> np.ndarray:
     return table
 
 
-def _segments(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(letters and single spaces, row of each, has the row a letter) of pieces of a batch."""
+def _segments(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Pieces of a batch: letters and single spaces, the row of each, which are letters, and how many
+    at the start are repeated from the piece before."""
     rows = [t or "" for t in texts.to_pylist()]
     at = 0
     while at < len(rows):
@@ -55,32 +56,41 @@ def _segments(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
             size += len(rows[to])
             to += 1
         whole = rows[at:to]
+        # Only a row on its own is longer than a segment; its pieces go on from the last letters.
+        last = np.zeros(0, np.uint32)
         for low in range(0, max(1, size), _SEGMENT):
-            # Only a row on its own is longer than a segment; its pieces overlap by an n-gram.
-            pieces = [t[max(0, low - LONGEST + 1):low + _SEGMENT] for t in whole]
+            pieces = [t[low:low + _SEGMENT] for t in whole]
             codes = np.frombuffer("".join(pieces).encode("utf-32-le", "replace"), np.uint32)
             row = np.repeat(np.arange(at, to), [len(p) for p in pieces])
-            letters = _folding()[codes]
+            letters = np.concatenate([last, _folding()[codes]])
+            row = np.concatenate([np.full(len(last), at), row])
             blank = letters == _SPACE
             keep = np.ones(len(letters), bool)
             keep[1:] = ~(blank[1:] & blank[:-1] & (row[1:] == row[:-1]))
-            yield letters[keep], row[keep], ~blank[keep]
+            letters = letters[keep]
+            yield letters, row[keep], ~blank[keep], len(last)
+            last = letters[len(letters) - min(len(letters), LONGEST - 1):]
         at = to
 
 
-def _grams(letters: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bins, rows) for each n-gram length."""
-    code = letters.astype(_U64)
+def _grams(letters: np.ndarray, row: np.ndarray,
+           known: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bins, rows) for each n-gram length; n-grams inside the first ``known`` letters are left out."""
+    letters_code = letters.astype(_U64)
     for n in range(1, LONGEST + 1):
-        if len(code) < n:
+        if len(letters_code) < n:
             return
+        skip = max(0, known - n + 1)
+        code, whose = letters_code[skip:], row[skip:]
+        if len(code) < n:
+            continue
         size = len(code) - n + 1
         packed = np.full(size, n, _U64)
         for k in range(n):
             packed = (packed << _U64(21)) ^ code[k:k + size]
         bins = ((packed * _U64(0x9E3779B97F4A7C15)) >> _U64(49)).astype(np.int64)
-        inside = row[:size] == row[n - 1:]
-        yield bins[inside], row[:size][inside]
+        inside = whose[:size] == whose[n - 1:]
+        yield bins[inside], whose[:size][inside]
 
 
 class Model:
@@ -108,8 +118,8 @@ def fit(docs: DataFrame, language: str = "lang", column: str = "text") -> Model:
                 own = sorted(set(names.tolist()))
                 code = np.searchsorted(np.array(own, object), names) if own else names
                 sums = np.zeros(len(own) * (BINS + 1), np.int64)
-                for letters, row, _ in _segments(part.column("text")):
-                    for bins, whose in _grams(letters, row):
+                for letters, row, _, known in _segments(part.column("text")):
+                    for bins, whose in _grams(letters, row, known):
                         sums += np.bincount(
                             code[whose] * (BINS + 1) + bins, minlength=len(sums))
                 # The extra bin counts the language's rows.
@@ -144,9 +154,9 @@ def classify(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     if not model.languages:
         return [UNKNOWN] * n, np.zeros(n)
     total, letter = np.zeros((n, len(model.languages))), np.zeros(n, bool)
-    for letters, row, is_letter in _segments(texts):
+    for letters, row, is_letter, known in _segments(texts):
         letter[row[is_letter]] = True
-        for bins, whose in _grams(letters, row):
+        for bins, whose in _grams(letters, row, known):
             if not len(bins):
                 continue
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(whose)) + 1])

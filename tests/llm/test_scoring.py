@@ -52,17 +52,59 @@ def grams_by_hand(s):
     return Counter(s[i:i + n] for n in (1, 2, 3) for i in range(len(s) - n + 1))
 
 
-def test_counts_of_whole_texts(monkeypatch):
-    texts = ["Ab  c1d", "", "é" * 50 + " x", "ab" * 40]
+@pytest.mark.parametrize("segment", [1, 2, 5, 16, 1 << 19])
+def test_counts_of_whole_texts(monkeypatch, segment):
+    monkeypatch.setattr(langid, "_SEGMENT", segment)
+    texts = ["Ab  c1d", "", "é" * 50 + " x", "ab" * 40, "a" + "  1" * 30 + "b", "!" * 40, " x "]
     want = sum((grams_by_hand(t) for t in texts), Counter())
 
     def total():
         bins = np.zeros(langid.BINS, int)
-        for letters, row, _ in langid._segments(pa.array(texts)):
-            for b, _ in langid._grams(letters, row):
+        for letters, row, _, known in langid._segments(pa.array(texts)):
+            for b, _ in langid._grams(letters, row, known):
                 bins += np.bincount(b, minlength=langid.BINS)
         return bins
-    assert total().sum() == sum(want.values())
+
+    by_hand = np.zeros(langid.BINS, int)
+    for gram, n in want.items():
+        letters = np.array([ord(c) for c in gram], np.uint32)
+        *_, (b, _) = langid._grams(letters, np.zeros(len(letters), int))
+        by_hand[b[0]] += n
+    assert total().tolist() == by_hand.tolist()
+
+
+def bayes_by_hand(learn, texts):
+    """Language and posterior from dictionaries of hashed n-grams."""
+    def bins(t):
+        for gram, n in grams_by_hand(t).items():
+            code = len(gram)
+            for c in gram:
+                code = ((code << 21) ^ ord(c)) & (1 << 64) - 1
+            yield (code * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 49, n
+    counts, rows = defaultdict(Counter), Counter()
+    for _, t, lang in learn:
+        rows[lang] += 1
+        for b, n in bins(t):
+            counts[lang][b] += n
+    out = []
+    for t in texts:
+        logs = {lang: math.log(rows[lang] / len(learn)) + sum(
+            n * math.log((counts[lang][b] + 1) / (sum(counts[lang].values()) + langid.BINS))
+            for b, n in bins(t)) for lang in sorted(rows)}
+        best = max(logs, key=lambda lang: logs[lang])
+        out.append((best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())))
+    return out
+
+
+def test_languages_equal_a_plain_model(frame):
+    rng = random.Random(4)
+    learn = [(i, prose(rng, lang, rng.randint(1, 9)), lang)
+             for i, lang in enumerate(rng.choice(list(ALPHABETS)) for _ in range(30))]
+    mixed = [" ".join(prose(rng, lang, rng.randint(1, 3)) for lang in ALPHABETS) for _ in range(40)]
+    found = langid.classify(langid.fit(frame(learn)), pa.array(mixed))
+    want = bayes_by_hand(learn, mixed)
+    assert found[0] == [lang for lang, _ in want]
+    assert np.allclose(found[1], [score for _, score in want], atol=1e-4)
 
 
 def test_nothing_to_learn(frame):
