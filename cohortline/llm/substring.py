@@ -11,8 +11,8 @@ of non-overlapping ``BLOCK``-word blocks, because ``2 * BLOCK - 1 <= WINDOW``.
    96-bit hash; neighbouring windows that occur elsewhere grow together to maximal repeats.
 3. The words of those repeats are removed. All windows are judged on the input.
 
-Nothing is paired: a passage of a million copies is a million records, fewer where one part of the
-input holds several. Both rounds send back only numbers of records, which the part's own table of
+Nothing is paired, and each part of the input sends a sequence once, however often it holds it: the
+records of a passage are bounded by the number of parts, not of copies. Both rounds send back only numbers of records, which the part's own table of
 documents turns into positions. Documents without anchors or repeats pass a Bloom filter of bounded
 size and do not shuffle their text; documents that do shuffle are joined on (id, hash of id and
 text), so rows without id or with a repeated id keep their own result.
@@ -65,6 +65,13 @@ def _docs_row(number: int, part: pa.RecordBatch, counts: np.ndarray, n: int) ->
     return _rows(number, _DOCS, [number % n], [table])
 
 
+def _as_before(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Whether a pair equals the one before it."""
+    same = np.zeros(len(first), bool)
+    same[1:] = (first[1:] == first[:-1]) & (second[1:] == second[:-1])
+    return same
+
+
 def _probe_anchors(block: int, n: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, part in _numbered(batches):
@@ -106,9 +113,19 @@ def _probe_windows(window: int, block: int, n: int):
             hashes = words.hashes()
             first = text.run_hashes(hashes, start, window)
             second = (text.run_hashes(hashes, start, window, 11) >> _U64(32)).astype(np.uint32)
+            order = np.lexsort((second, first))
+            fresh = ~_as_before(first[order], second[order])
+            times = np.diff(np.flatnonzero(np.append(fresh, True)))
+            often = np.repeat(times > 1, times)
             yield _docs_row(number, part, words.counts, n)
+            yield _rows(number, _FOUND, [number % n],
+                        [start[order[often]].astype(np.uint32).tobytes()])
+            told, ask = order[often & fresh], order[~often]
+            yield _rows(number, _OFTEN, *buckets.pack(
+                buckets.bucket_of(first[told], n), first[told], second[told]))
             yield _rows(number, _ASK, *buckets.pack(
-                buckets.bucket_of(first, n), first, second, start.astype(np.uint32)))
+                buckets.bucket_of(first[ask], n), first[ask], second[ask],
+                start[ask].astype(np.uint32)))
     return work
 
 
@@ -135,14 +152,15 @@ def _answer_windows(table: pa.Table) -> pa.Table:
     payload = table.column("payload").to_pylist()
     asks = np.flatnonzero(kind == _ASK)
     rows = [buckets.unpack(payload[i], "u8", "u4", "u4") for i in asks]
+    # A window that one part holds several times stands here once for that part, as do all others.
+    told = [buckets.unpack(payload[i], "u8", "u4") for i in np.flatnonzero(kind == _OFTEN)]
     if not rows:
         return _passed(table, kind, table.column("part").to_numpy()[asks], [])
-    first, second = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
+    first, second = (np.concatenate([r[i] for r in [*rows, *told]]) for i in (0, 1))
     order = np.lexsort((second, first))
-    same = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
+    same = _as_before(first[order], second[order])
     again = np.zeros(len(first), bool)
-    again[order[1:]] |= same
-    again[order[:-1]] |= same
+    again[order] = same | np.append(same[1:], False)
     cuts = np.cumsum([0] + [len(r[0]) for r in rows])
     out = [r[2][again[i:j]].tobytes() for r, i, j in zip(rows, cuts[:-1], cuts[1:])]
     return _passed(table, kind, table.column("part").to_numpy()[asks], out)

@@ -279,6 +279,29 @@ def test_substring_over_many_parts(frame, monkeypatch):
         map(str, ((r[0], r[2]) for r in cut_by_hand(rows, 35))))
 
 
+def test_a_part_sends_a_hot_window_once(frame):
+    """A passage in a third of all rows: its records are bounded by parts, not by copies."""
+    rng = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, f"{passage} u{i}" if i % 3 == 0 else " ".join(
+        f"x{rng.random()}" for _ in range(40))) for i in range(300)]
+    copies, parts, window = 100, 4, 35
+    docs = substring.keyed(frame(rows, parts))
+    found = [np.arange(len((t or "").split()) // 18, dtype=np.uint32).tobytes() for _, t in rows]
+    near = docs.join(docs.sparkSession.createDataFrame(
+        [(i, f) for (i, _), f in zip(rows, found)], "doc_id bigint, found binary"), "doc_id")
+    sent = near.repartition(parts).mapInArrow(
+        substring._probe_windows(window, 18, 1), substring._ROWS).collect()
+    asks = [len(r.payload) // 16 for r in sent if r.kind == substring._ASK]
+    told = [len(r.payload) // 12 for r in sent if r.kind == substring._OFTEN]
+    # Own windows are asked for once each; the six windows inside the passage once for each part.
+    assert 0 < sum(told) <= 6 * parts
+    assert sum(asks) <= copies + 200 * 6 + 6 * parts
+    cut = substring.remove_repeats(frame(rows, parts)).collect()
+    assert {r.n_removed for r in cut if r.doc_id % 3 == 0} == {40}
+    assert {r.n_removed for r in cut if r.doc_id % 3} == {0}
+
+
 def test_substring_spans(frame):
     body = " ".join(f"a{i}" for i in range(60))
     found = {r.doc_id: r for r in substring.remove_repeats(
