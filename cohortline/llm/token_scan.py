@@ -63,6 +63,8 @@ def write_flat(docs: DataFrame, tokenizer: str, end: int, width: int = 2,
                     uri, out = store.create(folder, f"flat-{number:08d}-{turn:06d}")
                 found, counts = encoder.encode(part.column("text"))
                 whole = tokenise.with_end(found, counts, end)
+                if len(whole) and int(whole.max()) >> (8 * width):
+                    raise ValueError(f"an id of {int(whole.max())} does not fit {width} bytes")
                 out.write(whole.astype(f"<u{width}").tobytes())
                 size += len(whole)
                 ids.append(part.column("doc_id"))

@@ -151,6 +151,13 @@ def test_token_counts(frame, clash, public):
     assert sorted(map(str, ((r.doc_id, r.n_tokens) for r in found))) == sorted(map(str, want))
 
 
+def test_ids_beyond_the_width_are_refused(frame, public):
+    files, _ = token_scan.write_flat(frame([(1, "ab")]), public, 70_000, width=4)
+    assert [r.n_tokens for r in token_scan.count_tokens(files, 70_000, width=4).collect()]
+    with pytest.raises(Exception, match="70000 does not fit 2 bytes"):
+        token_scan.write_flat(frame([(1, "ab")]), public, 70_000)
+
+
 def test_token_counts_of_nothing(frame, public):
     files, names = token_scan.write_flat(frame([]), public, 49407)
     assert token_scan.count_tokens(files, 49407).count() == 0 and names.count() == 0
