@@ -1,9 +1,10 @@
 """Exact running totals and quantiles without an ordered window over everything.
 
-A window ordered over a whole table runs in one task. Here equal values are first counted
-together, the counted values are range-partitioned into slices and stored, and each slice adds
-the totals of the slices before it. Results are exact; a value that holds a third of all rows
-is one counted row.
+A window ordered over a whole table runs in one task. For running totals, equal values are first
+counted together, the counted values are range-partitioned into slices and stored, and each slice
+adds the totals of the slices before it. For quantiles no row moves: values are counted in the cells
+of a grid, and only the cells that hold a wanted rank are looked into. Results are exact; a value
+that holds a third of all rows is one counted row.
 """
 
 from __future__ import annotations
@@ -17,15 +18,26 @@ from pyspark.sql import functions as F
 
 from cohortline.session import stage
 
+# Cells of the first grid for each unit of the logarithm: neighbours are 0.03 percent apart.
+GRID = 1 << 12
+# Cells that a crowded cell is cut into, and the rows from which it counts as crowded.
+CUTS = 1 << 16
+CROWDED = 1 << 20
+
+
+def _looked_up(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join on equal keys; rows without a group are a group of their own."""
+    table = table.withColumnsRenamed({k: f"of_{k}" for k in keys})
+    same = reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys])
+    return rows.join(table, same).drop(*[f"of_{k}" for k in keys])
+
 
 def running_totals(counts: DataFrame, by: Sequence[str], order: str, weights: Sequence[str],
-                   wanted: Callable[[str], Column] | None = None, previous: bool = False) -> DataFrame:
+                   previous: bool = False) -> DataFrame:
     """Add ``<weight>_upto`` (inclusive running sum) and ``<weight>_total`` within ``by``.
 
     ``counts`` holds each (by, order) pair once and is evaluated by this call, not later: its slices
-    are stored in the shared folder. ``wanted`` tells from a weight's totals of a slice
-    (``<weight>_before``, ``<weight>``, ``<weight>_total``) whether the slice is needed for it;
-    slices that no weight needs are not read again. ``previous`` adds ``<weight>_previous``, the weight
+    are stored in the shared folder. ``previous`` adds ``<weight>_previous``, the weight
     of the value before, null at the first one; a slice takes it from the end of the slice before.
     """
     by = list(by)
@@ -48,21 +60,15 @@ def running_totals(counts: DataFrame, by: Sequence[str], order: str, weights: Se
             *[F.sum(w).over(whole).alias(f"{w}_total") for w in weights],
         )
     )
-    if wanted:
-        offsets = offsets.filter(reduce(operator.or_, [wanted(w) for w in weights]))
-    # Null-safe: rows without a group are a group of their own.
-    keys = [*by, "slice"]
-    offsets = offsets.drop(*weights).withColumnsRenamed({k: f"of_{k}" for k in keys})
-    same = reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys])
     inside = Window.partitionBy(*by, "slice").orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0)
     next_to = Window.partitionBy(*by, "slice").orderBy(order)
     before = {f"{w}_previous": F.coalesce(F.lag(w).over(next_to), F.col(f"{w}_tail"))
               for w in weights if previous}
     return (
-        sliced.join(offsets, same)
+        _looked_up(sliced, offsets.drop(*weights), [*by, "slice"])
         .withColumns({f"{w}_upto": F.sum(w).over(inside) + F.col(f"{w}_before") for w in weights} | before)
-        .drop("slice", *[f"of_{k}" for k in keys], *[f"{w}_{x}" for w in weights for x in ("before", "tail")])
+        .drop("slice", *[f"{w}_{x}" for w in weights for x in ("before", "tail")])
     )
 
 
@@ -75,6 +81,44 @@ def _positions(total: Column, prob: float, nearest: bool) -> tuple[Column, Colum
     return F.floor(at), F.ceil(at), at - F.floor(at)
 
 
+def _log(value: Column) -> Column:
+    """Rises with the value; infinities lie outside the range of finite values, NaN with the upper."""
+    logarithm = F.signum(value) * F.log1p(F.abs(value))
+    return F.greatest(F.least(logarithm, F.lit(710.0)), F.lit(-710.0))
+
+
+def _cut(value: Column, low: Column, high: Column) -> Column:
+    """Number of the piece of a cell that a value lies in; both ends lie in different pieces."""
+    share = F.when(_log(high) > _log(low), F.try_divide(
+        _log(value) - _log(low), _log(high) - _log(low)))
+    share = F.coalesce(share, F.try_divide(value - low, high - low), F.lit(0.0))
+    return F.floor(F.nanvl(share, F.lit(0.0)) * (CUTS - 1))
+
+
+def _wanted_cells(rows: DataFrame, parents: Sequence[str], cell: str, flags: Sequence[str],
+                  places: Callable[[Column], Column], known: DataFrame | None) -> DataFrame:
+    """(parents, cell, fit, total, before, rows, low, high) of cells that hold a wanted rank; stored.
+
+    ``known`` has the totals and the rows before each parent, once it is a cell itself.
+    """
+    counts = rows.groupBy(*parents, cell).agg(
+        *[F.count_if(f).alias(f) for f in flags], F.count("*").alias("rows"),
+        F.min("value").alias("low"), F.max("value").alias("high"))
+    # At most a few ten thousand cells, whatever the number of rows.
+    each = counts.unpivot([*parents, cell, "rows", "low", "high"], list(flags), "fit", "w")
+    whole = Window.partitionBy(*parents, "fit")
+    earlier = whole.orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    each = each.withColumn("inside", F.coalesce(F.sum("w").over(earlier), F.lit(0)))
+    if known is None:
+        each = each.withColumns({"total": F.sum("w").over(whole), "before": F.col("inside")})
+    else:
+        each = _looked_up(each, known.select(*parents, "fit", "total", "before"), [*parents, "fit"])
+        each = each.withColumn("before", F.col("before") + F.col("inside"))
+    held = F.exists(places(F.col("total")), lambda r: (r >= F.col("before")) & (
+        r < F.col("before") + F.col("w")))
+    return stage(each.filter(held).drop("w", "inside"), "cells")
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), fits: dict[str, Column] | None = None,
                     nearest: Collection[float] = ()) -> DataFrame:
@@ -82,7 +126,12 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
     Linear interpolation between neighbours; probabilities in ``nearest`` take the nearest rank
     instead. Each entry of ``fits`` names a subset of the rows by a condition; all subsets and
-    probabilities share one sorted pass. Nulls are ignored.
+    probabilities share the passes. Nulls are ignored; NaN is the largest value.
+
+    A first pass counts values in the cells of a fixed logarithmic grid, a second looks at the values
+    of the cells that hold a wanted rank. Cells with many rows between different bounds are cut again
+    before that. ``df`` is read by each pass, so pass a stored table; all passes but the last run
+    when the function is called.
     """
     by = list(by)
     fits = fits or {"all": F.lit(True)}
@@ -93,39 +142,49 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         .unpivot([*by, *flags.values()], list(columns), "column", "value")
         .filter(F.col("value").isNotNull())
     )
-    counts = long.groupBy(*by, "column", "value").agg(
-        *[F.count_if(flag).alias(flag) for flag in flags.values()])
-    def on_a_rank(flag: str) -> Column:
-        """Does the slice hold a value at one of the ranks?"""
-        low, n = F.col(f"{flag}_before"), F.col(flag)
-        ranks = [r for p in probs for r in _positions(F.col(f"{flag}_total"), p, p in nearest)[:2]]
-        return reduce(operator.or_, [(r >= low) & (r < low + n) for r in ranks])
-
-    totals = running_totals(
-        counts, [*by, "column"], "value", list(flags.values()), wanted=on_a_rank)
-
-    per_fit = totals.select(*by, "column", "value", F.inline(F.array(*[
-        F.struct(
-            F.lit(name).alias("fit"), F.col(flag).alias("w"),
-            F.col(f"{flag}_upto").alias("upto"), F.col(f"{flag}_total").alias("n"))
-        for name, flag in flags.items()
-    ]))).filter("w > 0")
+    def ranks(total: Column) -> Column:
+        """All wanted ranks among so many rows."""
+        return F.array_distinct(F.array(*[
+            r for p in probs for r in _positions(total, p, p in nearest)[:2]]))
+
+    names = list(flags.values())
+    parents, cell, known = [*by, "column"], "cell_0", None
+    rows = long.withColumn(cell, F.floor(_log(F.col("value")) * GRID))
+    while True:
+        known = _wanted_cells(rows, parents, cell, names, ranks, known)
+        parents = [*parents, cell]
+        # Fits share cells; a few for each wanted rank.
+        cells = known.groupBy(*parents).agg(*[F.max(c).alias(c) for c in ("low", "high", "rows")])
+        rows = _looked_up(rows.select(*parents, "value", *names), cells, parents)
+        finite = (F.abs("low") < float("inf")) & (F.abs("high") < float("inf"))
+        crowd = known.filter((F.col("low") < F.col("high")) & finite).agg(F.max("rows")).first()[0]
+        if (crowd or 0) <= CROWDED:
+            break
+        cell = f"cell_{len(parents)}"
+        rows = rows.withColumn(cell, _cut(F.col("value"), F.col("low"), F.col("high")))
+
+    counts = rows.groupBy(*parents, "value").agg(*[F.count_if(f).alias(f) for f in names])
+    each = counts.unpivot([*parents, "value"], names, "fit", "w").filter("w > 0")
+    upto = Window.partitionBy(*parents, "fit").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, 0)
+    totals = _looked_up(
+        each, known.select(*parents, "fit", "total", "before"), [*parents, "fit"]
+    ).withColumn("upto", F.col("before") + F.sum("w").over(upto))
 
     places = [_positions(F.col("n"), p, p in nearest) for p in probs]
-    wanted = F.array_distinct(F.array(*[rank for low, high, _ in places for rank in (low, high)]))
     # Only the few values that sit on a wanted rank leave this step.
-    hits = per_fit.withColumn(
-        "rank",
-        F.explode(F.filter(
-            wanted, lambda r: (r >= F.col("upto") - F.col("w")) & (r < F.col("upto")))),
-    )
+    hits = totals.withColumnRenamed("total", "n").withColumn("rank", F.explode(F.filter(
+        ranks(F.col("n")), lambda r: (r >= F.col("upto") - F.col("w")) & (r < F.col("upto")))))
+    title = F.element_at(F.create_map(*[
+        F.lit(x) for name, flag in flags.items() for x in (flag, name)]), F.col("fit"))
+    hits = hits.withColumn("fit", title)
     found = hits.groupBy(*by, "column", "fit", "n").agg(
         F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
 
     def quantile(place: tuple[Column, Column, Column]) -> Column:
         low, high, share = place
         below, above = F.element_at("at", low), F.element_at("at", high)
-        return below + (above - below) * share
+        return F.when(share == 0, below).otherwise(below + (above - below) * share)
 
     return found.select(
         *by, "column", "fit", "n", F.array(*[quantile(p) for p in places]).alias("quantiles"))

@@ -106,6 +106,59 @@ def test_quantiles_match_numpy(spark, slicing, n):
     assert nearest == sorted(values)[math.floor(0.99 * (n - 1) + 0.5)]
 
 
+@pytest.mark.parametrize(("grid", "cuts", "crowded"), [(1 << 12, 1 << 16, 1), (1, 4, 1)])
+@pytest.mark.parametrize("shape", ["narrow", "tails", "hot", "negative", "outlier"])
+def test_quantiles_of_crowded_cells(spark, monkeypatch, grid, cuts, crowded, shape):
+    for name, value in (("GRID", grid), ("CUTS", cuts), ("CROWDED", crowded)):
+        monkeypatch.setattr(ordered, name, value)
+    rng = random.Random(shape)
+    draw = {
+        "narrow": lambda: 1.0 + rng.random() * 1e-9,
+        "tails": lambda: rng.choice([-1, 1]) * math.exp(rng.uniform(-30, 300)),
+        "hot": lambda: 5.0 if rng.random() < 0.4 else float(rng.randint(4, 6)),
+        "negative": lambda: -rng.random() * 100,
+        "outlier": lambda: 1e15 + rng.randint(0, 40) if rng.random() < 0.95 else 1e300,
+    }[shape]
+    values = [draw() for _ in range(240)]
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    frame = spark.createDataFrame(
+        [(v, i % 3, None if i % 2 else "g") for i, v in enumerate(values)],
+        "v double, third int, g string")
+    found = ordered.exact_quantiles(
+        frame, ["v"], probs, by=["g"], nearest=probs,
+        fits={"all": F.lit(True), "some": F.col("third") != 0, "none": F.col("third") > 5}).collect()
+    got = {(r.g, r.fit): (r.n, r.quantiles) for r in found}
+    want = {}
+    for g, odd in (("g", 0), (None, 1)):
+        for fit, skip in (("all", None), ("some", 0)):
+            own = sorted(v for i, v in enumerate(values) if i % 2 == odd and i % 3 != skip)
+            want[g, fit] = (len(own), [own[math.floor(p * (len(own) - 1) + 0.5)] for p in probs])
+    assert got == want
+
+
+def test_quantiles_of_values_without_end(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "CROWDED", 1)
+    values = [float("-inf"), -2.0, 0.0, 1.7e308, 1.7e308, float("inf"), float("inf"), float("nan")]
+    found = ordered.exact_quantiles(
+        spark.createDataFrame([(v,) for v in values], "v double"), ["v"],
+        [k / 7 for k in range(8)], nearest=[k / 7 for k in range(8)]).first().quantiles
+    assert found[:7] == values[:7] and math.isnan(found[7])
+    nothing = spark.createDataFrame([(None,)], "v double")
+    assert ordered.exact_quantiles(nothing, ["v"], [0.5]).count() == 0
+
+
+def test_quantiles_move_cells_not_rows(spark, monkeypatch):
+    stored = []
+    keep = ordered.stage
+    monkeypatch.setattr(
+        ordered, "stage", lambda df, name: stored.append(keep(df, name)) or stored[-1])
+    frame = spark.range(20_000).selectExpr("cast(id % 5000 as double) AS v")
+    found = ordered.exact_quantiles(frame, ["v"], [0.25, 0.5])
+    assert found.first().quantiles == np.quantile(np.arange(20_000) % 5000, [0.25, 0.5]).tolist()
+    assert len(stored) == 1 and stored[0].count() <= 4
+    assert "rangepartitioning" not in found._jdf.queryExecution().toString().lower()
+
+
 def test_medians_ignore_nulls_and_follow_groups(spark):
     frame = spark.createDataFrame(
         [(0, 1.0), (0, None), (0, 3.0), (1, 7.0)], "y int, v double")
