@@ -18,6 +18,7 @@ from cohortline.operators.cleaning import clean_normalised, normalise
 from cohortline.plans.workspace import LEAF_BOUND, DEPTH_BOUND, LOGISTIC, RULE, TREES
 from cohortline.session import stage
 from cohortline.sources import ingest, published, sinks
+from cohortline.sources.bucketed import buckets_for, stage_bucketed
 
 SLUGS = {LOGISTIC: "logistic", DEPTH_BOUND: "depth_bound", LEAF_BOUND: "leaf_bound"}
 
@@ -93,9 +94,10 @@ def features_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> Data
     checks.validate_windows(
         labels.real_purchases(clean, None, cfg.cutoff),
         labels.real_purchases(clean, cfg.cutoff, cfg.prediction_end), cfg)
-    built = stage(features.build_customer_features(clean, cfg), "features")
+    n = buckets_for(clean, "customer_id")
+    built = stage_bucketed(features.build_customer_features(clean, cfg), "features", "customer_id", n)
     checks.validate_features(built)
-    labelled = stage(labels.build_labels(clean, cfg), "labels")
+    labelled = stage_bucketed(labels.build_labels(clean, cfg), "labels", "customer_id", n)
     counts = checks.join_row_counts(labelled, built).first()
     if not counts.left_rows == counts.right_rows == counts.joined_rows:
         raise checks.ContractViolation(f"labels and features do not line up: {counts.asDict()}")
@@ -105,9 +107,11 @@ def features_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> Data
 
 def split_job(spark: SparkSession, cfg: RetentionConfig, out: Layout) -> None:
     """Split once; every later stage reads the two files. Folds travel with the training rows."""
-    matrix = published.read(spark, out.matrix)
-    assigned = stage(splits.assign_split(matrix, cfg), "split")
-    folds = splits.assign_folds(assigned.filter("split = 'train'"), cfg)
+    n = buckets_for(published.read(spark, out.matrix), "customer_id")
+    matrix = stage_bucketed(published.read(spark, out.matrix), "matrix", "customer_id", n)
+    assigned = stage_bucketed(splits.assign_split(matrix, cfg), "split", "customer_id", n)
+    folds = stage_bucketed(
+        splits.assign_folds(assigned.filter("split = 'train'"), cfg), "folds", "customer_id", n)
     train = matrix.join(folds.select("customer_id", "fold"), "customer_id")
     test = matrix.join(assigned.filter("split = 'test'").select("customer_id"), "customer_id")
     overlap = checks.key_overlap(

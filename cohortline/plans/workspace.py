@@ -18,6 +18,7 @@ from cohortline.operators import decision, encoding, features, labels, metrics,
 from cohortline.operators.cleaning import clean_transactions
 from cohortline.session import shared_folder, stage
 from cohortline.sources import ingest, sinks, star_tables
+from cohortline.sources.bucketed import buckets_for, stage_bucketed
 
 RULE = "RFM heuristic"
 LOGISTIC = "Logistic Regression"
@@ -71,30 +72,48 @@ class Workspace:
         return features.build_customer_features(self.clean(), self.cfg)
 
     def matrix_plan(self) -> DataFrame:
+        """Labels beside features, bucket by bucket."""
         return encoding.labelled_matrix(
-            self.labels(), encoding.encode_features(self.features(), self.cfg), self.cfg)
+            self.stored_labels(), encoding.encode_features(self.stored_features(), self.cfg), self.cfg)
 
     def rfm_from_raw(self) -> DataFrame:
         """One row per customer, read by every profile of the label."""
         return self._once("raw rfm", lambda: stage(
             features.raw_rfm(self.raw(), self.cfg), "raw-rfm"))
 
-    # ---- stored customer tables
+    # ---- stored customer tables, all in the same buckets
+
+    def _buckets(self) -> int:
+        return self._once("buckets", lambda: buckets_for(self.clean(), "customer_id"))
+
+    def _bucketed(self, df: DataFrame, name: str, placed: bool = False) -> DataFrame:
+        return stage_bucketed(df, name, "customer_id", self._buckets(), placed)
+
+    def stored_labels(self) -> DataFrame:
+        return self._once("labels", lambda: self._bucketed(self.labels(), "labels"))
+
+    def stored_features(self) -> DataFrame:
+        return self._once("features", lambda: self._bucketed(self.features(), "features"))
 
     def matrix(self) -> DataFrame:
-        return self._once("matrix", lambda: stage(self.matrix_plan(), "matrix"))
+        return self._once("matrix", lambda: self._bucketed(
+            self.matrix_plan(), "matrix", placed=True))
 
     def split(self) -> DataFrame:
         return splits.assign_split(self.matrix(), self.cfg)
 
+    def split_matrix_plan(self) -> DataFrame:
+        """The matrix with its split and, for training rows, their fold, bucket by bucket."""
+        assigned = self._once("split", lambda: self._bucketed(self.split(), "split"))
+        folds = self._once("folds", lambda: self._bucketed(
+            splits.assign_folds(assigned.filter("split = 'train'"), self.cfg)
+            .select("customer_id", "fold"), "folds"))
+        placed = assigned.drop("y").join(folds, "customer_id", "left")
+        return self.matrix().join(placed, "customer_id")
+
     def _split_matrix(self) -> DataFrame:
-        """The matrix with its split and, for training rows, their fold."""
-        def build() -> DataFrame:
-            assigned = stage(self.split(), "split")
-            folds = splits.assign_folds(assigned.filter("split = 'train'"), self.cfg)
-            placed = assigned.join(folds.select("customer_id", "fold"), "customer_id", "left")
-            return stage(self.matrix().join(placed.drop("y"), "customer_id"), "split-matrix")
-        return self._once("split matrix", build)
+        return self._once("split matrix", lambda: self._bucketed(
+            self.split_matrix_plan(), "split-matrix", placed=True))
 
     def train(self) -> DataFrame:
         return self._split_matrix().filter("split = 'train'").drop("split")
