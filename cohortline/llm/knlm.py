@@ -2,15 +2,20 @@
 
 Tokens are words between ASCII white space with A-Z lower-cased, then one end mark. Grams are
 counted in Spark: each part of the input sends its distinct grams with counts to hash buckets; a
-bucket adds them up, writes them as sorted arrays of 64-bit hashes with counts, and sends what the next
-lower order needs: a continuation for each distinct gram, and totals for each context. Lower orders
+bucket adds them up, writes them as sorted arrays of hashes with counts, and sends what the next
+lower order needs: a continuation for each distinct gram. Lower orders
 hold continuation counts, the lowest order backs off to a uniform distribution over the training
 vocabulary and one unknown token. Discounts come from the counts of counts of each order.
 
+Grams travel as numbers into a list of the words that their payload holds, frequent words first, one byte
+plane after the other and compressed. Files keep of a gram's hash what its place does not tell: a
+directory over the leading bits, then 40 bits. A context that was seen once has no entry: it
+is a gram of the order below, and what follows it was seen once.
+
 Scoring maps the files into the memory of each worker and looks up the distinct grams of a batch in
 sorted order. Buckets of a context follow the context; a context frequent enough to weigh on one
-bucket is spread over all by the whole gram. Which contexts those are is taken from a sixty-fourth of
-the documents; it decides where records lie and nothing else.
+bucket is spread over all by the whole gram. Which contexts those are is counted over all
+documents; it decides where records lie and nothing else.
 
 Defined cases: null and empty texts are an end mark; with nothing to learn from, every token is
 unknown and equally likely; rows may repeat.
@@ -24,19 +29,23 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.llm import buckets, store, text
 from cohortline.session import stage
 
-ORDER = 2
+ORDER = 3
 BUCKET_TEXT = 8 << 20
-_PART = 12 << 20
+_PART = 8 << 20
+# Tokens that a task gathers before it sends their grams.
+_GATHERED = 3 << 20
 _U64 = np.uint64
 _BEGIN, _END = _U64(0x5BD1E995A3C59AC3), _U64(0x2545F4914F6CDD1D)
 _ROWS = "level int, kind int, bucket int, payload binary"
 _GRAM, _CONTEXT, _WORD, _TABLE = range(4)
+_OWN = _TABLE + _TABLE
 # Columns of a context table behind its keys.
 _SUMS = 4
 
@@ -87,42 +96,85 @@ def _batch(level: int, kind: int, bucket, payload: list[bytes]) -> pa.RecordBatc
         ["level", "kind", "bucket", "payload"])
 
 
-def _summed(keys: np.ndarray, weights: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """First row and total of each distinct key, keys ascending."""
-    order = np.argsort(keys, kind="stable")
-    ranked = keys[order]
-    cuts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(keys) \
-        else np.zeros(0, np.int64)
-    if weights is None:
-        return order[cuts], np.diff(np.append(cuts, len(keys)))
-    return order[cuts], np.add.reduceat(weights[order], cuts) if len(cuts) else weights[:0]
+def _run(columns: list[np.ndarray]) -> np.ndarray:
+    """Hashes of the runs whose words stand in ``columns``, as ``Tokens.context`` gives them."""
+    out = np.full(columns[0].shape, len(columns), _U64)
+    for k, words in enumerate(columns):
+        out += words * text.power(k)
+    return text.mix(out)
+
+
+def _distinct(columns: list[np.ndarray], size: int,
+              weights: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """First row and total of each distinct gram of word numbers below ``size``, in their order."""
+    rows = len(columns[0])
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key, top = columns[0].astype(_U64), size
+    for column in columns[1:]:
+        if top * size >= 1 << 64:
+            key = np.unique(key, return_inverse=True)[1].astype(_U64)
+            top = rows
+        key = key * _U64(size) + column.astype(_U64)
+        top *= size
+    order = np.argsort(key)
+    key = key[order]
+    cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    total = np.diff(np.append(cuts, rows)) if weights is None else \
+        np.add.reduceat(weights[order], cuts)
+    return order[cuts], total
+
+
+def _often_first(words: np.ndarray,
+                 columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Renumber the words so that frequent ones have small numbers."""
+    often = np.argsort(-sum(np.bincount(c, minlength=len(words)) for c in columns), kind="stable")
+    rank = np.empty(len(words), np.int32)
+    rank[often] = np.arange(len(words), dtype=np.int32)
+    return words[often], [rank[c] for c in columns]
+
+
+def _planes(values: np.ndarray) -> np.ndarray:
+    """Bytes of unsigned integers, all first bytes before all second ones."""
+    values = store.narrow(values)
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).ravel()
+
+
+def _from_planes(raw: np.ndarray, rows: int) -> np.ndarray:
+    out = np.zeros(rows, np.int64)
+    for k in range(len(raw) // rows):
+        out |= raw[k * rows:(k + 1) * rows].astype(np.int64) << (8 * k)
+    return out
 
 
-def _send_grams(level: int, columns: list[np.ndarray], counts: np.ndarray | None,
+def _send_grams(level: int, words: np.ndarray, columns: list[np.ndarray],
                 heavy: np.ndarray, n: int) -> pa.RecordBatch:
-    """Add up equal grams and send them; columns are contexts from long to short, then the word."""
-    context = columns[0] if level > 1 else None
-    first, total = _summed(
-        gram_key(columns[0], columns[-1]) if level > 1 else columns[-1], counts)
+    """Add up equal grams and send them; columns number the words of each gram."""
+    first, total = _distinct(columns, len(words), None)
     columns = [c[first] for c in columns]
-    bucket = _placed(columns[0] if context is not None else None, columns[-1], heavy, n)
-    order = np.lexsort((columns[0], bucket))
+    bucket = _placed(_run([words[c] for c in columns[:-1]]) if level > 1 else None,
+                     words[columns[-1]], heavy, n)
+    order = np.argsort(bucket, kind="stable")
     bucket, total, columns = bucket[order], total[order], [c[order] for c in columns]
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) \
         if len(bucket) else np.zeros(1, np.int64)
-    payload = []
+    payload, rank = [], np.empty(len(words), np.int32)
+    pack = zstandard.ZstdCompressor(level=1)
     for i, j in zip(cuts[:-1], cuts[1:]):
-        lead = columns[0][i:j]
-        runs = np.concatenate([[0], np.flatnonzero(np.diff(lead)) + 1])
-        payload.append(store.dump(
-            lead[runs], store.narrow(np.diff(np.append(runs, j - i))),
-            store.narrow(total[i:j]), *[c[i:j] for c in columns[1:]]))
+        used = np.unique(np.concatenate([c[i:j] for c in columns]))
+        rank[used] = np.arange(len(used), dtype=np.int32)
+        lead, *rest = (rank[c[i:j]] for c in columns)
+        payload.append(pack.compress(store.dump(
+            np.array([j - i]), words[used], _planes(total[i:j]),
+            _planes(np.diff(lead, prepend=0)), *[_planes(c) for c in rest])))
     return _batch(level, _GRAM, bucket[cuts[:-1]], payload)
 
 
 def _grams(payload: bytes) -> tuple[np.ndarray, ...]:
-    lead, runs, total, *rest = store.load(payload)
-    return (total.astype(np.int64), np.repeat(lead, runs.astype(np.int64)), *rest)
+    """Words, counts and the word numbers of each place."""
+    (rows,), words, *columns = store.load(zstandard.decompress(payload))
+    total, lead, *rest = (_from_planes(c, rows) for c in columns)
+    return words, total, np.cumsum(lead), *rest
 
 
 def _send_sums(level: int, kind: int, keys: np.ndarray, sums: np.ndarray,
@@ -139,19 +191,62 @@ def _send_sums(level: int, kind: int, keys: np.ndarray, sums: np.ndarray,
 
 def _count(order: int, heavy: list[np.ndarray], n: int):
     """Top-order grams and plain word counts of each part of the input."""
+    def send(gathered: list[Tokens]) -> Iterator[pa.RecordBatch]:
+        every = np.concatenate([t.all for t in gathered])
+        low = np.cumsum([0] + [len(t.all) for t in gathered])
+        at = np.concatenate([t.at + start for t, start in zip(gathered, low)])
+        gathered.clear()
+        words, number = np.unique(every, return_inverse=True)
+        words, (number,) = _often_first(words, [number])
+        yield _send_grams(
+            order, words, [number[at - k] for k in range(order - 1, -1, -1)], heavy[order], n)
+        total = np.bincount(number[at], minlength=len(words))
+        seen = np.flatnonzero(total)
+        yield _send_sums(0, _WORD, words[seen], total[seen][:, None], n)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered: list[Tokens] = []
         for batch in batches:
             for part in text.parts(batch, size=_PART):
-                tokens = Tokens(part.column("text"), order)
-                columns = [tokens.context(k) for k in range(order - 1, 0, -1)] + [tokens.word]
-                yield _send_grams(order, columns, None, heavy[order], n)
-                first, total = _summed(tokens.word, None)
-                yield _send_sums(0, _WORD, tokens.word[first], total[:, None], n)
+                gathered.append(Tokens(part.column("text"), order))
+                if sum(len(t.all) for t in gathered) >= _GATHERED:
+                    yield from send(gathered)
+        if gathered:
+            yield from send(gathered)
     return work
 
 
+def _merged(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Words, counts and columns of word numbers of all payloads of a bucket."""
+    parts = [_grams(p) for p in payloads]
+    words = np.unique(np.concatenate([p[0] for p in parts]))
+    columns = [np.concatenate([np.searchsorted(words, p[0]).astype(np.int32)[p[k]] for p in parts])
+               for k in range(2, len(parts[0]))]
+    return words, np.concatenate([p[1] for p in parts]), columns
+
+
 def _add_up(level: int, heavy: list[np.ndarray], n: int, folder: str):
-    """One bucket of one order: its table, what the order below needs, and what passes through."""
+    """One bucket of one order: its tables, what the order below needs, and what passes through."""
+    def contexts(words, columns, total, bucket) -> Iterator[pa.RecordBatch]:
+        new = np.zeros(len(total), bool)
+        new[0] = True
+        for c in columns[:-1]:
+            new[1:] |= c[1:] != c[:-1]
+        cuts = np.flatnonzero(new)
+        kind = np.minimum(total, 3)
+        sums = np.add.reduceat(
+            np.column_stack([total, kind == 1, kind == 2, kind == 3]).astype(np.int64), cuts, axis=0)
+        lead = [words[c[cuts]] for c in columns[:-1]]
+        keys = _run(lead)
+        spread = np.isin(keys, heavy[level])
+        yield _send_sums(level, _CONTEXT, keys[spread], sums[spread], n)
+        # What is left out here is found as a gram of the order below; no gram ends in a begin mark.
+        own = np.flatnonzero(~spread & ((sums[:, 0] > 1) | (lead[-1] == _BEGIN)))
+        if len(own):
+            own = own[np.argsort(keys[own])]
+            yield _written(folder, f"contexts-{level}", level, _OWN, bucket,
+                           [keys[own], *[store.narrow(c) for c in sums[own].T]], [len(own)])
+
     def work(table: pa.Table) -> pa.Table:
         out = []
         levels, kinds = table.column("level").to_numpy(), table.column("kind").to_numpy()
@@ -159,29 +254,26 @@ def _add_up(level: int, heavy: list[np.ndarray], n: int, folder: str):
         payload = table.column("payload").to_pylist()
         mine = np.flatnonzero((kinds == _GRAM) & (levels == level))
         if len(mine):
-            parts = [_grams(payload[i]) for i in mine]
-            counts, *columns = (np.concatenate(c) for c in zip(*parts))
-            del parts
-            first, total = _summed(
-                gram_key(columns[0], columns[-1]) if level > 1 else columns[-1], counts)
+            words, counts, columns = _merged([payload[i] for i in mine])
+            words, columns = _often_first(words, columns)
+            first, total = _distinct(columns, len(words), counts)
             columns = [c[first] for c in columns]
-            keys = gram_key(columns[0], columns[-1]) if level > 1 else columns[-1]
+            keys = words[columns[-1]]
+            if level > 1:
+                keys = gram_key(_run([words[c] for c in columns[:-1]]), keys)
             often = np.bincount(np.minimum(total, 5), minlength=6)[1:]
+            order = np.argsort(keys)
+            keys, ranked = keys[order], store.narrow(total[order])
             out.append(_written(folder, f"grams-{level}", level, _TABLE, bucket,
-                                [keys, store.narrow(total)], [*often, total.sum()]))
+                                [*_shortened(keys), ranked] if level > 1 else [keys, ranked],
+                                [*often, total.sum()]))
+            del keys, ranked, order
             if level > 1:
-                kind_of = np.minimum(total, 3)
-                sums = np.column_stack([total, kind_of == 1, kind_of == 2, kind_of == 3])
-                order = np.argsort(columns[0], kind="stable")
-                lead = columns[0][order]
-                cuts = np.flatnonzero(np.concatenate([[True], lead[1:] != lead[:-1]]))
-                out.append(_send_sums(
-                    level, _CONTEXT, lead[cuts],
-                    np.add.reduceat(sums[order].astype(np.int64), cuts, axis=0), n))
-                out.append(_send_grams(level - 1, columns[1:], None, heavy[level - 1], n))
+                out.extend(contexts(words, columns, total, bucket))
+                out.append(_send_grams(level - 1, words, columns[1:], heavy[level - 1], n))
         # Sums of contexts and words are complete one exchange after they were sent.
         ready = (kinds == _CONTEXT) & (levels == level + 1) | (kinds == _WORD)
-        for kind, name in ((_CONTEXT, f"contexts-{level + 1}"), (_WORD, "words")):
+        for kind, name in ((_CONTEXT, f"spread-{level + 1}"), (_WORD, "words")):
             own = np.flatnonzero(ready & (kinds == kind))
             if len(own):
                 rows = [store.load(payload[i]) for i in own]
@@ -201,6 +293,38 @@ def _add_up(level: int, heavy: list[np.ndarray], n: int, folder: str):
     return work
 
 
+def _shortened(keys: np.ndarray) -> list[np.ndarray]:
+    """Sorted hashes as a directory over some leading bits and the 40 bits that follow them."""
+    bits = _U64(max(1, len(keys).bit_length() - 4))
+    slots = (keys >> (_U64(64) - bits)).astype(np.int64)
+    cuts = np.searchsorted(slots, np.arange((1 << int(bits)) + 1)).astype(np.uint32)
+    rest = (keys << bits) >> _U64(24)
+    return [cuts, rest.astype(np.uint32), (rest >> _U64(32)).astype(np.uint8)]
+
+
+def _find_short(table: list[np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key would stand, and whether it does; bisection inside the directory's slots."""
+    cuts, low, high = table[:3]
+    bits = _U64((len(cuts) - 1).bit_length() - 1)
+    slot = (keys >> (_U64(64) - bits)).astype(np.int64)
+    wanted = (keys << bits) >> _U64(24)
+    at, stop = cuts[slot].astype(np.int64), cuts[slot + 1].astype(np.int64)
+    size, last = stop - at, len(low) - 1
+
+    def smaller(place: np.ndarray) -> np.ndarray:
+        place = np.minimum(place, last)
+        return (high[place].astype(_U64) << _U64(32) | low[place]) < wanted
+
+    # The first ``size`` places from ``at`` on are still open.
+    for _ in range(int(size.max(initial=0)).bit_length()):
+        half = size >> 1
+        right = (size > 0) & smaller(at + half)
+        at = np.where(right, at + half + 1, at)
+        size = np.where(right, size - half - 1, half)
+    place = np.minimum(at, last)
+    return place, (at < stop) & ((high[place].astype(_U64) << _U64(32) | low[place]) == wanted)
+
+
 def _written(folder: str, name: str, level: int, kind: int, bucket: int,
              arrays: list[np.ndarray], facts: list[int]) -> pa.RecordBatch:
     uri, out = store.create(folder, f"{name}-{bucket:06d}")
@@ -211,9 +335,10 @@ def _written(folder: str, name: str, level: int, kind: int, bucket: int,
 
 
 def _heavy(docs: DataFrame, order: int, n: int) -> list[np.ndarray]:
-    """For each order the sorted contexts that make up more than 1 / 2n of a sample's tokens.
+    """For each order the sorted contexts that make up more than 1 / 2n of all tokens.
 
-    At most 2n of each order.
+    Some with more than 1 / 4n are among them, so there are at most 4n of each order. Parts leave out
+    what is below 1 / 4n of their own tokens, which takes less than that from any sum.
     """
     if order < 2:
         return [np.zeros(0, _U64)] * (order + 1)
@@ -221,22 +346,21 @@ def _heavy(docs: DataFrame, order: int, n: int) -> list[np.ndarray]:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text.parts(batch):
+            for part in text.parts(batch, size=_PART):
                 tokens = Tokens(part.column("text"), order)
                 for k in range(order):
-                    keys = tokens.context(k) if k else np.zeros(len(tokens.at), _U64)
-                    first, total = _summed(keys, None)
-                    use = total * share >= len(keys)
+                    keys, total = np.unique(tokens.context(k), return_counts=True) if k else (
+                        np.zeros(1, _U64), np.array([len(tokens.at)]))
+                    use = total * share >= len(tokens.at)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(use.sum(), k), pa.int32()),
-                         pa.array(keys[first][use].view(np.int64)), pa.array(total[use])],
+                         pa.array(keys[use].view(np.int64)), pa.array(total[use])],
                         ["size", "key", "n"])
 
-    sample = docs.filter(F.pmod(F.xxhash64("text"), F.lit(64)) == 0).select("text")
-    found = stage(sample.mapInArrow(work, "size int, key long, n long")
+    found = stage(docs.mapInArrow(work, "size int, key long, n long")
                   .groupBy("size", "key").agg(F.sum("n").alias("n")), "heavy")
     tokens = found.filter("size = 0").agg(F.sum("n")).first()[0] or 0
-    rows = found.filter((F.col("size") > 0) & (F.col("n") * (2 * n) >= tokens)).collect()
+    rows = found.filter((F.col("size") > 0) & (F.col("n") * share >= tokens)).collect()
     return [np.zeros(0, _U64)] * 2 + [
         np.sort(np.array([r["key"] for r in rows if r["size"] == level - 1], np.int64).view(_U64))
         for level in range(2, order + 1)]
@@ -270,10 +394,24 @@ class Model:
             if i == j or (table := self.table(name, int(ranked[i]))) is None:
                 continue
             rows = order[i:j]
-            at = np.minimum(np.searchsorted(table[0], keys[rows]), len(table[0]) - 1)
-            hit = table[0][at] == keys[rows]
+            if len(table) > 1 + columns:
+                at, hit = _find_short(table, keys[rows])
+            else:
+                at = np.minimum(np.searchsorted(table[0], keys[rows]), len(table[0]) - 1)
+                hit = table[0][at] == keys[rows]
             for k in range(columns):
-                out[rows[hit], k] = table[1 + k][at[hit]]
+                out[rows[hit], k] = table[k - columns][at[hit]]
+        return out
+
+    def sums(self, level: int, contexts: np.ndarray, below: np.ndarray) -> np.ndarray:
+        """Totals of distinct contexts; ``below`` says which were seen as grams of the order below."""
+        out = np.zeros((len(contexts), _SUMS), np.int64)
+        spread = np.isin(contexts, self.heavy[level])
+        for name, some in (("contexts", ~spread), ("spread", spread)):
+            keys = contexts[some]
+            out[some] = self.find(
+                f"{name}-{level}", buckets.bucket_of(keys, self.n), keys, _SUMS)
+        out[(out[:, 0] == 0) & below & ~spread, :2] = 1
         return out
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
@@ -288,27 +426,32 @@ class Model:
         if self.continuations:
             low = low + (follows - self.discounts[1][np.minimum(follows, 3)]) / self.continuations
         chance = np.broadcast_to(low, words.shape)[place]
+        starts = np.cumsum(tokens.counts) - tokens.counts
+        seen = follows[place]
         for level in range(2, self.order + 1):
             context = tokens.context(level - 1)
-            contexts, which = np.unique(context, return_inverse=True)
-            sums = self.find(f"contexts-{level}", buckets.bucket_of(contexts, self.n),
-                             contexts, _SUMS)
+            contexts, lead, which = np.unique(context, return_index=True, return_inverse=True)
+            # A context is the gram of the order below that ends one token earlier.
+            below = np.concatenate([[0], seen[:-1]]) > 0
+            below[starts] = False
+            sums = self.sums(level, contexts, below[lead])
             discount = self.discounts[level]
             total = np.maximum(sums[:, 0], 1)
             back = np.where(sums[:, 0] > 0, sums[:, 1:] @ discount[1:] / total, 1.0)
             keys, first, gram = np.unique(
                 gram_key(context, tokens.word), return_index=True, return_inverse=True)
-            seen = self.find(f"grams-{level}", _placed(
+            found = self.find(f"grams-{level}", _placed(
                 context[first], tokens.word[first], self.heavy[level], self.n), keys, 1)[:, 0]
-            kept = (seen - discount[np.minimum(seen, 3)]) / total[which[first]]
+            kept = (found - discount[np.minimum(found, 3)]) / total[which[first]]
             chance = kept[gram] + back[which] * chance
-        cuts = np.cumsum(tokens.counts) - tokens.counts
-        add = lambda x: np.add.reduceat(x, cuts) if len(cuts) else np.zeros(0)
+            seen = found[gram]
+        add = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
         return (tokens.counts, add((count > 0).astype(np.int64)[place]), add(base[place]),
                 add(np.log10(chance)))
 
 
-@lru_cache(maxsize=1 << 16)
+# Fewer maps than a process may hold by default on Linux.
+@lru_cache(maxsize=1 << 15)
 def _opened(uri: str) -> list[np.ndarray]:
     return store.load(store.mapped(uri))
 
@@ -344,8 +487,8 @@ def fit(docs: DataFrame, order: int = ORDER, column: str = "text") -> Model:
     # One row for each bucket of each table.
     for row in found.collect():
         uri, own = store.load(bytes(row["payload"]))
-        name = {_TABLE: f"grams-{row['level']}", _TABLE + _CONTEXT: f"contexts-{row['level']}",
-                _TABLE + _WORD: "words"}[row["kind"]]
+        name = {_TABLE: f"grams-{row['level']}", _TABLE + _CONTEXT: f"spread-{row['level']}",
+                _TABLE + _WORD: "words", _OWN: f"contexts-{row['level']}"}[row["kind"]]
         files[name, row["bucket"]] = uri.tobytes().decode()
         facts[name] = facts.get(name, 0) + own
     often = [facts.get(f"grams-{k}", np.zeros(6, np.int64)) for k in range(order + 1)]

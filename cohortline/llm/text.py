@@ -46,6 +46,11 @@ _BYTE_CODES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=_U
 _POW, _INV = _powers(0x9E3779B97F4A7C15)
 
 
+def power(k: int) -> np.uint64:
+    """Factor of the word at place ``k`` of a run."""
+    return _POW[k]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer of splitmix64."""
     x = (x ^ (x >> _U64(30))) * _U64(0xBF58476D1CE4E5B9)

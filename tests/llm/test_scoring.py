@@ -242,7 +242,7 @@ def kneser_ney_by_hand(train, texts, order):
     return out, total
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_language_model(frame, clash, order):
     rng = random.Random(order)
     vocab = [f"w{i}" for i in range(40)] + ["Word", "ÉTÉ", "été"]
@@ -261,19 +261,64 @@ def test_language_model(frame, clash, order):
         assert math.isclose(row.perplexity, 10 ** (-score / n), rel_tol=1e-6)
 
 
-def test_spread_contexts_change_no_score(frame, monkeypatch):
+@pytest.mark.parametrize("step", [1, 2])
+def test_spread_contexts_change_no_score(frame, monkeypatch, step):
     rng = random.Random(9)
-    rows = [(i, " ".join(rng.choice("abcd") for _ in range(50))) for i in range(60)]
-    plain = knlm.fit(frame(rows), 2)
-    _, contexts = np.unique(knlm.Tokens(pa.array([t for _, t in rows]), 2).context(1),
-                            return_index=True)
-    every = np.unique(knlm.Tokens(pa.array([t for _, t in rows]), 2).context(1))
-    monkeypatch.setattr(knlm, "_heavy", lambda *a: [every[:0], every[:0], every])
-    spread = knlm.fit(frame(rows), 2)
-    texts = pa.array(["a b c d", "d z", ""])
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(50))) for i in range(60)]
+    plain = knlm.fit(frame(rows), 3)
+    tokens = knlm.Tokens(pa.array([t for _, t in rows]), 3)
+    some = [np.unique(tokens.context(k))[::step] for k in (1, 2)]
+    monkeypatch.setattr(knlm, "_heavy", lambda *a: [some[0][:0], some[0][:0], *some])
+    spread = knlm.fit(frame(rows), 3)
+    texts = pa.array(["a b c d", "d z", "", rows[0][1], "h g f e d c b a"])
     assert np.allclose(plain.score(texts)[3], spread.score(texts)[3], rtol=1e-12)
 
 
+def test_heavy_context_of_one_document_is_found(frame):
+    rows = [(i, f"x{i} y{i} z{i}") for i in range(300)] + [
+        (999, " ".join(f"the w{i}" for i in range(400)))]
+    heavy = knlm._heavy(frame(rows).select("text"), 2, 16)
+    the = knlm.Tokens(pa.array(["the the"]), 2).context(1)[1]
+    assert the in heavy[2] and len(heavy[2]) <= 64
+
+
+def test_short_keys_find_what_is_there():
+    rng = np.random.default_rng(3)
+    for rows in (1, 2, 40, 5000):
+        keys = np.unique(rng.integers(0, 1 << 64, rows, dtype=np.uint64))
+        other = rng.integers(0, 1 << 64, 3000, dtype=np.uint64)
+        table = knlm._shortened(keys)
+        place, hit = knlm._find_short(table, keys)
+        assert hit.all() and (place == np.arange(len(keys))).all()
+        assert not knlm._find_short(table, other)[1].any()
+        ends = np.array([0, (1 << 64) - 1], np.uint64)
+        assert not knlm._find_short(table, ends)[1].any()
+
+
+def test_distinct_grams_beyond_one_word():
+    rng = np.random.default_rng(4)
+    columns = [rng.integers(0, 3, 500) * (1 << 30) for _ in range(3)]
+    first, total = knlm._distinct(columns, 1 << 32, None)
+    want = Counter(zip(*[c.tolist() for c in columns]))
+    assert [tuple(int(c[i]) for c in columns) for i in first] == sorted(want)
+    assert total.tolist() == [want[g] for g in sorted(want)]
+
+
+def test_held_out_texts_are_likelier_under_higher_orders(frame):
+    rng = random.Random(12)
+    after = {(a, b): rng.choices("abcdefgh", k=2) for a in "abcdefgh" for b in "abcdefgh"}
+
+    def draw():
+        words = [rng.choice("abcdefgh"), rng.choice("abcdefgh")]
+        for _ in range(60):
+            words.append(rng.choice(after[words[-2], words[-1]]))
+        return " ".join(words)
+    rows = [(i, draw()) for i in range(150)]
+    fresh = pa.array([draw() for _ in range(20)])
+    scores = [knlm.fit(frame(rows), k).score(fresh)[3].sum() for k in (1, 2, 3)]
+    assert scores[0] < scores[1] < scores[2]
+
+
 def test_model_of_nothing(frame):
     model = knlm.fit(frame([]), 2)
     rows = knlm.with_scores(frame([(1, "a b"), (2, None)]), model).collect()
