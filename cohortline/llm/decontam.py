@@ -13,8 +13,9 @@ is on the driver and broadcast at a time. Every slice but the last stores the te
 SHA-256, a bit for each word, the items); the last one adds them to its own. So a benchmark within one
 slice costs two reads of the documents and no shuffle, and a larger one costs time, not memory.
 
-Defined cases: null has no words; an item without words or without id has no window; equal windows of
-several items count for each of them; equal item ids count once.
+Defined cases: null has no words; an item without words has no window; equal windows of several items
+count for each of them; equal item ids count once, and so do all items without id, which stand as a
+null at the end of the list.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ _U64 = np.uint64
 class Index:
     """Windows of one slice of the benchmark: their texts, shingles and items."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW):
         words = text.Words(pa.array([t for _, t in items], pa.string()), text.ALNUM, lower=True)
         self.text, begin, stop = words.joined()
         first = words.window_starts(window)
@@ -79,7 +80,7 @@ class Index:
     def __len__(self) -> int:
         return len(self.size)
 
-    def items_of(self, window: int) -> list[str]:
+    def items_of(self, window: int) -> list[str | None]:
         return [self.names[o] for o in self.owner[self.owners[window]:self.owners[window + 1]]]
 
     def choose_prefix(self, counts: np.ndarray) -> None:
@@ -189,7 +190,7 @@ def _occurrences(words: text.Words, index: Index,
 def _slices(benchmark: DataFrame, item: str, column: str) -> list[DataFrame]:
     rows = benchmark.select(
         F.col(f"`{item}`").cast("string").alias("item"), F.col(f"`{column}`").alias("text"))
-    rows = rows.filter(F.col("text").isNotNull() & F.col("item").isNotNull()).distinct()
+    rows = rows.filter(F.col("text").isNotNull()).distinct()
     n = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SLICE_BYTES))
     return [rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) for k in range(n)]
 
@@ -202,10 +203,15 @@ def _index(texts: DataFrame, part: DataFrame, window: int) -> Index:
     return index
 
 
-def _hits(words: text.Words, index: Index, lookup: Lookup) -> tuple[np.ndarray, list[set[str]]]:
+def _listed(items: set[str | None]) -> list[str | None]:
+    return sorted(items, key=lambda item: (item is None, item or ""))
+
+
+def _hits(words: text.Words, index: Index,
+          lookup: Lookup) -> tuple[np.ndarray, list[set[str | None]]]:
     """(is each word hit, items of each row)."""
     cover = np.zeros(len(words) + 1, np.int64)
-    items: list[set[str]] = [set() for _ in words.counts]
+    items: list[set[str | None]] = [set() for _ in words.counts]
     row = words.row_of_word()
     start, window = _occurrences(words, index, lookup)
     np.add.at(cover, start, 1)
@@ -231,7 +237,7 @@ def _hit_texts(texts: DataFrame, index: Index) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column("mark").take(pa.array(rows, pa.int64())),
                      pa.array(masks, pa.binary()),
-                     pa.array([sorted(items[r]) for r in rows], pa.list_(pa.string()))],
+                     pa.array([_listed(items[r]) for r in rows], pa.list_(pa.string()))],
                     ["mark", "mask", "items"])
 
     found = texts.mapInArrow(work, "mark string, mask binary, items array<string>")
@@ -285,7 +291,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, column: str = "text", prefi
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:width], pa.array(words.counts, pa.int64()),
                      pa.array(text.per_row(hit, words.first), pa.int64()),
-                     pa.array([sorted(s) for s in items], pa.list_(pa.string()))],
+                     pa.array([_listed(s) for s in items], pa.list_(pa.string()))],
                     [*batch.schema.names[:width], *names])
 
     return docs.mapInArrow(work, schema)

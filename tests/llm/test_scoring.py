@@ -333,7 +333,7 @@ def leaks_by_hand(rows, items, window):
     for i, t in items:
         w = ITEM_WORD.findall(lowered(t))
         for k in range(max(1, len(w) - window + 1) if w else 0):
-            wanted[tuple(w[k:k + window])].add(str(i))
+            wanted[tuple(w[k:k + window])].add(None if i is None else str(i))
     out = []
     for i, t in rows:
         w, hit, found = ITEM_WORD.findall(lowered(t)), set(), set()
@@ -342,7 +342,8 @@ def leaks_by_hand(rows, items, window):
                 if (x := tuple(w[k:k + n])) in wanted:
                     hit |= set(range(k, k + n))
                     found |= wanted[x]
-        out.append((i, len(w), len(hit), sorted(found)))
+        out.append((i, len(w), len(hit),
+                    sorted(found - {None}) + [None] * (None in found)))
     return out
 
 
@@ -352,6 +353,7 @@ def leaking():
     draw = lambda n: [rng.choice(vocab) for _ in range(n)]
     items = [(i, draw(rng.choice([1, 2, 3, 5, 9, 10, 11, 40]))) for i in range(30)]
     items += [(0, items[0][1]), (0, items[0][1])]
+    items += [(None, draw(14)), (None, draw(7)), (None, items[6][1])]
     items += [(100, items[3][1]), (101, items[4][1][:20]), (102, ["the"] * 12)]
     rows = []
     for i in range(120):
@@ -361,6 +363,8 @@ def leaking():
             a = rng.randrange(len(body))
             w += body[a:a + rng.randint(1, 40)] + draw(3)
         rows.append((i, rng.choice([" ", ", ", "\n--"]).join(w).replace("the", "THE")))
+    nameless = " ".join(next(w for i, w in items if i is None))
+    rows += [(510, nameless), (511, nameless + " / " + " ".join(items[2][1]))]
     rows += [(500, None), (501, ""), (502, "the " * 30), (None, " ".join(items[5][1]))]
     return rows, [(i, " ".join(w)) for i, w in items] + [(200, None), (201, "?!"), (1, "again it")]
 
@@ -372,6 +376,7 @@ def test_decontamination(frame, clash, spark, monkeypatch, slice_bytes):
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     found = decontam.contamination(clash(frame(rows)), clash(bench)).collect()
     want = leaks_by_hand(rows, items, 10)
+    assert any(i == [None] for *_, i in want) and any(None in i and len(i) > 1 for *_, i in want)
     assert sorted(map(str, ((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in found))) == sorted(
         map(str, want))
     docs = clash(frame(rows))
