@@ -199,6 +199,76 @@ def test_passages_of_any_text():
     assert np.isfinite(x).all() and np.bincount(row).tolist() == [1, 1, 1, 1, 10, 1, 2]
 
 
+def measures_by_hand(t):
+    """One list of surface measures for each passage of a text."""
+    raw = (t or "").encode()
+    punct = [b for b in range(0x21, 0x7F) if not chr(b).isalnum()]
+
+    def kind(b):
+        if b in punct:
+            return 6 + punct.index(b)
+        if b == 0x0A:
+            return 5
+        c = chr(b)
+        return 4 if b >= 0x80 else 1 if "A" <= c <= "Z" else 2 if "a" <= c <= "z" else \
+            3 if "0" <= c <= "9" else 0
+    words = list(re.finditer(rb"[^\x20\x09-\x0D]+", raw))
+    out = []
+    for k in range(0, max(1, len(words)), quality.PASSAGE):
+        own = words[k:k + quality.PASSAGE]
+        low = own[0].start() if own else 0
+        after = words[k + quality.PASSAGE:k + quality.PASSAGE + 1]
+        body = raw[low:after[0].start() if after else len(raw)]
+        kinds = Counter(map(kind, body))
+        n, w = len(own), [m.group() for m in own]
+        small = [x.lower() for x in w]                     # bytes: A-Z only
+        pairs = list(zip(small, small[1:]))
+        mean = lambda values: sum(values) / max(1, n)
+        out.append([math.sqrt(kinds[i] / max(1, len(body))) for i in range(6 + len(punct))] + [
+            mean(map(len, w)) / 10,
+            mean(not any(kind(b) in (1, 2, 4) for b in x) for x in w),
+            mean(2 * sum(kind(b) == 1 for b in x) > len(x) for x in w),
+            mean(kind(x[-1]) >= 6 for x in w),
+            mean(a == b for a, b in pairs),
+            len(set(small)) / max(1, n), len(set(pairs)) / max(1, len(pairs)),
+            n / quality.PASSAGE, n == 0])
+    return out
+
+
+def quality_by_hand(model, t):
+    p = {k: np.asarray(v).tolist() for k, v in model.weights.items()}
+    sigmoid = lambda z: 1 / (1 + math.exp(-z))
+    dot = lambda v, m, j: sum(a * line[j] for a, line in zip(v, m))
+    coded, raw = [], []
+    for x in measures_by_hand(t):
+        z = [(a - c) / s for a, c, s in zip(x, model.center, model.scale)]
+        h = [math.tanh(dot(z, p["W"], j) + p["b"][j]) for j in range(quality.HIDDEN)]
+        coded.append(h)
+        raw.append(sum(p["w"][j] * math.tanh(dot(h, p["V"], j)) * sigmoid(dot(h, p["U"], j))
+                       for j in range(quality.ATTENTION)))
+    share = [math.exp(r) / sum(map(math.exp, raw)) for r in raw]
+    bag = [sum(a * h[j] for a, h in zip(share, coded)) for j in range(quality.HIDDEN)]
+    return sigmoid(sum(a * c for a, c in zip(bag, p["c"])) + p["d"])
+
+
+def test_scores_by_hand():
+    rng = random.Random(21)
+    texts = [None, "", " \n ", "a", "  Word word WORD! 12 é\n\n--", "x\ny\n" * 80,
+             prose(rng, "en", 345), "ÉTÉ! " * 230 + "\n", "A b, " * 50 + " "]
+    x, row = quality.passages(pa.array(texts, pa.string()))
+    want = [(r, m) for r, t in enumerate(texts) for m in measures_by_hand(t)]
+    assert row.tolist() == [r for r, _ in want]
+    assert np.allclose(x, np.array([m for _, m in want], float), atol=1e-6)
+    draw = np.random.default_rng(8)
+    model = quality.Model(0.4)
+    model.center, model.scale = draw.normal(size=quality.N_FEATURES), draw.uniform(
+        0.5, 2, quality.N_FEATURES)
+    model.weights["c"] = draw.normal(size=quality.HIDDEN)
+    model.weights["b"] = draw.normal(size=quality.HIDDEN)
+    scores = model.score(pa.array(texts, pa.string()))
+    assert np.allclose(scores, [quality_by_hand(model, t) for t in texts], atol=1e-6)
+
+
 # ---- language model ------------------------------------------------------------------------
 
 def kneser_ney_by_hand(train, texts, order):
