@@ -208,6 +208,7 @@ def selection_record(selected: str, model_path: str, rule: str, candidates: Sequ
                 policies, "policy", "cost_per_customer",
                 ["Contact nobody", "Contact everybody", rule]),
         })
+        # The names in the record.
         .select(
             F.lit(selected).alias("selected_model"),
             F.lit(model_path).alias("model_path"),

@@ -11,6 +11,7 @@ VOCAB = ["NATION_0", "NATION_10", "NATION_11", "NATION_13", "NATION_19", "NATION
          "NATION_3", "NATION_7", "Other"]
 VOCAB_SQL = "(" + ", ".join(f"'{v}'" for v in VOCAB) + ")"
 
+#: The columns of the customer table and their order.
 NUMERIC = [
     "recency_days", "frequency", "monetary_total", "monetary_avg_per_order",
     "tenure_days", "avg_days_between_orders", "recency_over_avg_gap",
