@@ -40,11 +40,13 @@ ACCURACY = 20_000
 LEAST_GAIN = 1e-9
 SCALE = 1 << 30
 #: Trees between two stored states; what was grown since is applied again in each pass.
-STORE_EVERY = 16
+STORE_EVERY = 4
 #: Nodes whose histograms complete in one call, while few tasks add to each.
 NODES_TOGETHER = 32
-#: Rows of a block, and histogram bytes of one pass; more nodes than that make take several passes.
+#: Rows that are worth a task, and the most rows of a block.
 BLOCK_ROWS = 16_384
+MOST_ROWS = 65_536
+#: Histogram bytes of one pass; more nodes than that make take several passes.
 PASS_BYTES = 128 << 20
 _U64 = np.uint64
 
@@ -175,21 +177,33 @@ class Forest:
         self.column, self.cut, self.value = whole["column"], whole["cut"], whole["value"]
         self.left, self.right = whole["left"] + shift, whole["right"] + shift
 
-    def places(self, bins: np.ndarray, root: int) -> np.ndarray:
-        """The node that each row of ``bins`` ends in."""
-        node = np.full(len(bins), root, np.int64)
-        live = np.arange(len(bins)) if self.column[root] >= 0 else np.zeros(0, np.int64)
-        while len(live):
-            at = node[live]
-            goes_left = bins[live, self.column[at]] <= self.cut[at]
-            node[live] = np.where(goes_left, self.left[at], self.right[at])
-            live = live[self.column[node[live]] >= 0]
-        return node
+    def spread(self, bins: np.ndarray, root: int, entries: np.ndarray) -> np.ndarray:
+        """For each row of ``bins`` the entry of the leaf that it ends in.
+
+        A split compares one whole column, which costs less than following every row down.
+        """
+        leaves: list[int] = []
+        number = np.zeros(len(bins), np.uint16 if len(self.column) < 1 << 16 else np.uint32)
+
+        def below(node: int, here: np.ndarray | None) -> int:
+            """Number the leaves below a node from left to right; ``here`` marks its rows, None all."""
+            if self.column[node] < 0:
+                leaves.append(node)
+                return 1
+            right = bins[:, self.column[node]] > int(self.cut[node])
+            if here is not None:
+                right &= here
+            passed = below(int(self.left[node]), ~right if here is None else here ^ right)
+            np.add(number, right * number.dtype.type(passed), out=number)
+            return passed + below(int(self.right[node]), right)
+
+        below(int(root), None)
+        return entries[leaves][number]
 
     def added(self, bins: np.ndarray) -> np.ndarray:
         out = np.zeros(len(bins))
         for root in self.roots:
-            out += self.value[self.places(bins, root)]
+            out += self.spread(bins, root, self.value)
         return out
 
 
@@ -205,8 +219,11 @@ def bin_edges(train: DataFrame, columns: Sequence[str], bins: int = BINS) -> lis
 
 
 def binned(values: Sequence[np.ndarray], edges: Sequence[np.ndarray], rows: int) -> np.ndarray:
-    """(rows, columns) bin numbers."""
-    return np.zeros((rows, 0), np.uint8) if not len(edges) else np.stack([np.searchsorted(e, v, "left") for v, e in zip(values, edges)], 1).astype(np.uint8)
+    """(rows, columns) bin numbers; each column lies together."""
+    out = np.empty((len(edges), rows), np.uint8)
+    for line, v, e in zip(out, values, edges):
+        line[:] = np.searchsorted(e, v, "left")
+    return out.T
 
 
 def _doubles(batch: pa.RecordBatch, names: Sequence[str]) -> list[np.ndarray]:
@@ -233,6 +250,18 @@ def drawn_rows(keys: np.ndarray, share: float, salt: int) -> np.ndarray:
     return (_mix(keys ^ _U64(salt)) >> _U64(11)).astype(np.float64) < share * 2.0 ** 53
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together, up to ``MOST_ROWS`` rows."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and sum(b.num_rows for b in held) + batch.num_rows > MOST_ROWS:
+            yield pa.concat_batches(held)
+            held = []
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _blocks(train: DataFrame, columns: Sequence[str], edges: list[np.ndarray], starts: np.ndarray,
             rows: int) -> tuple[DataFrame, int, int]:
     """Rows in blocks: ids, hash keys, labels, folds, bins, and the log-odds under a group of models.
@@ -248,13 +277,16 @@ def _blocks(train: DataFrame, columns: Sequence[str], edges: list[np.ndarray], s
         *[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)])
     tasks = max(1, -(-rows // BLOCK_ROWS))
     cores = train.sparkSession.sparkContext.defaultParallelism
-    groups = max(1, min(len(starts), 2 * cores // tasks))
+    if tasks >= cores:
+        # Equal shares for all cores, a block in each.
+        tasks = cores * -(-rows // (cores * MOST_ROWS))
+    groups = max(1, min(len(starts), 2 * cores // tasks)) if tasks < cores else 1
     cuts = [len(starts) * g // groups for g in range(groups + 1)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, BLOCK_ROWS):
-                batch = whole.slice(at, BLOCK_ROWS)
+        for whole in _joined(batches):
+            for at in range(0, whole.num_rows, MOST_ROWS):
+                batch = whole.slice(at, MOST_ROWS)
                 ids = pa.concat_arrays([batch.column("id")])
                 keys, fold = batch.column("key").to_numpy().view(np.uint64), batch.column("fold").to_numpy()
                 y = batch.column("y").to_numpy().astype(np.int8)
@@ -283,7 +315,7 @@ class Block:
     def packed(self) -> bytes:
         sizes = np.array([self.first, len(self.keys), self.bins.shape[1], len(self.margins)], np.int64)
         return b"".join(x.tobytes() for x in (
-            sizes, self.margins, self.keys, self.fold.astype(np.int32), self.y, self.bins))
+            sizes, self.margins, self.keys, self.fold.astype(np.int32), self.y, self.bins.T))
 
     @classmethod
     def unpacked(cls, raw: pa.Buffer) -> Block:
@@ -294,7 +326,7 @@ class Block:
             out.append(np.frombuffer(raw, kind, n, at))
             at += out[-1].nbytes
         margins, keys, fold, y, bins = out
-        return cls(first, keys, y, fold, bins.reshape(rows, columns), margins.reshape(models, rows))
+        return cls(first, keys, y, fold, bins.reshape(columns, rows).T, margins.reshape(models, rows))
 
     def has(self, model: int) -> bool:
         return self.first <= model < self.first + len(self.margins)
@@ -323,22 +355,21 @@ class Ask:
 
     def histograms(self, block: Block, bins: int) -> np.ndarray:
         """(node, column, bin) sums of gradient, curvature and rows over the rows that the model sees."""
-        rows = np.flatnonzero(block.fold != self.fold)
-        if self.setting.row_share < 1:
-            rows = rows[drawn_rows(block.keys[rows], self.setting.row_share, self.salt)]
-        mine = block.bins[rows]
         slot = np.full(len(self.tree.column), -1)
-        slot[self.nodes] = np.arange(len(self.nodes))
-        place = slot[self.tree.places(mine, 0)]
-        asked = place >= 0
-        rows, mine, place = rows[asked], mine[asked], place[asked]
+        slot[self.nodes] = np.arange(len(self.nodes)) * bins
+        place = self.tree.spread(block.bins, 0, slot)
+        asked = (place >= 0) & (block.fold != self.fold)
+        if self.setting.row_share < 1:
+            asked &= drawn_rows(block.keys, self.setting.row_share, self.salt)
+        rows = np.flatnonzero(asked)
+        place, mine = place[rows], block.bins.T.take(rows, axis=1).T
         chance = 1 / (1 + np.exp(-(block.margins[self.model - block.first, rows] + self.since.added(mine))))
         gradient = np.rint((chance - block.y[rows]) * SCALE)
         curvature = np.rint(chance * (1 - chance) * SCALE)
         n = len(self.nodes) * bins
         out = np.empty((len(self.columns), n, 3), np.int64)
         for k, c in enumerate(self.columns):
-            at = place * bins + mine[:, c]
+            at = place + mine[:, c]
             out[k, :, 0] = np.bincount(at, gradient, n)
             out[k, :, 1] = np.bincount(at, curvature, n)
             out[k, :, 2] = np.bincount(at, minlength=n)

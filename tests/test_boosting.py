@@ -200,3 +200,34 @@ def test_one_class_no_rows_and_missing_values(spark):
     high = {r.customer_id: r.score > 0.5 for r in model.scores(
         spark.createDataFrame(gaps, kind), "customer_id").collect()}
     assert high == {i: i > 5 for i in range(12)}
+
+
+def test_leaves_are_those_that_rows_walk_to(fitted):
+    """Whole-column comparisons against a walk from the root, for trees of both kinds and a subset of rows."""
+    draw = np.random.default_rng(3)
+    for model in (fitted[0].models[0], fitted[0].models[4]):
+        forest = Forest(model.trees)
+        bins = draw.integers(0, 16, (200, len(model.columns))).astype(np.uint8)
+        for root in forest.roots:
+            want = []
+            for row in bins:
+                node = root
+                while forest.column[node] >= 0:
+                    left = row[forest.column[node]] <= forest.cut[node]
+                    node = (forest.left if left else forest.right)[node]
+                want.append(node)
+            ids = np.arange(len(forest.column))
+            assert forest.spread(bins, root, ids).tolist() == want
+            assert forest.spread(bins[50:], root, ids).tolist() == want[50:]
+
+
+def test_every_core_gets_an_equal_share(spark, train, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 20)
+    cores, rows = spark.sparkContext.defaultParallelism, train.count()
+    assert rows > 20 * cores
+    for most, each in ((1 << 16, 1), (-(-rows // (3 * cores)), 3)):
+        monkeypatch.setattr(boosting, "MOST_ROWS", most)
+        *_, state, groups, tasks = boosting.prepare(train, NAMES, [(Setting(depth=1), -1)] * 3, 16)
+        assert (tasks, groups) == (each * cores, 1)
+        blocks = [boosting.Block.unpacked(r.packed) for r in state.collect()]
+        assert sum(len(b.keys) for b in blocks) == rows
