@@ -43,17 +43,20 @@ class Workspace:
     # ---- the log and its clean form
 
     def raw(self) -> DataFrame:
-        """The raw log, built once and clustered by time; everything later starts from its files."""
-        def build() -> DataFrame:
-            return stage(ingest.clustered(star_tables.transactions_raw(self.source())), "raw",
-                         **ingest.lookup_filters("customer_id"))
-        return self._once("raw", build)
+        """The raw log: names and tags over the stored source. Everything later starts from its files."""
+        return self._once("raw", lambda: star_tables.transactions_raw(self.source()))
 
     def source(self) -> DataFrame:
-        """The log under its original headings, as the parts of a raw table are cut from it."""
-        return self._once("source", lambda: stage(
-            star_tables.source_log(self.spark, self.folder)
-            .repartitionByRange("InvoiceDate", "Invoice", "StockCode"), "source"))
+        """The log under its original headings, stored once and clustered by time.
+
+        The parts of a raw table are cut from it, and the raw log only renames and tags its rows, so that
+        neither is shuffled or written a second time.
+        """
+        def build() -> DataFrame:
+            log = star_tables.source_log(self.spark, self.folder)
+            return stage(ingest.clustered(log, ingest.SOURCE_CLUSTER), "source",
+                         **ingest.lookup_filters("Customer ID"))
+        return self._once("source", build)
 
     def clean(self) -> DataFrame:
         """The clean log. The raw files it is made of lie in order of time, and so do its own."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -33,6 +34,9 @@ COLUMN_RENAMES = {
     "Customer ID": "customer_id",
     "Country": "country",
 }
+# Time first, under the original headings and under the names of the raw table.
+SOURCE_CLUSTER = ("InvoiceDate", "Invoice", "StockCode", "Quantity")
+RAW_CLUSTER = tuple(COLUMN_RENAMES[c] for c in SOURCE_CLUSTER)
 
 
 def require_columns(columns: list[str], part: str) -> None:
@@ -96,13 +100,12 @@ def _parts(spark: SparkSession, parts: dict[str, str], fmt: str) -> DataFrame:
     ])
 
 
-def clustered(log: DataFrame) -> DataFrame:
+def clustered(log: DataFrame, keys: Sequence[str] = RAW_CLUSTER) -> DataFrame:
     """Rows in ranges of time, so that date filters prune files and row groups.
 
     The further keys let a single day that holds many rows spread over several files.
     """
-    keys = ("invoice_date", "invoice", "stock_code", "quantity")
-    return log.repartitionByRange(*keys).sortWithinPartitions("invoice_date")
+    return log.repartitionByRange(*keys).sortWithinPartitions(keys[0])
 
 
 def lookup_filters(*columns: str) -> dict[str, str]:

@@ -331,3 +331,14 @@ def test_all_jobs_from_csv_to_record(spark, tmp_path):
     text = json.loads(open(os.path.join(out.record, files[0])).read())
     assert text["decision_parameters"]["cost_wasted_offer"] == 0.15
     assert RULE.lower().replace(" ", "_") in text["metrics"]["test_cost_per_customer"]
+
+
+def test_the_raw_log_is_the_stored_source(space):
+    """One shuffle and one written table serve both headings; its files are narrow in time."""
+    assert space.raw().inputFiles() == space.source().inputFiles()
+    parts = star_tables.raw_from_parts(space.source())
+    assert checks.frames_equal(space.raw(), parts.select(*space.raw().columns))
+    spans = (space.source().groupBy(F.input_file_name().alias("file"))
+             .agg(F.min("InvoiceDate").alias("low"), F.max("InvoiceDate").alias("high"))
+             .orderBy("low", "high").collect())
+    assert all(a.high <= b.low for a, b in zip(spans, spans[1:]))
