@@ -7,8 +7,9 @@ lower order needs: a continuation for each distinct gram. Lower orders
 hold continuation counts, the lowest order backs off to a uniform distribution over the training
 vocabulary and one unknown token. Discounts come from the counts of counts of each order.
 
-Grams travel as numbers into a list of the words that their payload holds, frequent words first, one byte
-plane after the other and compressed. Files keep of a gram's hash what its place does not tell: a
+All words are counted first: a word's number is its rank by hash. Grams travel as numbers into a list of the
+words that their payload holds, frequent words first and otherwise ascending, so that the list is the steps
+between their numbers; all of it one byte plane after the other and compressed. Files keep of a gram's hash what its place does not tell: a
 directory over the leading bits, then 40 bits. A context that was seen once has no entry: it
 is a gram of the order below, and what follows it was seen once.
 
@@ -88,6 +89,18 @@ def _placed(context: np.ndarray | None, word: np.ndarray, heavy: np.ndarray, n:
     return out
 
 
+def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, a place of each, and which of them stands where; numpy's ``unique`` wants the
+    first place and so a slower, stable sort."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], which
+
+
 def _batch(level: int, kind: int, bucket, payload: list[bytes]) -> pa.RecordBatch:
     n = len(payload)
     return pa.RecordBatch.from_arrays(
@@ -127,8 +140,9 @@ def _distinct(columns: list[np.ndarray], size: int,
 
 def _often_first(words: np.ndarray,
                  columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Renumber the words so that frequent ones have small numbers."""
-    often = np.argsort(-sum(np.bincount(c, minlength=len(words)) for c in columns), kind="stable")
+    """Renumber the words so that frequent ones have small numbers; those about as frequent stay in order."""
+    total = sum(np.bincount(c, minlength=len(words)) for c in columns)
+    often = np.argsort(-np.frexp(total)[1], kind="stable")
     rank = np.empty(len(words), np.int32)
     rank[often] = np.arange(len(words), dtype=np.int32)
     return words[often], [rank[c] for c in columns]
@@ -147,9 +161,47 @@ def _from_planes(raw: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-def _send_grams(level: int, words: np.ndarray, columns: list[np.ndarray],
-                heavy: np.ndarray, n: int) -> pa.RecordBatch:
-    """Add up equal grams and send them; columns number the words of each gram."""
+@dataclass
+class Vocabulary:
+    """Numbers of all words of the training texts, from the files of words that lie in hash buckets.
+
+    The begin mark follows the last word; it is no word and has no count.
+    """
+
+    files: dict[int, str]
+    # Words in the buckets before each, and in all.
+    before: np.ndarray
+
+    def __len__(self) -> int:
+        return int(self.before[-1]) + 1
+
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        """Of ascending hashes, each of a word of the training texts or the begin mark."""
+        out = np.full(len(words), len(self) - 1)
+        bucket = buckets.bucket_of(words, len(self.before) - 1)
+        for b in np.unique(bucket).tolist():
+            if b in self.files:
+                i, j = np.searchsorted(bucket, [b, b + 1])
+                out[i:j] = self.before[b] + np.searchsorted(_opened(self.files[b])[0], words[i:j])
+        out[words == _BEGIN] = len(self) - 1
+        return out
+
+    def hashes(self, numbers: np.ndarray) -> np.ndarray:
+        out = np.full(len(numbers), _BEGIN, _U64)
+        order = np.argsort(numbers, kind="stable")
+        cuts = np.searchsorted(numbers[order], self.before)
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            rows = order[cuts[b]:cuts[b + 1]]
+            out[rows] = _opened(self.files[b])[0][numbers[rows] - self.before[b]]
+        return out
+
+
+def _send_grams(level: int, numbers: np.ndarray, words: np.ndarray, size: int,
+                columns: list[np.ndarray], heavy: np.ndarray, n: int) -> pa.RecordBatch:
+    """Add up equal grams and send them; columns give the place of each gram's words in ``words``.
+
+    ``numbers`` are those of the words in a vocabulary of ``size``.
+    """
     first, total = _distinct(columns, len(words), None)
     columns = [c[first] for c in columns]
     bucket = _placed(_run([words[c] for c in columns[:-1]]) if level > 1 else None,
@@ -165,16 +217,16 @@ def _send_grams(level: int, words: np.ndarray, columns: list[np.ndarray],
         rank[used] = np.arange(len(used), dtype=np.int32)
         lead, *rest = (rank[c[i:j]] for c in columns)
         payload.append(pack.compress(store.dump(
-            np.array([j - i]), words[used], _planes(total[i:j]),
-            _planes(np.diff(lead, prepend=0)), *[_planes(c) for c in rest])))
+            np.array([j - i, len(used), size]), _planes(np.diff(numbers[used], prepend=0) % size),
+            _planes(total[i:j]), _planes(np.diff(lead, prepend=0)), *[_planes(c) for c in rest])))
     return _batch(level, _GRAM, bucket[cuts[:-1]], payload)
 
 
 def _grams(payload: bytes) -> tuple[np.ndarray, ...]:
-    """Words, counts and the word numbers of each place."""
-    (rows,), words, *columns = store.load(zstandard.decompress(payload))
+    """Numbers of the words, counts, and where the words of each gram stand among them."""
+    (rows, used, size), steps, *columns = store.load(zstandard.decompress(payload))
     total, lead, *rest = (_from_planes(c, rows) for c in columns)
-    return words, total, np.cumsum(lead), *rest
+    return np.cumsum(_from_planes(steps, used)) % size, total, np.cumsum(lead), *rest
 
 
 def _send_sums(level: int, kind: int, keys: np.ndarray, sums: np.ndarray,
@@ -189,43 +241,83 @@ def _send_sums(level: int, kind: int, keys: np.ndarray, sums: np.ndarray,
         for i, j in zip(cuts[:-1], cuts[1:])])
 
 
-def _count(order: int, heavy: list[np.ndarray], n: int):
-    """Top-order grams and plain word counts of each part of the input."""
+def _gathered(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[list[Tokens]]:
+    gathered: list[Tokens] = []
+    for batch in batches:
+        for part in text.parts(batch, size=_PART):
+            gathered.append(Tokens(part.column("text"), order))
+            if sum(len(t.all) for t in gathered) >= _GATHERED:
+                yield gathered
+                gathered = []
+    if gathered:
+        yield gathered
+
+
+def _count_words(n: int):
+    """Plain word counts of each part of the input."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gathered in _gathered(batches, 1):
+            words, total = np.unique(
+                np.concatenate([t.word for t in gathered]), return_counts=True)
+            yield _send_sums(0, _WORD, words, total[:, None], n)
+    return work
+
+
+def _add_up_words(folder: str):
+    """The table of one bucket's words."""
+    def work(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        keys, sums = _summed(table.column("payload").to_pylist())
+        out = _written(folder, "words", 0, _TABLE + _WORD, bucket,
+                       [keys, store.narrow(sums[0])], [len(keys), sums[0].sum()])
+        return pa.Table.from_batches([out.cast(table.schema)])
+    return work
+
+
+def _summed(payloads: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct keys in order, and the totals of their sums."""
+    rows = [store.load(p) for p in payloads]
+    keys = np.concatenate([r[0] for r in rows])
+    sums = [np.concatenate([r[k].astype(np.int64) for r in rows]) for k in range(1, len(rows[0]))]
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[cuts], [np.add.reduceat(s[order], cuts) for s in sums]
+
+
+def _count(order: int, heavy: list[np.ndarray], vocabulary, n: int):
+    """Top-order grams of each part of the input; ``vocabulary`` is a broadcast one."""
     def send(gathered: list[Tokens]) -> Iterator[pa.RecordBatch]:
         every = np.concatenate([t.all for t in gathered])
         low = np.cumsum([0] + [len(t.all) for t in gathered])
         at = np.concatenate([t.at + start for t, start in zip(gathered, low)])
         gathered.clear()
-        words, number = np.unique(every, return_inverse=True)
-        words, (number,) = _often_first(words, [number])
+        words, place = np.unique(every, return_inverse=True)
+        del every
+        words, (place,) = _often_first(words, [place])
+        order_of = np.argsort(words)
+        numbers = np.empty(len(words), np.int64)
+        numbers[order_of] = vocabulary.value.numbers(words[order_of])
         yield _send_grams(
-            order, words, [number[at - k] for k in range(order - 1, -1, -1)], heavy[order], n)
-        total = np.bincount(number[at], minlength=len(words))
-        seen = np.flatnonzero(total)
-        yield _send_sums(0, _WORD, words[seen], total[seen][:, None], n)
+            order, numbers, words, len(vocabulary.value),
+            [place[at - k] for k in range(order - 1, -1, -1)], heavy[order], n)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered: list[Tokens] = []
-        for batch in batches:
-            for part in text.parts(batch, size=_PART):
-                gathered.append(Tokens(part.column("text"), order))
-                if sum(len(t.all) for t in gathered) >= _GATHERED:
-                    yield from send(gathered)
-        if gathered:
+        for gathered in _gathered(batches, order):
             yield from send(gathered)
     return work
 
 
 def _merged(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Words, counts and columns of word numbers of all payloads of a bucket."""
+    """Numbers of the words, counts and columns of places among them, of all payloads of a bucket."""
     parts = [_grams(p) for p in payloads]
-    words = np.unique(np.concatenate([p[0] for p in parts]))
-    columns = [np.concatenate([np.searchsorted(words, p[0]).astype(np.int32)[p[k]] for p in parts])
+    numbers = np.unique(np.concatenate([p[0] for p in parts]))
+    columns = [np.concatenate([np.searchsorted(numbers, p[0]).astype(np.int32)[p[k]] for p in parts])
                for k in range(2, len(parts[0]))]
-    return words, np.concatenate([p[1] for p in parts]), columns
+    return numbers, np.concatenate([p[1] for p in parts]), columns
 
 
-def _add_up(level: int, heavy: list[np.ndarray], n: int, folder: str):
+def _add_up(level: int, heavy: list[np.ndarray], vocabulary, n: int, folder: str):
     """One bucket of one order: its tables, what the order below needs, and what passes through."""
     def contexts(words, columns, total, bucket) -> Iterator[pa.RecordBatch]:
         new = np.zeros(len(total), bool)
@@ -254,8 +346,9 @@ def _add_up(level: int, heavy: list[np.ndarray], n: int, folder: str):
         payload = table.column("payload").to_pylist()
         mine = np.flatnonzero((kinds == _GRAM) & (levels == level))
         if len(mine):
-            words, counts, columns = _merged([payload[i] for i in mine])
-            words, columns = _often_first(words, columns)
+            numbers, counts, columns = _merged([payload[i] for i in mine])
+            numbers, columns = _often_first(numbers, columns)
+            words = vocabulary.value.hashes(numbers)
             first, total = _distinct(columns, len(words), counts)
             columns = [c[first] for c in columns]
             keys = words[columns[-1]]
@@ -270,23 +363,15 @@ def _add_up(level: int, heavy: list[np.ndarray], n: int, folder: str):
             del keys, ranked, order
             if level > 1:
                 out.extend(contexts(words, columns, total, bucket))
-                out.append(_send_grams(level - 1, words, columns[1:], heavy[level - 1], n))
-        # Sums of contexts and words are complete one exchange after they were sent.
-        ready = (kinds == _CONTEXT) & (levels == level + 1) | (kinds == _WORD)
-        for kind, name in ((_CONTEXT, f"spread-{level + 1}"), (_WORD, "words")):
-            own = np.flatnonzero(ready & (kinds == kind))
-            if len(own):
-                rows = [store.load(payload[i]) for i in own]
-                keys = np.concatenate([r[0] for r in rows])
-                sums = [np.concatenate([r[k].astype(np.int64) for r in rows])
-                        for k in range(1, len(rows[0]))]
-                order = np.argsort(keys, kind="stable")
-                keys = keys[order]
-                cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-                sums = [np.add.reduceat(s[order], cuts) for s in sums]
-                out.append(_written(
-                    folder, name, level + 1 if kind == _CONTEXT else 0, _TABLE + kind, bucket,
-                    [keys[cuts], *[store.narrow(s) for s in sums]], [len(cuts), sums[0].sum()]))
+                out.append(_send_grams(level - 1, numbers, words, len(vocabulary.value),
+                                       columns[1:], heavy[level - 1], n))
+        # Sums of contexts are complete one exchange after they were sent.
+        own = np.flatnonzero((kinds == _CONTEXT) & (levels == level + 1))
+        if len(own):
+            keys, sums = _summed([payload[i] for i in own])
+            out.append(_written(
+                folder, f"spread-{level + 1}", level + 1, _TABLE + _CONTEXT, bucket,
+                [keys, *[store.narrow(s) for s in sums]], [len(keys), sums[0].sum()]))
         rest = table.filter(pa.array(kinds >= _TABLE))
         batches = [b.cast(rest.schema) for b in out if b.num_rows]
         return pa.concat_tables([rest, pa.Table.from_batches(batches, rest.schema)])
@@ -430,7 +515,7 @@ class Model:
         seen = follows[place]
         for level in range(2, self.order + 1):
             context = tokens.context(level - 1)
-            contexts, lead, which = np.unique(context, return_index=True, return_inverse=True)
+            contexts, lead, which = _places(context)
             # A context is the gram of the order below that ends one token earlier.
             below = np.concatenate([[0], seen[:-1]]) > 0
             below[starts] = False
@@ -438,8 +523,7 @@ class Model:
             discount = self.discounts[level]
             total = np.maximum(sums[:, 0], 1)
             back = np.where(sums[:, 0] > 0, sums[:, 1:] @ discount[1:] / total, 1.0)
-            keys, first, gram = np.unique(
-                gram_key(context, tokens.word), return_index=True, return_inverse=True)
+            keys, first, gram = _places(gram_key(context, tokens.word))
             found = self.find(f"grams-{level}", _placed(
                 context[first], tokens.word[first], self.heavy[level], self.n), keys, 1)[:, 0]
             kept = (found - discount[np.minimum(found, 3)]) / total[which[first]]
@@ -471,21 +555,38 @@ def discounts(often: np.ndarray) -> np.ndarray:
     return np.array(out)
 
 
+def _words(rows: DataFrame, n: int, folder: str) -> list:
+    """Where the tables of words lie, and what they hold."""
+    return stage(rows.mapInArrow(_count_words(n), _ROWS)
+                 .groupBy("bucket").applyInArrow(_add_up_words(folder), _ROWS), "lm-words").collect()
+
+
+def _vocabulary(found: list, n: int) -> Vocabulary:
+    files, words = {}, np.zeros(n + 1, np.int64)
+    for row in found:
+        uri, facts = store.load(bytes(row["payload"]))
+        files[row["bucket"]], words[row["bucket"] + 1] = uri.tobytes().decode(), facts[0]
+    return Vocabulary(files, np.cumsum(words))
+
+
 def fit(docs: DataFrame, order: int = ORDER, column: str = "text") -> Model:
     """Count all documents and write the tables of the model."""
     rows = docs.select(F.col(f"`{column}`").alias("text"))
     n = buckets.bucket_count(buckets.text_bytes(rows), BUCKET_TEXT)
     heavy = _heavy(rows, order, n)
     folder = store.new_folder(docs.sparkSession, "lm")
-    flow = rows.mapInArrow(_count(order, heavy, n), _ROWS)
+    # One row for each bucket of each table.
+    found = _words(rows, n, folder)
+    vocabulary = docs.sparkSession.sparkContext.broadcast(_vocabulary(found, n))
+    flow = rows.mapInArrow(_count(order, heavy, vocabulary, n), _ROWS)
     for level in range(order, 0, -1):
-        flow = flow.groupBy("bucket").applyInArrow(_add_up(level, heavy, n, folder), _ROWS)
-    found = stage(flow, "lm-files")
+        flow = flow.groupBy("bucket").applyInArrow(
+            _add_up(level, heavy, vocabulary, n, folder), _ROWS)
+    found += stage(flow, "lm-files").collect()
 
     files: dict[tuple[str, int], str] = {}
     facts: dict[str, np.ndarray] = {}
-    # One row for each bucket of each table.
-    for row in found.collect():
+    for row in found:
         uri, own = store.load(bytes(row["payload"]))
         name = {_TABLE: f"grams-{row['level']}", _TABLE + _CONTEXT: f"spread-{row['level']}",
                 _TABLE + _WORD: "words", _OWN: f"contexts-{row['level']}"}[row["kind"]]

@@ -374,6 +374,38 @@ def test_distinct_grams_beyond_one_word():
     assert total.tolist() == [want[g] for g in sorted(want)]
 
 
+def test_words_have_numbers(spark, frame):
+    rng = random.Random(31)
+    rows = [(i, " ".join(f"w{rng.randint(0, 900)}" for _ in range(40))) for i in range(50)]
+    n = 16
+    found = knlm._words(frame(rows).select("text"), n, knlm.store.new_folder(spark, "lm"))
+    vocabulary = knlm._vocabulary(found, n)
+    tokens = knlm.Tokens(pa.array([t for _, t in rows]), 3)
+    words = np.unique(tokens.all)
+    numbers = vocabulary.numbers(words)
+    assert sorted(numbers.tolist()) == list(range(len(vocabulary))) == list(range(len(words)))
+    assert numbers[words == knlm._BEGIN] == len(words) - 1
+    mixed = np.random.default_rng(5).permutation(len(words))
+    assert (vocabulary.hashes(numbers[mixed]) == words[mixed]).all()
+    assert len(vocabulary.numbers(words[:0])) == len(vocabulary.hashes(numbers[:0])) == 0
+
+
+def test_rare_words_take_little_room_on_the_way():
+    """Three places of words that occur once, with their hashes, are 24 bytes a gram."""
+    rng = np.random.default_rng(6)
+    words = np.unique(rng.integers(0, 1 << 64, 30000, dtype=np.uint64))
+    numbers = np.arange(len(words)) * 3
+    columns = [rng.permutation(len(words)).astype(np.int32) for _ in range(3)]
+    batch = knlm._send_grams(3, numbers, words, 3 * len(words), columns, words[:0], 16)
+    payload = batch.column("payload").to_pylist()
+    assert sum(map(len, payload)) < 12 * len(words)
+    grams = set()
+    for own, total, *places in map(knlm._grams, payload):
+        assert (total == 1).all()
+        grams |= set(zip(*[own[p].tolist() for p in places]))
+    assert grams == set(zip(*[numbers[c].tolist() for c in columns]))
+
+
 def test_held_out_texts_are_likelier_under_higher_orders(frame):
     rng = random.Random(12)
     after = {(a, b): rng.choices("abcdefgh", k=2) for a in "abcdefgh" for b in "abcdefgh"}
