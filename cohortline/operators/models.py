@@ -7,16 +7,19 @@ rows a model is fitted on and travel with it when it is saved. Boosted trees rea
 from __future__ import annotations
 
 import random
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseMatrix, DenseVector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,9 +56,109 @@ def feature_names(cfg: RetentionConfig, columns: Sequence[str] | None = None) ->
     return [*cfg.continuous_columns, *cfg.binary_columns]
 
 
+#: Largest slope of the summed loss at which a fit counts as the optimum.
+SLOPE_LEFT = 0.005
+#: Twice the loss that a Newton step may still win, in units of one row's log-likelihood, for it to be the last.
+LAST_STEP = 1e-9
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch of (y, x) as one row of bytes, so that every pass reads whole matrices."""
+    for batch in batches:
+        if batch.num_rows:
+            y = batch.column("y").to_numpy(zero_copy_only=False)
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([len(y)]), pa.array([y.tobytes()], pa.binary()),
+                 pa.array([x.tobytes()], pa.binary())], ["n", "y", "x"])
+
+
+def _curves(at: np.ndarray):
+    """Sums over a part of the packed rows at the point ``at``: loss, slope and curvature, intercept last."""
+    k = len(at)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 + k + k * k)
+        for batch in batches:
+            for own_y, own_x in zip(batch.column("y"), batch.column("x")):
+                y = np.frombuffer(own_y.as_buffer())
+                x = np.ones((len(y), k))
+                x[:, :-1] = np.frombuffer(own_x.as_buffer()).reshape(-1, k - 1)
+                score = x @ at
+                chance, rest = (np.exp(-np.logaddexp(0, s)) for s in (-score, score))
+                total[0] += (np.logaddexp(0, score) - y * score).sum()
+                total[1:1 + k] += x.T @ (chance - y)
+                total[1 + k:] += ((x * (chance * rest)[:, None]).T @ x).ravel()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(total)), pa.int32()), pa.array(total)], ["place", "value"])
+    return work
+
+
+class NewtonLogistic(LogisticRegression):
+    """Binary logistic regression with an L2 penalty, finished by Newton steps.
+
+    Spark's quasi-Newton steps end where the mean loss hardly falls, which for many rows is not the
+    optimum yet. A few Newton steps go on from there, whatever the number of rows; where no slope is
+    left, Spark's fit stays as it is. Spark also makes the model of the point that is found, by bounds.
+    """
+
+    def _fit(self, dataset: DataFrame):
+        model = super()._fit(dataset)
+        at = self._optimum(dataset, model) if model.numClasses == 2 else None
+        if at is None:
+            return model
+        row, last = DenseMatrix(1, len(at) - 1, at[:-1]), DenseVector(at[-1:])
+        bound = self._copyValues(LogisticRegression())
+        return (bound.setLowerBoundsOnCoefficients(row).setUpperBoundsOnCoefficients(row)
+                .setLowerBoundsOnIntercepts(last).setUpperBoundsOnIntercepts(last).fit(dataset))
+
+    def _optimum(self, dataset: DataFrame, model) -> np.ndarray | None:
+        """Coefficients and, last, the intercept; nothing if ``model`` has them or lacks a class."""
+        start = np.append(model.coefficients.toArray(), model.intercept)
+        if not np.isfinite(start).all():
+            return None
+        rows = dataset.select(
+            F.col(self.getLabelCol()).cast("double").alias("y"),
+            vector_to_array(self.getFeaturesCol()).alias("x")).mapInArrow(
+                _packed, "n long, y binary, x binary"
+            ).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n = rows.agg(F.sum("n")).first()[0]
+            return self._descend(rows, start, self.getRegParam() * n)
+        finally:
+            rows.unpersist()
+
+    def _descend(self, rows: DataFrame, at: np.ndarray, penalty: float) -> np.ndarray | None:
+        k, best = len(at), np.inf
+        step, weights = np.zeros(k), np.full(k, penalty)
+        weights[-1] = 0.0
+        for _ in range(self.getMaxIter()):
+            sums = np.zeros(1 + k + k * k)
+            for r in rows.mapInArrow(_curves(at + step), "place int, value double").groupBy(
+                    "place").agg(F.sum("value").alias("value")).collect():
+                sums[r.place] = r.value
+            here = at + step
+            loss = sums[0] + weights @ here ** 2 / 2
+            if not np.isfinite(sums).all():
+                return None
+            # Rounding of the sum may hide what the last steps win.
+            if loss > best + 1e-9 * abs(best):
+                step = step / 2
+                continue
+            slope = sums[1:1 + k] + weights * here
+            if np.isinf(best) and np.abs(slope).max() < SLOPE_LEFT:
+                return None
+            at, best = here, loss
+            curve = sums[1 + k:].reshape(k, k) + np.diag(weights)
+            step = -np.linalg.lstsq(curve, slope, rcond=None)[0]
+            if -step @ slope < LAST_STEP:
+                return at + step
+        return None
+
+
 def logistic(n_train: int, cfg: RetentionConfig, columns: Sequence[str] | None = None) -> Pipeline:
     """L2 logistic regression with unit strength: a mean loss needs lambda = 1 / n."""
-    model = LogisticRegression(
+    model = NewtonLogistic(
         labelCol="y", regParam=1.0 / n_train, elasticNetParam=0.0, standardization=False,
         maxIter=1000, tol=1e-6)
     return Pipeline(stages=[*preprocessing(cfg, columns), model])

@@ -39,6 +39,53 @@ def test_logistic_is_at_the_penalised_optimum(space):
     assert abs((p - y).sum()) < 1e-2
 
 
+def _few_columns(spark, n, seed=3):
+    """Rows whose columns hardly differ, which quasi-Newton steps end early on."""
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=n)
+    x = np.column_stack([base, base + 0.01 * rng.normal(size=n), 0.001 * rng.normal(size=n) + base,
+                         rng.exponential(size=n) ** 3])
+    y = (rng.uniform(size=n) < 1 / (1 + np.exp(-2 * base + 40 * (x[:, 1] - base) - 1))).astype(int)
+    rows = [(*map(float, r), int(label)) for r, label in zip(x, y)]
+    return spark.createDataFrame(rows, "a double, b double, c double, d double, y int")
+
+
+def test_optimum_is_reached_on_many_rows_in_few_passes(spark, monkeypatch):
+    passes, curves = [], models._curves
+    monkeypatch.setattr(models, "_curves", lambda at: passes.append(1) or curves(at))
+    df, copies = _few_columns(spark, 20000), 50
+    fitted = models.logistic(copies * 20000, STAR_CONFIG, ["a", "b", "c", "d"]).fit(
+        df.crossJoin(spark.range(copies)))
+    rows = fitted.transform(df).select("features", "y", "probability").collect()
+    x = np.array([r.features.toArray() for r in rows])
+    miss = copies * np.array([r.probability[1] - r.y for r in rows])
+    slope = x.T @ miss + fitted.stages[-1].coefficients.toArray()
+    assert np.abs(slope).max() < 1e-4 and abs(miss.sum()) < 1e-4
+    assert 1 < len(passes) < 10
+
+
+def test_fits_without_a_slope_stay_as_they_are(spark):
+    rng = np.random.default_rng(4)
+    rows = [(float(a), float(b), int(a + c > 0)) for a, b, c in rng.normal(size=(300, 3))]
+    df = models.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.createDataFrame(rows, "a double, b double, y int"))
+    options = {"labelCol": "y", "regParam": 1 / 300, "standardization": False, "tol": 1e-9}
+    plain = models.LogisticRegression(**options).fit(df)
+    assert models.NewtonLogistic(**options).fit(df).coefficients == plain.coefficients
+
+
+@pytest.mark.parametrize("labels", [(0, 1, 2), (1, 1, 1), (0, 0, 0)])
+def test_other_labels_are_left_to_spark(spark, labels):
+    rows = [(float(i % 7), float(i % 5), labels[i % 3]) for i in range(60)]
+    df = models.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.createDataFrame(rows, "a double, b double, y int"))
+    options = {"labelCol": "y", "regParam": 0.1, "standardization": False}
+    plain = models.LogisticRegression(**options).fit(df)
+    found = models.NewtonLogistic(**options).fit(df)
+    assert found.coefficientMatrix == plain.coefficientMatrix
+    assert found.interceptVector == plain.interceptVector
+
+
 def test_coefficients_carry_their_names(space, cfg):
     table = models.coefficients(space.logistic(), STAR_CONFIG)
     values = dict(zip(models.feature_names(STAR_CONFIG),
